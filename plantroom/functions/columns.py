@@ -7,10 +7,11 @@ starts no job.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,15 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def argument_table(spark: SparkSession, columns: Mapping[str, tuple[pa.DataType, Iterable]]) -> DataFrame:
+    """Arguments the caller typed, as a table.
+
+    Handed over as Arrow, they become a local relation: no Python worker runs and
+    the planner knows their size, which decides how they are joined.
+    """
+    return spark.createDataFrame(pa.table({name: pa.array(list(v), t) for name, (t, v) in columns.items()}))
+
+
 def require_columns(df: DataFrame, names: Iterable[str], what: str) -> None:
     missing = [name for name in names if name not in df.columns]
     if missing:
@@ -99,6 +109,13 @@ def whole_number(value: Column) -> Column:
     return value.try_cast("decimal(38,6)").try_cast("bigint")
 
 
+def id_column(df: DataFrame, name: str) -> Column:
+    """A column of ids as whole numbers; integer columns stay visible to the scan."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return col(name).cast("bigint")
+    return whole_number(col(name))
+
+
 def valid_ids(ids: Iterable) -> list[int]:
     """The entries of a Python list that are whole-number ids, each once."""
     found: dict[int, None] = {}
@@ -128,7 +145,7 @@ def filter_by_ids(
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        wanted = ids.select(whole_number(col(ids.columns[0])).alias("__wanted")).where("__wanted is not null")
+        wanted = ids.select(id_column(ids, ids.columns[0]).alias("__wanted")).where("__wanted is not null")
         if if_no_valid_id == "all" and wanted.isEmpty():
             return df
         return df.join(wanted, col(column) == F.col("__wanted"), "left_semi")
@@ -137,11 +154,29 @@ def filter_by_ids(
         return df if if_no_valid_id == "all" else df.where(F.lit(False))
     if len(wanted_list) <= INLINE_ID_LIMIT:
         return df.where(col(column).isin(wanted_list))
-    wanted = df.sparkSession.createDataFrame([(i,) for i in wanted_list], "__wanted bigint")
+    wanted = argument_table(df.sparkSession, {"__wanted": (pa.int64(), wanted_list)})
     return df.join(wanted, col(column) == F.col("__wanted"), "left_semi")
 
 
-def full_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def inline_if_few(ids: DataFrame) -> list[int] | DataFrame:
+    """A one-column table of ids as a Python list if it is short, else unchanged.
+
+    At most ``INLINE_ID_LIMIT + 1`` ids are fetched to find out. A list filters
+    the scans themselves and prunes partitions, which a join cannot always do.
+    """
+    head = ids.distinct().limit(INLINE_ID_LIMIT + 1).collect()
+    return ids if len(head) > INLINE_ID_LIMIT else [row[0] for row in head]
+
+
+def unmatched(right: DataFrame, right_key: str, left_keys: DataFrame) -> DataFrame:
+    """Rows of ``right`` whose key, null included, is not among ``left_keys`` (one column)."""
+    keys = left_keys.select(col(left_keys.columns[0]).alias("__left_key")).distinct()
+    return right.join(keys, col(right_key).eqNullSafe(F.col("__left_key")), "left_anti")
+
+
+def full_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_keys: DataFrame | None = None
+) -> DataFrame:
     """Full outer join in which null matches null and the left key column survives.
 
     Written as (left rows with their match) + (right rows nobody asked for). A
@@ -150,12 +185,12 @@ def full_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     in one task. The left join can do both, and the second half only needs the
     distinct left keys, which collapse before they are shuffled.
 
-    Column names of the two sides must not overlap.
+    Column names of the two sides must not overlap. ``left_keys`` may supply all
+    values of ``left_key`` where they are cheaper to get than from ``left``.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"both sides have column(s): {', '.join(sorted(overlap))}")
-    keys = left.select(col(left_key).alias("__left_key")).distinct()
     matched = left.join(right, col(left_key).eqNullSafe(col(right_key)), "left").drop(col(right_key))
-    right_only = right.join(keys, col(right_key).eqNullSafe(F.col("__left_key")), "left_anti")
+    right_only = unmatched(right, right_key, left.select(col(left_key)) if left_keys is None else left_keys)
     return matched.unionByName(right_only.withColumnRenamed(right_key, left_key), allowMissingColumns=True)

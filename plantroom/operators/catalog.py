@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantroom.functions.columns import (
+    argument_table,
     col,
     filter_by_ids,
+    inline_if_few,
     list_to_text,
     require_columns,
     valid_ids,
@@ -40,53 +43,65 @@ def deployments(table: DataFrame, org_ids: Ids = None, if_no_valid_id: str = "em
     return decode_epochs(filter_by_ids(table, "org_id", org_ids, if_no_valid_id), ["last_heartbeat"])
 
 
-def building_lookup(table: DataFrame, requests: Sequence[int | str]) -> DataFrame:
-    """Which building each request means: (request_no, request, id, name).
-
-    A request is a name, or an id where no building has that name. A repeated
-    request repeats its rows, a shared name yields every building that has it,
-    and a request that means nothing yields one row with null id and name.
-    """
-    spark = table.sparkSession
-    # The request list is a driver-side argument, so its size is known to the planner.
-    wanted = spark.createDataFrame(
-        [(no, str(request)) for no, request in enumerate(requests)], "request_no int, request string"
+def _keys(table: DataFrame) -> DataFrame:
+    """Each building under its name and under its id: (key, how, id, name)."""
+    keys = F.array(
+        F.struct(F.col("name").alias("key"), F.lit("name").alias("how")),
+        F.struct(F.col("id").cast("string").alias("key"), F.lit("id").alias("how")),
     )
-    texts = sorted({str(request) for request in requests})
-    candidates = table.select("id", "name").where(
-        F.col("name").isin(texts) | F.col("id").isin(valid_ids(requests))
-    )
-    by_name = wanted.join(candidates, F.col("request") == F.col("name"))
-    rest = wanted.join(by_name.select("request_no").distinct(), "request_no", "left_anti")
-    by_id = rest.join(candidates, F.col("request") == F.col("id").cast("string"), "left")
-    return by_name.unionByName(by_id)
+    return table.select(F.inline(keys), "id", "name")
+
 
+def _mentioned(table: DataFrame, names: Iterable[str], ids: Iterable) -> DataFrame:
+    return table.where(F.col("name").isin(list(names)) | F.col("id").isin(valid_ids(ids)))
 
-def _resolved(table: DataFrame, requests: Sequence[int | str] | int | str, check: bool) -> DataFrame:
+
+def resolve_requests(table: DataFrame, requests: Sequence[int | str] | int | str, check: bool = True) -> dict[str, str]:
+    """Whether each requested building is meant by ``name`` or by ``id``.
+
+    A request is a name, or an id where no building has that name. One small job
+    looks all of them up; its result has at most one row per request. Requests
+    that mean nothing raise ``ValueError``, or are left out without ``check``.
+    """
     requests = [requests] if isinstance(requests, (int, str)) else list(requests)
     if not requests:
         raise ValueError("no building requested")
-    found = building_lookup(table, requests)
-    if check:
-        # Bounded by the request list.
-        unknown = sorted({row.request for row in found.where("id is null").select("request").collect()})
-        if unknown:
-            raise ValueError(f"no building found for name/id: {', '.join(unknown)}")
-    return found.where("id is not null")
+    texts = list(dict.fromkeys(str(request) for request in requests))
+    hits = _keys(_mentioned(table, texts, texts)).where(F.col("key").isin(texts))
+    # "name" sorts after "id", so it wins.
+    found = {row.key: row.how for row in hits.groupBy("key").agg(F.max("how").alias("how")).collect()}
+    unknown = [text for text in texts if text not in found]
+    if unknown and check:
+        raise ValueError(f"no building found for name/id: {', '.join(unknown)}")
+    return found
 
 
 def building_info(table: DataFrame, requests: Sequence[int | str] | int | str, check: bool = True) -> DataFrame:
     """(id, name) of the requested buildings, in request order.
 
-    With ``check`` a small job looks for requests that match nothing and raises
-    ``ValueError`` for them; without it they are left out.
+    A repeated request repeats its rows and a shared name yields every building
+    that has it. See :func:`resolve_requests` for what a request means.
     """
-    return _resolved(table, requests, check).orderBy("request_no", "id").select("id", "name")
+    how = resolve_requests(table, requests, check)
+    listed = [str(r) for r in ([requests] if isinstance(requests, (int, str)) else requests) if str(r) in how]
+    wanted = argument_table(
+        table.sparkSession,
+        {
+            "request_no": (pa.int32(), range(len(listed))),
+            "key": (pa.string(), listed),
+            "how": (pa.string(), [how[text] for text in listed]),
+        },
+    )
+    found = _keys(_mentioned(table, how, how)).join(wanted, ["key", "how"])
+    return found.orderBy("request_no", "id").select("id", "name")
 
 
-def building_ids(table: DataFrame, requests: Sequence[int | str] | int | str, check: bool = True) -> DataFrame:
-    """The distinct ids behind :func:`building_info`, as a table to semi-join with."""
-    return _resolved(table, requests, check).select(F.col("id").alias("building_id")).distinct()
+def building_ids(table: DataFrame, requests: Sequence[int | str] | int | str, check: bool = True) -> list[int] | DataFrame:
+    """The distinct ids behind :func:`building_info`: a list, or a table if there are very many."""
+    how = resolve_requests(table, requests, check)
+    names = [text for text, kind in how.items() if kind == "name"]
+    ids = [text for text, kind in how.items() if kind == "id"]
+    return inline_if_few(_mentioned(table, names, ids).select("id"))
 
 
 def users(

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from plantroom.functions.columns import (
     col,
     drop_matching,
+    filter_by_ids,
     full_join,
+    id_column,
     prefix_columns,
     require_columns,
     sort_columns,
-    whole_number,
 )
 from plantroom.functions.timeconv import decode_epochs
 from plantroom.operators.catalog import building_ids
@@ -42,7 +43,7 @@ def _with_parent_name(equipment: DataFrame) -> DataFrame:
     Done before points are joined, so that the lookup moves equipment rows only.
     """
     names = equipment.select(col("id").alias("__parent_id"), col("equip_id").alias("parent"))
-    parent_id = whole_number(col("parent_equip"))
+    parent_id = id_column(equipment, "parent_equip")
     return equipment.join(names, parent_id.eqNullSafe(F.col("__parent_id")), "left").drop("__parent_id")
 
 
@@ -60,9 +61,9 @@ def assemble_metadata(equipment: DataFrame, points: DataFrame) -> DataFrame:
         ["id", "type", "equip_id", "units", "tagged_units", "first_updated", "last_updated"],
         "points",
     )
-    left = prefix_columns(points.withColumn("equip_id", whole_number(col("equip_id"))), "p.")
+    left = prefix_columns(points.withColumn("equip_id", id_column(points, "equip_id")), "p.")
     right = prefix_columns(
-        _with_parent_name(equipment.withColumn("id", whole_number(col("id")))), "e."
+        _with_parent_name(equipment.withColumn("id", id_column(equipment, "id"))), "e."
     )
     # The surviving key column carries the points' name; it is the equipment's id.
     rows = full_join(left, right, "p.equip_id", "e.id").withColumnRenamed("p.equip_id", "e.id")
@@ -101,8 +102,8 @@ def metadata_by_building(
     """Metadata of everything in the requested buildings (names or ids)."""
     wanted = building_ids(buildings, requests, check)
     return assemble_metadata(
-        equipment.join(wanted, "building_id", "left_semi"),
-        points.join(wanted, "building_id", "left_semi"),
+        filter_by_ids(equipment, "building_id", wanted),
+        filter_by_ids(points, "building_id", wanted),
     )
 
 

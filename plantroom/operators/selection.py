@@ -9,10 +9,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plantroom.functions.columns import col, filter_by_ids, valid_ids, whole_number
+from plantroom.functions.columns import col, filter_by_ids, id_column, valid_ids
 from plantroom.functions.timeconv import epoch_to_utc, utc_literal
-from pyspark.sql import types as T
 
 Values = Iterable[int | str] | int | str | None
 
@@ -75,11 +75,11 @@ def _all(conditions: list[Column], df: DataFrame) -> DataFrame:
 def _belonging(df: DataFrame, key: str, parents: DataFrame) -> DataFrame:
     """Rows whose ``key`` is an id of ``parents``."""
     wanted = parents.select(col("id").alias("__parent"))
-    return df.join(wanted, whole_number(col(key)) == F.col("__parent"), "left_semi")
+    return df.join(wanted, id_column(df, key) == F.col("__parent"), "left_semi")
 
 
 def _ids(df: DataFrame, column: str = "id") -> DataFrame:
-    return df.select(whole_number(col(column)).alias("id")).where("id is not null").distinct()
+    return df.select(id_column(df, column).alias("id")).where("id is not null").distinct()
 
 
 def select_points(
@@ -141,7 +141,7 @@ def select_points(
     if gear_rules:
         chosen = _belonging(chosen, "equip_id", gear)
     if point_rules:
-        holding = chosen.select(whole_number(col("equip_id")).alias("id")).distinct()
+        holding = chosen.select(id_column(chosen, "equip_id").alias("id")).distinct()
         gear = gear.join(holding, "id", "left_semi")
 
     return Selection(

@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantroom.functions.columns import (
     col,
     drop_matching,
+    filter_by_ids,
     full_join,
+    id_column,
     prefix_columns,
     require_columns,
     sort_columns,
-    whole_number,
+    unmatched,
 )
 from plantroom.operators.catalog import building_ids
 
@@ -82,7 +84,12 @@ def staging_view(
         drop_matching(prefix_columns(points, "p."), HIDDEN_COLUMNS, ignore_case=True), multi_equip
     )
     with_gear = full_join(staged, gear, "p.equip_ids", "e.equip_id")
-    return sort_columns(full_join(with_gear, hardware, "p.device_id", "d.device_id"))
+    # Equipment without points has no device, so the second join's keys are those
+    # of the points, and null if there is such equipment.
+    idle = unmatched(gear, "e.equip_id", staged.select(col("p.equip_ids")))
+    device_type = staged.schema["p.device_id"].dataType
+    device_keys = staged.select(col("p.device_id")).union(idle.select(F.lit(None).cast(device_type)))
+    return sort_columns(full_join(with_gear, hardware, "p.device_id", "d.device_id", device_keys))
 
 
 def staging_data(
@@ -103,13 +110,13 @@ def staging_data(
             raise ValueError("exactly one building is allowed")
         building = building[0]
     wanted = building_ids(buildings, building, check)
-    here = points.join(wanted, "building_id", "left_semi")
+    here = filter_by_ids(points, "building_id", wanted)
     if check and here.isEmpty():
         raise ValueError(f"no points found for building {building}")
     return staging_view(
         here,
-        equipment.join(wanted, "building_id", "left_semi"),
-        devices.join(wanted, "building_id", "left_semi"),
+        filter_by_ids(equipment, "building_id", wanted),
+        filter_by_ids(devices, "building_id", wanted),
         multi_equip,
     )
 
@@ -292,14 +299,13 @@ def withdrawal_pairs(rows: DataFrame) -> DataFrame:
     """The distinct (equipment_id, point_id) pairs listed, as far as these columns exist."""
     names = {"e.equipment_id": "equipment_id", "p.point_id": "point_id"}
     return rows.select(
-        *[whole_number(col(name)).alias(names[name]) for name in rows.columns if name in names]
+        *[id_column(rows, name).alias(names[name]) for name in rows.columns if name in names]
     ).distinct()
 
 
 def _without(df: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
     gone = ids.select(F.col(id_column).alias("__gone")).where("__gone is not null").distinct()
-    key: Column = whole_number(col(column))
-    return df.join(gone, key == F.col("__gone"), "left_anti")
+    return df.join(gone, id_column(df, column) == F.col("__gone"), "left_anti")
 
 
 def unpromote(

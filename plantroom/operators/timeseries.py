@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantroom.functions.columns import col, filter_by_ids, require_columns
+from plantroom.functions.columns import argument_table, col, filter_by_ids, require_columns
 from plantroom.functions.timeconv import to_second, utc_datetime, utc_literal
 
 Moment = datetime | str | float | int
@@ -52,29 +53,22 @@ def unpack_blocks(blocks: DataFrame, extra_columns: Sequence[str] = ()) -> DataF
     require_columns(blocks, ["point_id", "topic", "display", "columns", "values"], "blocks")
     wanted = ["time", "raw", "unit", *extra_columns]
     numbered = F.transform("columns", lambda name, no: F.struct(name.alias("name"), no.alias("at")))
-    kept = blocks.withColumn("__kept", F.filter(numbered, lambda entry: entry.getField("name") != "clean"))
-    named = kept.withColumn(
-        "__names",
-        F.transform(
-            "__kept", lambda entry, no: F.when(no == 2, F.lit("unit")).otherwise(entry.getField("name"))
-        ),
-    )
-    # array_position is 1-based and 0 for "absent", which get() turns into null.
-    positions = {
-        name: F.get(
-            F.col("__kept"), (F.array_position("__names", F.lit(name)) - 1).cast("int")
-        ).getField("at")
-        for name in wanted
-    }
-    readings = named.select(
-        "point_id",
-        "topic",
-        "display",
-        *[at.alias(f"__at_{name}") for name, at in positions.items()],
-        F.explode("values").alias("__reading"),
+    kept = F.filter(numbered, lambda entry: entry.getField("name") != "clean")
+    names = F.transform(
+        "__kept", lambda entry, no: F.when(no == 2, F.lit("unit")).otherwise(entry.getField("name"))
     )
+    named = blocks.withColumn("__kept", kept).withColumn("__names", names)
+
+    def position(name: str) -> Column:
+        # array_position is 1-based and 0 for "absent", which get() turns into null.
+        no = (F.array_position("__names", F.lit(name)) - 1).cast("int")
+        return F.get(F.col("__kept"), no).getField("at")
+
+    identity = ("point_id", "topic", "display")
+    located = named.select(*identity, "values", *[position(name).alias(f"__at_{name}") for name in wanted])
+    readings = located.select("*", F.explode("values").alias("__reading"))
     values = [F.get(F.col("__reading"), col(f"__at_{name}")).alias(name) for name in wanted]
-    return readings.select(*values, "point_id", "topic", "display")
+    return readings.select(*values, *identity)
 
 
 def in_range(readings: DataFrame, start: Moment, end: Moment, date_column: str | None = None) -> DataFrame:
@@ -104,8 +98,9 @@ def unit_factors(preferred: Mapping[str, str] | DataFrame, points: DataFrame, co
     offset) with one row per measurement and pair of units.
     """
     if isinstance(preferred, Mapping):
-        preferred = points.sparkSession.createDataFrame(
-            [(str(m), str(u)) for m, u in preferred.items()], "measurement string, to_unit string"
+        preferred = argument_table(
+            points.sparkSession,
+            {"measurement": (pa.string(), preferred.keys()), "to_unit": (pa.string(), preferred.values())},
         )
     usable = conversions.join(preferred, ["measurement", "to_unit"], "left_semi").select(
         F.col("measurement").alias("__measurement"), "from_unit", "scale", "offset"

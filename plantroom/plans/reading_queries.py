@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantroom.functions.columns import argument_table
 from plantroom.operators import timeseries
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
@@ -194,14 +196,13 @@ def ts_wide_flags(fx: Fixtures) -> DataFrame:
     return plain(timeseries.timeseries_wide(long, order_by=["time", "event_id"]))
 
 
-CONVERSIONS = "measurement string, from_unit string, to_unit string, scale double, offset double"
-CONVERSION_ROWS = [
-    ("kind 1", "degc", "k", 1.0, 273.15),
-    ("kind 1", "degc", "degf", 1.8, 32.0),
-    ("kind 2", "pa", "kpa", 0.001, 0.0),
-    ("kind 2", "pa", "bar", 0.00001, 0.0),
-    ("kind 3", "pa", "kpa", 0.001, 0.0),
-]
+CONVERSIONS = {
+    "measurement": (pa.string(), ["kind 1", "kind 1", "kind 2", "kind 2", "kind 3"]),
+    "from_unit": (pa.string(), ["degc", "degc", "pa", "pa", "pa"]),
+    "to_unit": (pa.string(), ["k", "degf", "kpa", "bar", "kpa"]),
+    "scale": (pa.float64(), [1.0, 1.8, 0.001, 0.00001, 0.001]),
+    "offset": (pa.float64(), [273.15, 32.0, 0.0, 0.0, 0.0]),
+}
 
 
 @query(
@@ -215,7 +216,7 @@ CONVERSION_ROWS = [
     )
 )
 def ts_units(fx: Fixtures) -> DataFrame:
-    conversions = fx.spark.createDataFrame(CONVERSION_ROWS, CONVERSIONS)
+    conversions = argument_table(fx.spark, CONVERSIONS)
     factors = timeseries.unit_factors({"kind 1": "degf", "kind 2": "kpa"}, fx.view("points"), conversions)
     found = timeseries.timeseries_raw(fx.view("readings"), START, END, None, factors)
     return found.select(*timeseries.READING_COLUMNS)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantroom.functions.columns import argument_table
 from plantroom.operators import staging
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
@@ -157,8 +159,9 @@ def upload_csv(fx: Fixtures) -> DataFrame:
 )
 def upload_by_equipment(fx: Fixtures) -> DataFrame:
     """An upload without topics changes every row of its equipment."""
-    rows = fx.spark.createDataFrame(
-        [("Customer#000000001", 7.5), ("Brand new", 8.5)], "`e.equip_id` string, `e.balance` double"
+    rows = argument_table(
+        fx.spark,
+        {"e.equip_id": (pa.string(), ["Customer#000000001", "Brand new"]), "e.balance": (pa.float64(), [7.5, 8.5])},
     )
     return plain(staging.upload(staged_table(fx).select("`p.topic`", "`e.equip_id`"), rows).staged)
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.functions.columns import flatten
+from plantroom.functions.columns import filter_by_ids, flatten
 from plantroom.operators import catalog, metadata, selection, staging, timeseries
 from plantroom.operators.catalog import Ids
 from plantroom.operators.timeseries import Moment
@@ -172,8 +172,8 @@ class Workspace:
     ) -> staging.LiveTables:
         """The building's live points and equipment without what is listed."""
         here = catalog.building_ids(self.table("buildings"), building)
-        points = self.table("points").join(here, "building_id", "left_semi")
-        equipment = self.table("equipment").join(here, "building_id", "left_semi")
+        points = filter_by_ids(self.table("points"), "building_id", here)
+        equipment = filter_by_ids(self.table("equipment"), "building_id", here)
         return staging.unpromote(points, equipment, data_to_unpromote, unpromote_type)
 
     def relationships(self) -> DataFrame:
