@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from plantroom.functions.columns import (
     argument_table,
-    col,
     filter_by_ids,
     inline_if_few,
     list_to_text,
@@ -183,6 +182,6 @@ def point_types(
     return joined.select("id", "point_type", "measurement_name", "unit", "data_type", "tags")
 
 
-def listing(table: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Tags, units or measurements as they are."""
-    return table if columns is None else table.select(*[col(name) for name in columns])
+def listing(table: DataFrame) -> DataFrame:
+    """Tags, units or measurements exactly as they are stored."""
+    return table

@@ -303,8 +303,9 @@ def withdrawal_pairs(rows: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _without(df: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
-    gone = ids.select(F.col(id_column).alias("__gone")).where("__gone is not null").distinct()
+def _without(df: DataFrame, column: str, pairs: DataFrame, listed: str) -> DataFrame:
+    """Rows whose ``column`` is not among the ids in column ``listed`` of ``pairs``."""
+    gone = pairs.select(F.col(listed).alias("__gone")).where("__gone is not null").distinct()
     return df.join(gone, id_column(df, column) == F.col("__gone"), "left_anti")
 
 

@@ -187,9 +187,9 @@ def units_all(fx: Fixtures) -> DataFrame:
     return catalog.listing(fx.view("units"))
 
 
-@query(with_views(["point_types"], "select id, first_tag, second_tag from v_point_types"))
+@query(with_views(["tags"], "select id, name, category from v_tags"))
 def tags_all(fx: Fixtures) -> DataFrame:
-    return catalog.listing(fx.view("point_types"), ["id", "first_tag", "second_tag"])
+    return catalog.listing(fx.view("tags"))
 
 
 @query(

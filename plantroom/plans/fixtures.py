@@ -60,6 +60,9 @@ VIEWS: dict[str, str] = {
                'u' || cast(p_partkey as varchar(20)) as name_abbr,
                case when p_partkey % 2 = 0 then 'Continuous' else 'Enum' end as data_type
         from {part}""",
+    "tags": """
+        select cast(p_partkey as int) as id, 'tag ' || cast(p_partkey as varchar(20)) as name, p_type as category
+        from {part}""",
     "point_types": """
         select cast(o_orderkey as int) as id, o_orderpriority || ' ' || cast(o_orderkey as varchar(20)) as tag_name,
                cast(case when o_orderkey % 9 = 0 then null
