@@ -145,7 +145,8 @@ def filter_by_ids(
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        wanted = ids.select(id_column(ids, ids.columns[0]).alias("__wanted")).where("__wanted is not null")
+        # Made distinct first: an id listed millions of times would burden one task of the join.
+        wanted = ids.select(id_column(ids, ids.columns[0]).alias("__wanted")).where("__wanted is not null").distinct()
         if if_no_valid_id == "all" and wanted.isEmpty():
             return df
         return df.join(wanted, col(column) == F.col("__wanted"), "left_semi")

@@ -124,10 +124,9 @@ def metadata_by_selection(
         point_ids, equipment_ids = selection.get("points"), selection.get("equipment")
     else:
         raise ValueError("selection must be a Selection or a mapping with lists of ids per entity")
-    if point_ids is None:
-        point_ids = []
+    if not isinstance(point_ids, DataFrame):
+        point_ids = list(point_ids or [])
     if check:
-        nothing = point_ids.isEmpty() if isinstance(point_ids, DataFrame) else len(list(point_ids)) == 0
-        if nothing:
+        if point_ids.isEmpty() if isinstance(point_ids, DataFrame) else not point_ids:
             raise ValueError("no metadata found")
     return assemble_metadata(equipment_by_ids(equipment, equipment_ids), points_by_ids(points, point_ids))

@@ -59,6 +59,14 @@ class Selection:
     buildings: DataFrame
     orgs: DataFrame
 
+    def kept(self) -> "Selection":
+        """The same selection computed once, for use in several queries.
+
+        The ids are written to the session's checkpoint directory (setting
+        ``spark.checkpoint.dir``), so they outlive any executor.
+        """
+        return Selection(*[getattr(self, f.name).checkpoint() for f in fields(self)])
+
 
 def _among(column: str, values: list) -> Column:
     return col(column).isin(values)

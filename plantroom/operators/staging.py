@@ -34,6 +34,9 @@ HIDDEN_COLUMNS = (
 # Fixed value: equipment name of rows that are to be left alone.
 SKIP = "__SKIP__"
 
+# Marks the text of several equipment names while rows are joined, so that it equals no single name.
+MANY = "\u0000"
+
 # Messages that report nothing wrong, and the sections of an error report.
 SKIPPED_EQUIPMENT = "Skipped equipment not validated"
 SKIPPED_POINTS = "Skipped points are not validated"
@@ -52,13 +55,18 @@ def staged_in(table: DataFrame, building_id: int) -> DataFrame:
 def _equip_key(points: DataFrame, multi_equip: str) -> DataFrame:
     """Replace the equipment list of staged points by one text key.
 
-    A list of one is its element. A longer list is text no equipment is called,
-    or with ``multi_equip="explode"`` one row per element. An empty list is null.
+    A list of one is its element. A longer list is a text marked as no equipment's
+    name, or with ``multi_equip="explode"`` one row per element. An empty list is
+    null.
     """
     if not isinstance(points.schema["p.equip_ids"].dataType, T.ArrayType):
         return points
     names = col("p.equip_ids").cast("array<string>")
-    key = F.explode_outer(names) if multi_equip == "explode" else F.when(F.size(names) > 0, F.array_join(names, ", "))
+    if multi_equip == "explode":
+        key = F.explode_outer(names)
+    else:
+        text = F.array_join(names, ", ")
+        key = F.when(F.size(names) == 1, names[0]).when(F.size(names) > 1, F.concat(F.lit(MANY), text))
     return points.select([key.alias(n) if n == "p.equip_ids" else col(n) for n in points.columns])
 
 
@@ -89,7 +97,8 @@ def staging_view(
     idle = unmatched(gear, "e.equip_id", staged.select(col("p.equip_ids")))
     device_type = staged.schema["p.device_id"].dataType
     device_keys = staged.select(col("p.device_id")).union(idle.select(F.lit(None).cast(device_type)))
-    return sort_columns(full_join(with_gear, hardware, "p.device_id", "d.device_id", device_keys))
+    rows = full_join(with_gear, hardware, "p.device_id", "d.device_id", device_keys)
+    return sort_columns(rows.withColumn("p.equip_ids", F.ltrim(col("p.equip_ids"), F.lit(MANY))))
 
 
 def staging_data(
@@ -223,7 +232,7 @@ def promote(staged: DataFrame, live: DataFrame, chosen: DataFrame | None = None)
         require_columns(chosen, ["e.equip_id", "p.topic"], "rows to promote")
         pairs = chosen.where(col("e.equip_id") != SKIP).select(
             col("e.equip_id").alias("__equip"), col("p.topic").alias("__topic")
-        )
+        ).distinct()
         same = (col("e.equip_id") == F.col("__equip")) & (col("p.topic") == F.col("__topic"))
         staged = staged.join(pairs, same, "left_semi")
     no_topic = col("p.topic").isNull()

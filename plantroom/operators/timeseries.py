@@ -52,20 +52,17 @@ def unpack_blocks(blocks: DataFrame, extra_columns: Sequence[str] = ()) -> DataF
     """
     require_columns(blocks, ["point_id", "topic", "display", "columns", "values"], "blocks")
     wanted = ["time", "raw", "unit", *extra_columns]
-    numbered = F.transform("columns", lambda name, no: F.struct(name.alias("name"), no.alias("at")))
-    kept = F.filter(numbered, lambda entry: entry.getField("name") != "clean")
-    names = F.transform(
-        "__kept", lambda entry, no: F.when(no == 2, F.lit("unit")).otherwise(entry.getField("name"))
-    )
-    named = blocks.withColumn("__kept", kept).withColumn("__names", names)
+    unit_symbol = F.get(F.array_remove("columns", "clean"), F.lit(2))
 
     def position(name: str) -> Column:
         # array_position is 1-based and 0 for "absent", which get() turns into null.
-        no = (F.array_position("__names", F.lit(name)) - 1).cast("int")
-        return F.get(F.col("__kept"), no).getField("at")
+        if name == "unit":
+            return (F.array_position("columns", unit_symbol) - 1).cast("int")
+        renamed = F.coalesce(unit_symbol == name, F.lit(False))
+        return F.when(~renamed, F.array_position("columns", F.lit(name)) - 1).cast("int")
 
     identity = ("point_id", "topic", "display")
-    located = named.select(*identity, "values", *[position(name).alias(f"__at_{name}") for name in wanted])
+    located = blocks.select(*identity, "values", *[position(name).alias(f"__at_{name}") for name in wanted])
     readings = located.select("*", F.explode("values").alias("__reading"))
     values = [F.get(F.col("__reading"), col(f"__at_{name}")).alias(name) for name in wanted]
     return readings.select(*values, *identity)

@@ -22,7 +22,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.12g}"
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return value

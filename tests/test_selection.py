@@ -73,3 +73,15 @@ def test_points_and_equipment_by_ids(site, table):
     assert S.points_by_ids(points, []).count() == 0 and S.points_by_ids(points, None).count() == 0
     assert rows(S.points_by_ids(points, range(100, 3000)), "id")[0] == (100,)
     assert rows(S.equipment_by_ids(equipment, table("id int", (10,), (10,), (99,))), "id") == [(10,)]
+
+
+def test_a_kept_selection_no_longer_depends_on_the_tables(site):
+    found = S.select_points({"buildings": 2}, *site).kept()
+    assert rows(found.points) == [(103,), (104,)] and rows(found.equipment) == [(12,)]
+    assert "Join" not in found.points._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_listed_over_and_over_collapse_before_the_join(site, spark):
+    points, _, _ = site
+    plan = S.points_by_ids(points, spark.range(10))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan

@@ -61,6 +61,13 @@ def test_several_equipment_exploded(area):
         view(area, multi_equip="some")
 
 
+def test_several_equipment_never_meet_one_of_that_name(area, table):
+    buildings, points, _, devices = area
+    odd = table("equip_id string, building_id int, kind string", ("A, B", 1, "odd"))
+    out = S.staging_data(1, buildings, points, odd, devices)
+    assert rows(out.where("`p.equip_ids` = 'A, B'"), "`p.topic`", "`e.kind`") == sorted([("t3", None), (None, "odd")], key=repr)
+
+
 def test_no_devices_adds_no_row(area):
     buildings, points, equipment, devices = area
     out = S.staging_data(1, buildings, points, equipment, devices.where("false"))
