@@ -15,6 +15,11 @@ from plantroom.functions.timeconv import to_second, utc_datetime, utc_literal
 
 Moment = datetime | str | float | int
 
+#: Schema of nested reading blocks; numbers, texts and nulls all arrive as text or null.
+BLOCK_SCHEMA = (
+    "point_id bigint, topic string, display string, columns array<string>, values array<array<string>>"
+)
+
 #: Columns of a long table of readings.
 READING_COLUMNS = ("time", "raw", "unit", "point_id", "topic", "display")
 
@@ -89,11 +94,15 @@ def in_range(readings: DataFrame, start: Moment, end: Moment, date_column: str |
 def unit_factors(preferred: Mapping[str, str] | DataFrame, points: DataFrame, conversions: DataFrame) -> DataFrame:
     """(point_id, scale, offset) of the points whose unit is to change.
 
-    ``preferred`` maps measurements to units, as a mapping or as a table
-    (measurement, to_unit). ``points`` gives each point's ``measurement`` and
-    ``units``; ``conversions`` is (measurement, from_unit, to_unit, scale,
-    offset) with one row per measurement and pair of units.
+    ``preferred`` maps measurements to units, as a mapping, as a table
+    (measurement, to_unit), or as a single row with a column per measurement.
+    ``points`` gives each point's ``measurement`` and ``units``; ``conversions``
+    is (measurement, from_unit, to_unit, scale, offset) with one row per
+    measurement and pair of units.
     """
+    if isinstance(preferred, DataFrame) and not {"measurement", "to_unit"} <= set(preferred.columns):
+        row = preferred.first()
+        preferred = {} if row is None else {m: u for m, u in row.asDict().items() if u is not None}
     if isinstance(preferred, Mapping):
         preferred = argument_table(
             points.sparkSession,

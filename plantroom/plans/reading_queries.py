@@ -10,6 +10,7 @@ from plantroom.functions.columns import argument_table
 from plantroom.operators import timeseries
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
+from plantroom.sources.documents import parse_json
 
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 WEEK_START, WEEK_END = "2024-01-08T00:00:00Z", "2024-01-15T00:00:00Z"
@@ -94,10 +95,7 @@ BLOCKS_SQL = """
   where event_id % 10 <> 0 and event_id % 2 = 0"""
 
 
-@query(with_views(["readings"], BLOCKS_SQL))
-def ts_blocks(fx: Fixtures) -> DataFrame:
-    """Nested blocks to long rows."""
-    long = timeseries.unpack_blocks(packed_blocks(fx))
+def _typed(long: DataFrame) -> DataFrame:
     return long.select(
         F.col("time").try_cast("timestamp_ntz").alias("time"),
         F.col("raw").try_cast("double").alias("raw"),
@@ -108,6 +106,46 @@ def ts_blocks(fx: Fixtures) -> DataFrame:
     )
 
 
+@query(with_views(["readings"], BLOCKS_SQL))
+def ts_blocks(fx: Fixtures) -> DataFrame:
+    """Nested blocks to long rows."""
+    return _typed(timeseries.unpack_blocks(packed_blocks(fx)))
+
+
+@query(with_views(["readings"], BLOCKS_SQL))
+def ts_blocks_json(fx: Fixtures) -> DataFrame:
+    """Nested blocks as JSON texts in which numbers are numbers."""
+    blocks = packed_blocks(fx)
+    quoted = F.to_json("values")
+    # Unquote what is a number, as a service would send it.
+    values = F.regexp_replace(quoted, r'"(-?[0-9]+[.]?[0-9]*(?:[eE][-+]?[0-9]+)?)"', "$1")
+    text = F.concat(
+        F.lit('{"point_id":'), F.col("point_id"), F.lit(',"topic":"'), "topic", F.lit('","display":"'), "display",
+        F.lit('","columns":'), F.to_json("columns"), F.lit(',"values":'), values, F.lit("}"),
+    )
+    parsed = parse_json(blocks.select(text.alias("block")), "block", timeseries.BLOCK_SCHEMA, flat=False)
+    return _typed(timeseries.unpack_blocks(parsed))
+
+
+@query(
+    with_views(
+        ["readings"],
+        f""", long as ({BLOCKS_SQL}),
+             kept as (select date_trunc('second', time) as second, display, unit as cell,
+                             row_number() over (partition by date_trunc('second', time), display
+                                                order by time, point_id, unit nulls first) as no
+                      from long where time >= timestamp '2024-01-08 00:00:00' and time < timestamp '2024-01-22 00:00:00')
+             select second as time, """
+        + ", ".join(f"max(case when display = '{name}' then cell end) as \"{name}\"" for name in KINDS)
+        + " from kept where no = 1 group by second",
+    )
+)
+def ts_wide_from_blocks(fx: Fixtures) -> DataFrame:
+    """The whole way: text blocks to long rows, two weeks of them, typed and wide."""
+    long = timeseries.unpack_blocks(packed_blocks(fx))
+    return plain(timeseries.timeseries(long, "2024-01-08", "2024-01-22", None))
+
+
 @query(_wide_sql("readings", "unit", KINDS, "time, event_id"))
 def ts_wide_default(fx: Fixtures) -> DataFrame:
     long = timeseries.timeseries_raw(fx.view("readings"), START, END, None)

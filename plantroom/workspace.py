@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plantroom.functions.columns import filter_by_ids, flatten
 from plantroom.operators import catalog, metadata, selection, staging, timeseries
@@ -13,6 +14,7 @@ from plantroom.operators.catalog import Ids
 from plantroom.operators.timeseries import Moment
 from plantroom.session import configure
 from plantroom.sources.tables import read_table
+from plantroom.sources.uploads import read_upload_csv
 
 Buildings = Sequence[int | str] | int | str
 
@@ -161,6 +163,11 @@ class Workspace:
     def upload_staging(self, building: Buildings, data_to_upload: DataFrame) -> staging.UploadResult:
         return staging.upload(self.staged_rows(building), data_to_upload)
 
+    def upload_staging_csv(self, building: Buildings, path: str, schema: StructType | str) -> staging.UploadResult:
+        """CSV files with a header row in place of a table."""
+        rows = read_upload_csv(self.table("staging_points").sparkSession, path, schema)
+        return self.upload_staging(building, rows)
+
     def promote_data(
         self, building: Buildings, live: DataFrame, data_to_promote: DataFrame | None = None
     ) -> staging.PromotionResult:

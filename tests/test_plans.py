@@ -34,6 +34,19 @@ def test_few_columns_one_shuffle(spark):
     assert plan_of(driver.queries()["ts_wide_raw"](spark, SF_DIR)).count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", ["ts_wide_raw", "ts_wide_by_point"])
+def test_crowded_seconds_shrink_before_the_shuffle(spark, name):
+    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    first_shuffle = plan.rindex("Exchange")
+    assert "partial_min(" in plan[first_shuffle:]
+
+
+def test_many_columns_shuffle_narrow_rows(spark):
+    plan = plan_of(driver.queries()["ts_wide_by_point"](spark, "/root/testdata/sf0.01"))
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("pivotfirst") < plan.index("REPARTITION_BY_COL")
+
+
 def test_blocks_need_no_shuffle(spark):
     assert "Exchange" not in plan_of(driver.queries()["ts_blocks"](spark, SF_DIR))
 

@@ -125,6 +125,13 @@ def test_staging_round(site, table):
     assert pairs.count() == 2
 
 
+def test_csv_upload(site, tmp_path):
+    path = tmp_path / "batch.csv"
+    path.write_text("p.topic,e.equip_id\nt8,VAV-9\n")
+    result = site.upload_staging_csv("Office", str(path), "`p.topic` string, `e.equip_id` string")
+    assert rows(result.staged, "`p.topic`", "`e.equip_id`") == [("t1", "AHU-1"), ("t8", "VAV-9"), ("t9", "AHU-1")]
+
+
 def test_tables_on_storage(tables, spark, tmp_path):
     root = str(tmp_path)
     for entity in ("buildings", "points", "equipment"):
