@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 #: Parquet scan. Longer ones become a semi-join whose strategy Spark picks by size.
 INLINE_ID_LIMIT = 1000
 
+#: A table with at most this many rows may be broadcast on request.
+BROADCAST_ROW_LIMIT = 100_000
+
 
 def col(name: str) -> Column:
     """Column by its literal name, dots included."""
@@ -175,8 +178,18 @@ def unmatched(right: DataFrame, right_key: str, left_keys: DataFrame) -> DataFra
     return right.join(keys, col(right_key).eqNullSafe(F.col("__left_key")), "left_anti")
 
 
+def is_short(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether ``df`` has at most ``limit`` rows; a small job that stops reading there."""
+    return df.limit(limit + 1).count() <= limit
+
+
 def full_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_keys: DataFrame | None = None
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    left_keys: DataFrame | None = None,
+    broadcast_right: bool = False,
 ) -> DataFrame:
     """Full outer join in which null matches null and the left key column survives.
 
@@ -188,10 +201,13 @@ def full_join(
 
     Column names of the two sides must not overlap. ``left_keys`` may supply all
     values of ``left_key`` where they are cheaper to get than from ``left``.
+    ``broadcast_right`` is for a right side that was found short (:func:`is_short`)
+    but that Spark overestimates, as it does with the result of a join.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"both sides have column(s): {', '.join(sorted(overlap))}")
-    matched = left.join(right, col(left_key).eqNullSafe(col(right_key)), "left").drop(col(right_key))
+    looked_up = F.broadcast(right) if broadcast_right else right
+    matched = left.join(looked_up, col(left_key).eqNullSafe(col(right_key)), "left").drop(col(right_key))
     right_only = unmatched(right, right_key, left.select(col(left_key)) if left_keys is None else left_keys)
     return matched.unionByName(right_only.withColumnRenamed(right_key, left_key), allowMissingColumns=True)

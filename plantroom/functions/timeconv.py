@@ -22,12 +22,12 @@ def epoch_to_utc(value: Column, dtype: T.DataType) -> Column:
     no interest. Null and junk give null. A double goes through a decimal first,
     because its own text form would be scientific.
     """
+    if isinstance(dtype, T.IntegralType):
+        return F.timestamp_seconds(F.substring(value.cast("string"), 1, EPOCH_DIGITS).try_cast("bigint"))
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        text = value.try_cast("decimal(30,6)").cast("string")
-    else:
-        text = value.cast("string")
-    seconds = F.substring(text, 1, EPOCH_DIGITS).try_cast("decimal(16,6)")
-    return F.timestamp_seconds(seconds)
+        value = value.try_cast("decimal(30,6)")
+    text = F.substring(value.cast("string"), 1, EPOCH_DIGITS)
+    return F.timestamp_seconds(text.try_cast("decimal(16,6)"))
 
 
 def decode_epochs(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from plantroom.functions.columns import (
     filter_by_ids,
     full_join,
     id_column,
+    is_short,
     prefix_columns,
     require_columns,
     sort_columns,
@@ -47,13 +48,19 @@ def _with_parent_name(equipment: DataFrame) -> DataFrame:
     return equipment.join(names, parent_id.eqNullSafe(F.col("__parent_id")), "left").drop("__parent_id")
 
 
-def assemble_metadata(equipment: DataFrame, points: DataFrame) -> DataFrame:
+def assemble_metadata(equipment: DataFrame, points: DataFrame, broadcast: bool = True) -> DataFrame:
     """Equipment and points in one row each, cleaned up.
 
     Every point and every equipment is kept: points without equipment have null
     equipment columns and a null ``building_id`` (their own is dropped), and
     ``e.equipment_id`` of a dangling point is the id it refers to. Nested input
     has to be flattened first.
+
+    Small jobs count the equipment, up to a limit. Below it, equipment is
+    broadcast and no point is shuffled; Spark would not find out by itself,
+    because it takes the parent lookup for a multiplication. Above it, the points
+    are shuffled by equipment, with hot equipment split by adaptive execution.
+    ``broadcast=False`` skips the jobs and leaves the choice to Spark.
     """
     require_columns(equipment, ["id", "equip_id", "building_id", "equip_type_tag", "parent_equip"], "equipment")
     require_columns(
@@ -62,11 +69,11 @@ def assemble_metadata(equipment: DataFrame, points: DataFrame) -> DataFrame:
         "points",
     )
     left = prefix_columns(points.withColumn("equip_id", id_column(points, "equip_id")), "p.")
-    right = prefix_columns(
-        _with_parent_name(equipment.withColumn("id", id_column(equipment, "id"))), "e."
-    )
+    named = _with_parent_name(equipment.withColumn("id", id_column(equipment, "id")))
+    short = broadcast and is_short(equipment) and is_short(named)
+    right = prefix_columns(named, "e.")
     # The surviving key column carries the points' name; it is the equipment's id.
-    rows = full_join(left, right, "p.equip_id", "e.id").withColumnRenamed("p.equip_id", "e.id")
+    rows = full_join(left, right, "p.equip_id", "e.id", broadcast_right=short).withColumnRenamed("p.equip_id", "e.id")
     rows = rows.withColumn(
         "p.tagged_units", F.coalesce(col("p.tagged_units").cast("string"), col("p.units"))
     ).withColumnsRenamed(RENAMED_COLUMNS)

@@ -32,6 +32,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "pla
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in RUNTIME_SETTINGS.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Fixed names: one Parquet directory per entity under a workspace root.
 ENTITIES = (
@@ -28,11 +29,18 @@ ENTITIES = (
 )
 
 
-def read_table(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """One entity; files with differing columns are merged by name."""
+def read_table(spark: SparkSession, root: str, entity: str, schema: StructType | str | None = None) -> DataFrame:
+    """One entity. Files with differing columns are merged by name.
+
+    Merging opens every file's footer, so the readings, by far the largest table,
+    take their columns from one file. Pass ``schema`` to open none at all.
+    """
     if entity not in ENTITIES:
         raise ValueError(f"unknown entity '{entity}'")
-    return spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/{entity}")
+    reader = spark.read.option("mergeSchema", entity != "readings")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(f"{root.rstrip('/')}/{entity}")
 
 
 def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -68,6 +68,17 @@ def test_no_state_texts_no_column(equipment, points):
     assert "p.state_text" not in M.assemble_metadata(equipment, plain).columns
 
 
+def test_broadcast_only_below_the_limit(equipment, points, monkeypatch):
+    def plan(**options):
+        return M.assemble_metadata(equipment, points, **options)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "rightHint=(strategy=broadcast)" in plan()
+    assert "strategy=broadcast" not in plan(broadcast=False)
+    monkeypatch.setattr(M, "is_short", lambda df: df.limit(3).count() <= 2)
+    assert "strategy=broadcast" not in plan()
+    assert rows(M.assemble_metadata(equipment, points)) == rows(M.assemble_metadata(equipment, points, broadcast=False))
+
+
 def test_counts_add_up(equipment, points):
     out = M.assemble_metadata(equipment, points)
     matched = out.where("`p.point_id` is not null and building_id is not null").count()
