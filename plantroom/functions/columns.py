@@ -120,16 +120,36 @@ def id_column(df: DataFrame, name: str) -> Column:
 
 
 def valid_ids(ids: Iterable) -> list[int]:
-    """The entries of a Python list that are whole-number ids, each once."""
+    """The entries of a Python list that are whole-number ids of 64 bits, each once."""
     found: dict[int, None] = {}
     for value in ids:
         try:
-            found[int(Decimal(str(value)))] = None
+            number = int(Decimal(str(value)))
         except (ArithmeticError, ValueError):
             continue
+        if abs(number) < 2**63:
+            found[number] = None
     return list(found)
 
 
+def spread(*keys: Column) -> Column:
+    """A bucket number that follows from ``keys``, to be grouped by along with them.
+
+    It changes no group. But rows grouped by their keys alone come out
+    partitioned by them, a join on these keys takes them as they are, and
+    adaptive execution only splits hot keys of joins that shuffle both sides.
+    Grouped like this, the few grouped rows are shuffled once more and the hot
+    key on the other side can be split.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(64))
+
+
+def distinct_keys(df: DataFrame) -> DataFrame:
+    """``df.distinct()`` for the right side of a join on all its columns."""
+    bucket = spread(*[col(name) for name in df.columns]).alias("__bucket")
+    return df.select("*", bucket).distinct().drop("__bucket")
+
+
 def filter_by_ids(
     df: DataFrame,
     column: str,
@@ -149,10 +169,10 @@ def filter_by_ids(
         return df
     if isinstance(ids, DataFrame):
         # Made distinct first: an id listed millions of times would burden one task of the join.
-        wanted = ids.select(id_column(ids, ids.columns[0]).alias("__wanted")).where("__wanted is not null").distinct()
+        wanted = ids.select(id_column(ids, ids.columns[0]).alias("__wanted")).where("__wanted is not null")
         if if_no_valid_id == "all" and wanted.isEmpty():
             return df
-        return df.join(wanted, col(column) == F.col("__wanted"), "left_semi")
+        return df.join(distinct_keys(wanted), col(column) == F.col("__wanted"), "left_semi")
     wanted_list = valid_ids([ids] if isinstance(ids, (int, str)) else ids)
     if not wanted_list:
         return df if if_no_valid_id == "all" else df.where(F.lit(False))
@@ -174,7 +194,7 @@ def inline_if_few(ids: DataFrame) -> list[int] | DataFrame:
 
 def unmatched(right: DataFrame, right_key: str, left_keys: DataFrame) -> DataFrame:
     """Rows of ``right`` whose key, null included, is not among ``left_keys`` (one column)."""
-    keys = left_keys.select(col(left_keys.columns[0]).alias("__left_key")).distinct()
+    keys = distinct_keys(left_keys.select(col(left_keys.columns[0]).alias("__left_key")))
     return right.join(keys, col(right_key).eqNullSafe(F.col("__left_key")), "left_anti")
 
 

@@ -174,12 +174,21 @@ def point_types(
     tags_type = table.schema["tags"].dataType
     if tags_as_text and isinstance(tags_type, T.ArrayType):
         tags = list_to_text(tags, tags_type)
-    expanded = measurement_units(measurements, units).select(
-        F.col("id").alias("__measurement"), "measurement_name", "unit", "data_type"
-    )
-    types = table.select("id", F.col("tag_name").alias("point_type"), "measurement_id", tags.alias("tags"))
-    joined = types.join(expanded, F.col("measurement_id").eqNullSafe(F.col("__measurement")), "left")
-    return joined.select("id", "point_type", "measurement_name", "unit", "data_type", "tags")
+    rows = table.select("id", F.col("tag_name").alias("point_type"), "measurement_id", tags.alias("tags"))
+    if units is None:
+        known = measurement_units(measurements).select(
+            F.col("id").alias("__measurement"), "measurement_name", "unit", "data_type"
+        )
+    else:
+        # Units are joined last: each side stays a plain table whose size Spark knows.
+        known = measurements.select(F.col("id").alias("__measurement"), F.col("name").alias("measurement_name"))
+    rows = rows.join(known, F.col("measurement_id").eqNullSafe(F.col("__measurement")), "left")
+    if units is not None:
+        listed = units.select(
+            F.col("measurement_id").alias("__unit_of"), F.col("name_abbr").alias("unit"), "data_type"
+        )
+        rows = rows.join(listed, F.col("__measurement") == F.col("__unit_of"), "left")
+    return rows.select("id", "point_type", "measurement_name", "unit", "data_type", "tags")
 
 
 def listing(table: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from plantroom.functions.columns import (
     col,
+    distinct_keys,
     drop_matching,
     filter_by_ids,
     full_join,
@@ -18,6 +19,7 @@ from plantroom.functions.columns import (
     prefix_columns,
     require_columns,
     sort_columns,
+    spread,
     unmatched,
 )
 from plantroom.operators.catalog import building_ids
@@ -137,7 +139,9 @@ def _one_per_key(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     key repeated without end costs one row per task.
     """
     whole = F.struct(*[col(name) for name in rows.columns])
-    versions = rows.groupBy(col(key).alias("__key")).agg(F.min(whole).alias("__low"), F.max(whole).alias("__high"))
+    versions = rows.groupBy(col(key).alias("__key"), spread(col(key)).alias("__bucket")).agg(
+        F.min(whole).alias("__low"), F.max(whole).alias("__high")
+    )
     single = versions.where(F.col("__low").eqNullSafe(F.col("__high"))).select("__low.*")
     several = versions.where(~F.col("__low").eqNullSafe(F.col("__high"))).select(F.col("__key").alias(key))
     return single, several
@@ -230,9 +234,8 @@ def promote(staged: DataFrame, live: DataFrame, chosen: DataFrame | None = None)
     require_columns(staged, ["e.equip_id", "p.topic"], "staging table")
     if chosen is not None:
         require_columns(chosen, ["e.equip_id", "p.topic"], "rows to promote")
-        pairs = chosen.where(col("e.equip_id") != SKIP).select(
-            col("e.equip_id").alias("__equip"), col("p.topic").alias("__topic")
-        ).distinct()
+        listed = chosen.where(col("e.equip_id") != SKIP)
+        pairs = distinct_keys(listed.select(col("e.equip_id").alias("__equip"), col("p.topic").alias("__topic")))
         same = (col("e.equip_id") == F.col("__equip")) & (col("p.topic") == F.col("__topic"))
         staged = staged.join(pairs, same, "left_semi")
     no_topic = col("p.topic").isNull()
@@ -314,7 +317,7 @@ def withdrawal_pairs(rows: DataFrame) -> DataFrame:
 
 def _without(df: DataFrame, column: str, pairs: DataFrame, listed: str) -> DataFrame:
     """Rows whose ``column`` is not among the ids in column ``listed`` of ``pairs``."""
-    gone = pairs.select(F.col(listed).alias("__gone")).where("__gone is not null").distinct()
+    gone = distinct_keys(pairs.select(F.col(listed).alias("__gone")).where("__gone is not null"))
     return df.join(gone, id_column(df, column) == F.col("__gone"), "left_anti")
 
 

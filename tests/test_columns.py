@@ -46,7 +46,7 @@ def test_columns_to_text(table):
 
 
 def test_valid_ids():
-    assert C.valid_ids([1, "2", "x", None, 2.9, "", float("nan"), 1, "9007199254740993"]) == [1, 2, 9007199254740993]
+    assert C.valid_ids([1, "2", "x", None, 2.9, "", float("nan"), 1, "9007199254740993", "9e99"]) == [1, 2, 9007199254740993]
 
 
 @pytest.mark.parametrize(

@@ -7,7 +7,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from plantroom.functions.columns import full_join
+from plantroom.functions.columns import filter_by_ids, full_join
+from plantroom.operators.metadata import assemble_metadata
+from plantroom.operators.staging import unpromote, upload, upsert
+from plantroom.operators.timeseries import convert_units
 from plantroom.plans import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -51,8 +54,9 @@ def test_blocks_need_no_shuffle(spark):
     assert "Exchange" not in plan_of(driver.queries()["ts_blocks"](spark, SF_DIR))
 
 
-def test_hot_key_of_a_full_join_is_split(spark):
-    """Without broadcasts, the task holding a third of all rows is split at run time."""
+@pytest.fixture
+def eager_splitting(spark):
+    """No broadcasts, and thresholds at which a few thousand rows count as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -64,22 +68,19 @@ def test_hot_key_of_a_full_join_is_split(spark):
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        hot = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id"))
-        left = spark.range(0, 60000, 1, 16).select(hot.alias("lk"), F.sha2(F.col("id").cast("string"), 256).alias("lv"))
-        right = spark.range(0, 60010, 1, 4).select(F.col("id").alias("rk"), F.col("id").cast("string").alias("rv"))
-        out = full_join(left, right, "lk", "rk")
-        counts = out.groupBy(
-            F.col("lv").isNull().alias("right_only"), F.col("rv").isNull().alias("left_only")
-        ).count()
-        assert "skew=true" in _final_plan(out)
-        assert rows(counts) == [(False, False, 40000), (False, True, 20000), (True, False, 60010 - 20000 - 1)]
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+@pytest.fixture
+def hot(spark):
+    """60,000 rows: a third without key, a third with key 7, a third spread out."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id"))
+    return spark.range(0, 60000, 1, 16).select(key.alias("lk"), F.sha2(F.col("id").cast("string"), 256).alias("lv"))
 
 
 def _final_plan(df):
@@ -87,3 +88,70 @@ def _final_plan(df):
     execution = df._jdf.queryExecution()
     execution.executedPlan().executeCollect()
     return execution.executedPlan().toString()
+
+
+def test_hot_key_of_a_full_join_is_split(spark, eager_splitting, hot):
+    right = spark.range(0, 60010, 1, 4).select(F.col("id").alias("rk"), F.col("id").cast("string").alias("rv"))
+    out = full_join(hot, right, "lk", "rk")
+    assert "skew=true" in _final_plan(out)
+    counts = out.groupBy(F.col("lv").isNull().alias("right_only"), F.col("rv").isNull().alias("left_only")).count()
+    assert rows(counts) == [(False, False, 40000), (False, True, 20000), (True, False, 60010 - 20000 - 1)]
+
+
+def test_hot_point_of_a_semi_join_is_split(spark, eager_splitting, hot):
+    wanted = spark.range(0, 60000, 1, 4).select((F.col("id") % 30000).alias("id"))
+    out = filter_by_ids(hot, "lk", wanted)
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 20000 + hot.where("lk < 30000 and lk <> 7").count()
+
+
+def test_hot_point_of_a_unit_conversion_is_split(spark, eager_splitting, hot):
+    readings = hot.select(F.col("lk").alias("point_id"), F.lit(2.0).alias("raw"), F.lit(0.0).alias("unit"), "lv")
+    factors = spark.range(0, 60000, 1, 4).select(
+        F.col("id").alias("point_id"), F.lit(3.0).alias("scale"), F.lit(1.0).alias("offset")
+    )
+    out = convert_units(readings, factors)
+    assert "skew=true" in _final_plan(out)
+    assert rows(out.groupBy("unit").count()) == [(0.0, 20000), (7.0, 40000)]
+
+
+def test_hot_equipment_of_an_upsert_is_split(spark, eager_splitting, hot):
+    updates = spark.range(0, 60010, 1, 4).select(F.col("id").alias("lk"), F.lit("new").alias("lv"))
+    out = upsert(hot, updates, "lk")
+    assert "skew=true" in _final_plan(out)
+    assert out.where("lv = 'new'").count() == 40000 + 60010 - 20000 - 1 and out.where("lk is null").count() == 20000
+
+
+def test_hot_equipment_of_an_upload_is_split(spark, eager_splitting, hot):
+    staged = hot.select(F.concat(F.lit("E"), "lk").alias("e.equip_id"), F.col("lv").alias("p.topic"))
+    staged = staged.where("`e.equip_id` is not null")
+    rows_up = spark.range(0, 60000, 1, 4).select(F.concat(F.lit("E"), "id").alias("e.equip_id"), F.lit(1).alias("e.n"))
+    out = upload(staged, rows_up).staged
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 40000 + 40000 - 1
+
+
+def test_hot_equipment_of_a_withdrawal_is_split(spark, eager_splitting, hot):
+    relationships = hot.select(F.col("lk").alias("equipment_id"), F.monotonically_increasing_id().alias("point_id"))
+    live = spark.range(10).select("id", F.lit("x").alias("name"))
+    listed = spark.range(0, 60000, 1, 4).select((F.col("id") % 30000).alias("e.equipment_id"))
+    left = unpromote(live, live, listed.where("`e.equipment_id` <> 7"), "equipment", relationships)
+    assert "skew=true" in _final_plan(left.relationships)
+    assert left.relationships.where("equipment_id = 7").count() == 20000 + 0
+    assert left.relationships.where("equipment_id < 30000 and equipment_id <> 7").count() == 0
+
+
+def test_hot_equipment_of_metadata_is_split(spark, eager_splitting, hot):
+    points = hot.select(
+        F.monotonically_increasing_id().alias("id"), F.col("lk").alias("equip_id"), F.col("lv").alias("type"),
+        *[F.lit(None).cast("string").alias(n) for n in ("units", "tagged_units")],
+        *[F.lit(None).cast("bigint").alias(n) for n in ("first_updated", "last_updated")],
+    )
+    equipment = spark.range(0, 60010, 1, 4).select(
+        "id", F.col("id").cast("string").alias("equip_id"), F.lit(1).alias("building_id"),
+        F.lit("ahu").alias("equip_type_tag"), F.when(F.col("id") % 3 > 0, F.lit(1)).alias("parent_equip"),
+    )
+    out = assemble_metadata(equipment, points, broadcast=False)
+    assert _final_plan(out).count("skew=true") >= 2
+    assert out.count() == 60000 + 60010 - 20000 - 1
+    assert out.where("`e.parent` = '1'").count() > 0
