@@ -42,7 +42,7 @@ def to_second(value: Column, dtype: T.DataType) -> Column:
     parsed as UTC. Timestamps are truncated and keep their type.
     """
     if isinstance(dtype, T.StringType):
-        return F.regexp_replace(value, "[.].*", "").try_cast("timestamp")
+        return F.substring_index(value, ".", 1).try_cast("timestamp")
     return F.date_trunc("second", value).cast(dtype)
 
 

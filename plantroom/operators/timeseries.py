@@ -153,18 +153,31 @@ def _present(text: Column) -> Column:
     return F.when((text != MISSING_TEXT) & (F.trim(text) != ""), text)
 
 
-def _is_int(text: Column) -> Column:
-    in_range = F.trim(text).try_cast("int").between(-LARGEST_INT, LARGEST_INT)
-    return F.when(text.isNotNull(), text.rlike(INTEGER_TEXT) & F.coalesce(in_range, F.lit(False)))
+# A cast that fails costs an exception per row, so texts are matched before they are cast.
+
+
+def _int(text: Column) -> Column:
+    """Whole numbers of 32 bits, the lowest of which stands for a missing value."""
+    number = F.when(text.rlike(INTEGER_TEXT), F.trim(text).try_cast("int"))
+    return F.when(number.between(-LARGEST_INT, LARGEST_INT), number)
+
+
+def _double(text: Column) -> Column:
+    """Numbers, including inf and nan but not ``1d`` or ``1f``, which a cast would take."""
+    return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
 
 
 def type_profile(text: Column) -> dict[str, Column]:
     """Aggregates telling which types all present texts of a column fit."""
     present = _present(text)
+    fits = {
+        "boolean": present.isin(TRUE_TEXTS + FALSE_TEXTS),
+        "int": _int(present).isNotNull(),
+        "double": present.rlike(NUMBER_TEXT),
+    }
     return {
-        "boolean": F.coalesce(F.bool_and(present.isin(TRUE_TEXTS + FALSE_TEXTS)), F.lit(True)),
-        "int": F.coalesce(F.bool_and(_is_int(present)), F.lit(True)),
-        "double": F.coalesce(F.bool_and(present.rlike(NUMBER_TEXT)), F.lit(True)),
+        value_type: F.coalesce(F.bool_and(F.when(present.isNotNull(), fit)), F.lit(True))
+        for value_type, fit in fits.items()
     }
 
 
@@ -175,7 +188,7 @@ def as_type(text: Column, value_type: str) -> Column:
         return F.when(present.isin(TRUE_TEXTS), True).when(present.isin(FALSE_TEXTS), False)
     if value_type == "string":
         return F.when(text != MISSING_TEXT, text)
-    return F.trim(_present(text)).try_cast(value_type)
+    return _int(_present(text)) if value_type == "int" else _double(_present(text))
 
 
 def infer_value_type(df: DataFrame, column: str) -> str:
