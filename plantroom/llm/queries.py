@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, mixing
+from plantroom.llm import chat, forest, mixing, pii
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(_read(spark, sf_dir, "embeddings"), k=20, every=20)
 
@@ -128,6 +132,7 @@ def crc32_sql(text: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_candidate_boosting": op1_candidate_boosting,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
