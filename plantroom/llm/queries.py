@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, mixing, pii
+from plantroom.llm import chat, forest, mixing, pii, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_prefix_target_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand_replies(conversations.unionByName(extra)))
 
 
+def op6_noisy_or_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classified(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_hierarchical_budgeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_read(spark, sf_dir, "documents"))
 
@@ -135,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_candidate_boosting": op1_candidate_boosting,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
+    "op6_noisy_or_sentences": op6_noisy_or_sentences,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
 }
 

@@ -1,0 +1,71 @@
+"""Toxicity: held-out accuracy, the sentences found, and rows without use."""
+
+import zlib
+
+import numpy as np
+
+from plantroom.llm import queries, toxicity
+
+CALM = "the house on the hill is old. people walk there often. nothing else was said about it."
+
+
+def learning(spark, n=120):
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 3 == 0
+        word = ["grobian", "snarlish", f"vexal{i % 7}x"][i // 3 % 3]
+        rows.append((i, CALM + (f" you are a {word} now. bye." if toxic else " you are a friend now. bye.") + f" number {i}."))
+        labels.append((i, int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_held_out_and_sentences(spark):
+    documents, labels = learning(spark)
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    found = toxicity.classified(documents, labels).collect()
+    assert len(found) == len(truth)
+    for r in found:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert r["predicted"] == truth[r["doc_id"]] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1
+    said = toxicity.offending(documents, toxicity.train(documents, labels)).collect()
+    assert {r["doc_id"] for r in said} == {i for i, t in truth.items() if t}
+    assert all(r["sentence"] == 3 and r["text"].startswith("you are a ") for r in said)
+
+
+def test_nulls_long_texts_and_clashing_columns(spark):
+    documents, labels = learning(spark)
+    model = toxicity.train(documents, labels)
+    long = CALM * 3000
+    rows = [(1, None, 1.0, "t"), (1, "", 2.0, "t"), (None, "...!?", 3.0, None), (2, long, None, "x"), (3, long + " you grobian.", 1.0, "y"), (3, "GROBIAN", 1.0, "y")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, score double, `a b` string")
+    found = toxicity.classified(odd, labels).collect()
+    assert len(found) == 6
+    scores = [r["score"] for r in toxicity.scored(odd.select("doc_id", "text"), model).collect()]
+    assert scores[:3] == [0.0, 0.0, 0.0] and scores[3] < 0.5 < min(scores[4:])
+    kept = toxicity.without_toxic(odd.drop("score").unionByName(documents.selectExpr("doc_id", "text", "'z' as `a b`")), labels)
+    assert kept.columns == ["doc_id", "text", "a b"]
+    assert kept.count() == 4 + 80
+
+
+def test_labels_without_use(spark):
+    documents, labels = learning(spark)
+    none = labels.where("false")
+    for bad in (none, labels.where("toxic = 0"), labels.selectExpr("doc_id", "cast(null as int) toxic")):
+        assert {r["predicted"] for r in toxicity.classified(documents, bad).collect()} == {0}
+    both = labels.unionByName(labels.selectExpr("doc_id", "1 - toxic as toxic"))
+    assert {r["predicted"] for r in toxicity.classified(documents, both).collect()} == {0}
+    assert toxicity.classified(documents.where("false"), labels).collect() == []
+
+
+def test_noisy_or():
+    odds = np.array([-1.0, 0.5, 2.0])
+    p = 1 / (1 + np.exp(-odds))
+    assert abs(toxicity.noisy_or(list(odds)) - (1 - np.prod(1 - p))) < 1e-12
+
+
+def test_query(spark):
+    found = queries.op6_noisy_or_sentences(spark, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    rows = found.where("held_out").join(labels, "doc_id").collect()
+    assert sum(r["toxic"] == r["predicted"] for r in rows) >= 0.9 * len(rows)
+    assert found.count() == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
