@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, mixing, pii, toxicity
+from plantroom.llm import chat, forest, hmm, mixing, pii, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op8_hierarchical_budgeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_read(spark, sf_dir, "documents"))
 
 
+def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scored(_read(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -141,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
     "op6_noisy_or_sentences": op6_noisy_or_sentences,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
+    "op9_hidden_markov": op9_hidden_markov,
 }
 
 ORACLES: dict[str, str] = {
