@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, hmm, mixing, pii, toxicity
+from plantroom.llm import chat, forest, hmm, mixing, pii, toxicity, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op6_noisy_or_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(_read(spark, sf_dir, "pages"))
+
+
 def op8_hierarchical_budgeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_read(spark, sf_dir, "documents"))
 
@@ -144,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
     "op6_noisy_or_sentences": op6_noisy_or_sentences,
+    "op7_wrapper_induction": op7_wrapper_induction,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
     "op9_hidden_markov": op9_hidden_markov,
 }
