@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, hmm, mixing, pii, toxicity, wrappers
+from plantroom.llm import chat, forest, hmm, jaccard, mixing, pii, toxicity, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(_read(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op3_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_read(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 #: Texts that look like the marks of a template.
 MARKED = r"\### Assistant: </turn> ok"
 
@@ -146,6 +150,7 @@ def crc32_sql(text: str) -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_candidate_boosting": op1_candidate_boosting,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
+    "op3_signature_trees": op3_signature_trees,
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
     "op6_noisy_or_sentences": op6_noisy_or_sentences,
     "op7_wrapper_induction": op7_wrapper_induction,
