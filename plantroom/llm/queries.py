@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, hmm, jaccard, mixing, pii, toxicity, wrappers
+from plantroom.llm import chat, forest, hmm, jaccard, mixing, pii, repeats, toxicity, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scored(_read(spark, sf_dir, "documents"))
 
 
+def op10_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -156,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_wrapper_induction": op7_wrapper_induction,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
     "op9_hidden_markov": op9_hidden_markov,
+    "op10_sparse_suffix_arrays": op10_sparse_suffix_arrays,
 }
 
 ORACLES: dict[str, str] = {

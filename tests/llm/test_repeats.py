@@ -1,0 +1,77 @@
+"""Repeated passages against all windows of all texts in plain Python."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from plantroom.llm import queries, repeats
+
+
+def brute(rows, least=50):
+    texts = [(t or "").encode().lower().split() for _, t in rows]
+    owners = defaultdict(set)
+    for i, words in enumerate(texts):
+        for s in range(len(words) - least + 1):
+            owners[tuple(words[s : s + least])].add(i)
+    out = []
+    for i, words in enumerate(texts):
+        covered = [False] * len(words)
+        for s in range(len(words) - least + 1):
+            if len(owners[tuple(words[s : s + least])]) > 1:
+                covered[s : s + least] = [True] * least
+        starts = [s for s in range(len(words)) if covered[s] and (s == 0 or not covered[s - 1])]
+        for s in starts:
+            e = next((k for k in range(s, len(words)) if not covered[k]), len(words))
+            out.append((rows[i][0], s, e - s))
+    return sorted(out, key=repr)
+
+
+def found(documents):
+    return sorted(((r["doc_id"], r["start_word"], r["n_words"]) for r in repeats.repeated_passages(documents).collect()), key=repr)
+
+
+def test_passages(spark):
+    rng = random.Random(1)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [fresh(n) for n in (49, 50, 51, 80, 300)]
+    rows = []
+    for i in range(120):
+        words = fresh(rng.randrange(0, 200))
+        for p in rng.sample(passages, rng.randrange(0, 3)):
+            words += p + fresh(rng.randrange(0, 4))
+        rows.append((i, " ".join(words)))
+    common = fresh(70)
+    rows += [(200 + i, " ".join(fresh(5) + common)) for i in range(60)]
+    rows += [(300, " ".join(common[5:60] * 3)), (301, " ".join(fresh(60) * 2)), (302, rows[3][1]), (303, rows[3][1].upper())]
+    rows += [(304, "a " * 200), (305, "a " * 90 + "b " * 90), (None, "a " * 60), (306, None), (307, ""), (308, "b " * 49)]
+    rng.shuffle(rows)
+    documents = spark.createDataFrame([(*r, 1, b"x") for r in rows], "doc_id long, text string, piece int, places binary")
+    assert found(documents.repartition(3)) == brute(rows)
+    assert found(documents.where("false")) == []
+
+
+def test_later_words_leave_one_copy(spark):
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) + " " + passage) for i in range(12)]
+    result = repeats.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["n_words"] for r in result] == [70] * 12
+    assert sorted(r["n_later"] for r in result) == [0] + [70] * 11
+
+
+def test_documents(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    result = queries.op10_sparse_suffix_arrays(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(((r["doc_id"], r["start_word"], r["n_words"]) for r in result), key=repr) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [1, 16, 50])
+def test_rolling_hashes(size):
+    words = np.random.default_rng(0).integers(0, 3, 400).astype(np.uint64) * np.uint64(0x1234567890ABCDEF)
+    hashes = repeats.window_hashes(words, size)
+    windows = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+    assert len(hashes) == len(windows) and len(set(hashes.tolist())) == len(set(windows))
+    assert len({(h, w) for h, w in zip(hashes.tolist(), windows, strict=True)}) == len(set(windows))
