@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, forest, hmm, jaccard, mixing, pii, repeats, toxicity, wrappers
+from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, mixing, pii, repeats, toxicity, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_prefix_target_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand_replies(conversations.unionByName(extra)))
 
 
+def op5_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op6_noisy_or_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -156,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
     "op3_signature_trees": op3_signature_trees,
     "op4_prefix_target_expansion": op4_prefix_target_expansion,
+    "op5_simhash_windows": op5_simhash_windows,
     "op6_noisy_or_sentences": op6_noisy_or_sentences,
     "op7_wrapper_induction": op7_wrapper_induction,
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
