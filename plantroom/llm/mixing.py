@@ -116,7 +116,23 @@ def mixed(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
     Running sums are taken within 4,096 ranges of the digest for each leaf, so that a leaf with most of the corpus is
     no single task.
     """
-    mix = mix or Mix()
+    return _drawn(documents, mix or Mix()).drop("text_key")
+
+
+def selected(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
+    """The documents that are used at all, whole, with all their columns and domain, n_tokens, epochs, part_tokens.
+
+    Rows that agree in doc_id and text are told apart no further.
+    """
+    used = _drawn(documents, mix or Mix()).where("taken > 0").select("doc_id", "text_key", "domain", "n_tokens", "epochs", "part_tokens")
+    names = [c for c in documents.columns if c not in ("domain", "n_tokens", "epochs", "part_tokens")]
+    used = used.withColumnsRenamed({"doc_id": "_mix_id", "text_key": "_mix_key"}).dropDuplicates(["_mix_id", "_mix_key"])
+    rows = documents.select(*names).withColumn("_row_key", F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(used["_mix_id"]) & (rows["_row_key"] == used["_mix_key"])
+    return rows.join(used, same).select(*names, "domain", "n_tokens", "epochs", "part_tokens")
+
+
+def _drawn(documents: DataFrame, mix: Mix) -> DataFrame:
     source = F.coalesce("source", F.lit(""))
     skinny = stored(
         documents.select(
@@ -125,6 +141,7 @@ def mixed(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
             F.coalesce("lang", F.lit("")).alias("lang"),
             source.alias("source"),
             count_tokens(F.col("text")).alias("n_tokens"),
+            F.xxhash64("text").alias("text_key"),
         ),
         "mix",
     )
@@ -158,6 +175,6 @@ def mixed(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
         .withColumn("part_tokens", F.least(F.col("n_tokens"), F.greatest(F.col("rest") - before, F.lit(0))))
         .select(
             "doc_id", *LEVELS, "n_tokens", F.col("epochs").cast("long").alias("epochs"), F.col("part_tokens").cast("long").alias("part_tokens"),
-            (F.col("epochs") * F.col("n_tokens") + F.col("part_tokens")).cast("long").alias("taken"),
+            (F.col("epochs") * F.col("n_tokens") + F.col("part_tokens")).cast("long").alias("taken"), "text_key",
         )
     )
