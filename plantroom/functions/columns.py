@@ -19,9 +19,6 @@ from pyspark.sql import types as T
 #: Parquet scan. Longer ones become a semi-join whose strategy Spark picks by size.
 INLINE_ID_LIMIT = 1000
 
-#: A table with at most this many rows may be broadcast on request.
-BROADCAST_ROW_LIMIT = 100_000
-
 
 def col(name: str) -> Column:
     """Column by its literal name, dots included."""
@@ -198,9 +195,11 @@ def unmatched(right: DataFrame, right_key: str, left_keys: DataFrame) -> DataFra
     return right.join(keys, col(right_key).eqNullSafe(F.col("__left_key")), "left_anti")
 
 
-def is_short(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; a small job that stops reading there."""
-    return df.limit(limit + 1).count() <= limit
+def likely_small(df: DataFrame, times: int = 1) -> bool:
+    """Whether ``times`` the bytes that Spark's statistics give ``df`` stay within its broadcast threshold. No job."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size * times <= threshold
 
 
 def full_join(
@@ -221,7 +220,7 @@ def full_join(
 
     Column names of the two sides must not overlap. ``left_keys`` may supply all
     values of ``left_key`` where they are cheaper to get than from ``left``.
-    ``broadcast_right`` is for a right side that was found short (:func:`is_short`)
+    ``broadcast_right`` is for a right side that was found small (:func:`likely_small`)
     but that Spark overestimates, as it does with the result of a join.
     """
     overlap = set(left.columns) & set(right.columns)

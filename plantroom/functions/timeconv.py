@@ -35,14 +35,26 @@ def decode_epochs(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumns({name: epoch_to_utc(col(name), df.schema[name].dataType) for name in names})
 
 
+def text_time(value: Column) -> Column:
+    """ISO text as a UTC timestamp, read whole: fraction and offset count.
+
+    Null and empty texts are null. Any other text that is no time ends the job,
+    so that no reading vanishes from a range without a word.
+    """
+    parsed = value.try_cast("timestamp")
+    refused = F.raise_error(F.concat(F.lit("not a time: "), value)).cast("timestamp")
+    return F.when(F.trim(value) == "", F.lit(None).cast("timestamp")).when(
+        value.isNotNull() & parsed.isNull(), refused
+    ).otherwise(parsed)
+
+
 def to_second(value: Column, dtype: T.DataType) -> Column:
-    """Reading time at second precision.
+    """Reading time at second precision: parsed whole, then truncated.
 
-    Text is cut at its first dot, which also removes a trailing zone letter, and
-    parsed as UTC. Timestamps are truncated and keep their type.
+    Timestamps keep their type.
     """
     if isinstance(dtype, T.StringType):
-        return F.substring_index(value, ".", 1).try_cast("timestamp")
+        return F.date_trunc("second", text_time(value))
     return F.date_trunc("second", value).cast(dtype)
 
 

@@ -103,6 +103,21 @@ def building_ids(table: DataFrame, requests: Sequence[int | str] | int | str, ch
     return inline_if_few(_mentioned(table, names, ids).select("id"))
 
 
+def one_building(table: DataFrame, request: Sequence[int | str] | int | str, check: bool = True) -> list[int]:
+    """The id of the one building that is asked for, by name or id; none without ``check`` if it is unknown.
+
+    A name that several buildings share is refused: their rows must not be mixed.
+    """
+    if not isinstance(request, (int, str)):
+        if len(request) != 1:
+            raise ValueError("exactly one building is allowed")
+        request = request[0]
+    ids = building_ids(table, request, check)
+    if isinstance(ids, DataFrame) or len(ids) > 1:
+        raise ValueError(f"several buildings are called {request}; give an id")
+    return ids
+
+
 def users(
     table: DataFrame,
     roles: DataFrame,

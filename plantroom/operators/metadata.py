@@ -14,7 +14,8 @@ from plantroom.functions.columns import (
     filter_by_ids,
     full_join,
     id_column,
-    is_short,
+    inline_if_few,
+    likely_small,
     prefix_columns,
     require_columns,
     sort_columns,
@@ -56,11 +57,12 @@ def assemble_metadata(equipment: DataFrame, points: DataFrame, broadcast: bool =
     ``e.equipment_id`` of a dangling point is the id it refers to. Nested input
     has to be flattened first.
 
-    Small jobs count the equipment, up to a limit. Below it, equipment is
-    broadcast and no point is shuffled; Spark would not find out by itself,
-    because it takes the parent lookup for a multiplication. Above it, the points
-    are shuffled by equipment, with hot equipment split by adaptive execution.
-    ``broadcast=False`` skips the jobs and leaves the choice to Spark.
+    No job is started. Equipment that Spark's statistics put below half of the
+    broadcast threshold, in bytes, is broadcast with its parents' names, and no
+    point is shuffled; Spark would not find out by itself, because it takes the
+    parent lookup for a multiplication. Above it, the points are shuffled by
+    equipment, with hot equipment split by adaptive execution.
+    ``broadcast=False`` leaves the choice to Spark.
     """
     require_columns(equipment, ["id", "equip_id", "building_id", "equip_type_tag", "parent_equip"], "equipment")
     require_columns(
@@ -70,7 +72,7 @@ def assemble_metadata(equipment: DataFrame, points: DataFrame, broadcast: bool =
     )
     left = prefix_columns(points.withColumn("equip_id", id_column(points, "equip_id")), "p.")
     named = _with_parent_name(equipment.withColumn("id", id_column(equipment, "id")))
-    short = broadcast and is_short(equipment) and is_short(named)
+    short = broadcast and likely_small(equipment, 2)
     right = prefix_columns(named, "e.")
     # The surviving key column carries the points' name; it is the equipment's id.
     rows = full_join(left, right, "p.equip_id", "e.id", broadcast_right=short).withColumnRenamed("p.equip_id", "e.id")
@@ -122,11 +124,13 @@ def metadata_by_selection(
 ) -> DataFrame:
     """Metadata of the selected points and the selected equipment.
 
-    With ``check`` an empty selection raises ``ValueError``; a selection held in
-    DataFrames is probed for its first id to find out.
+    With ``check`` an empty selection raises ``ValueError``. A :class:`Selection`
+    is computed once, by one job that writes its ids; if they are few they
+    filter the scans.
     """
     if isinstance(selection, Selection):
-        point_ids, equipment_ids = selection.points, selection.equipment
+        kept = selection.kept()
+        point_ids, equipment_ids = inline_if_few(kept.points), inline_if_few(kept.equipment)
     elif isinstance(selection, Mapping):
         point_ids, equipment_ids = selection.get("points"), selection.get("equipment")
     else:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ from plantroom.functions.columns import (
     spread,
     unmatched,
 )
-from plantroom.operators.catalog import building_ids
+from plantroom.operators.catalog import one_building
 
 # Fixed value: columns left out of the staging view, matched anywhere in the prefixed name.
 HIDDEN_COLUMNS = (
@@ -46,6 +47,9 @@ NO_VALID_EQUIPMENT = "No valid equipment for topic"
 BENIGN_MESSAGES = r"Skipped (equipment|points are) not validated|No valid equipment for topic"
 ERROR_SECTIONS = ("points", "equipment", "unexpected_deletes")
 
+#: Report message for listed rows that are not there.
+NOT_STAGED = "Listed row is not staged"
+
 UNPROMOTE_TYPES = ("points", "equipment")
 
 
@@ -112,15 +116,11 @@ def staging_data(
     multi_equip: str = "text",
     check: bool = True,
 ) -> DataFrame:
-    """:func:`staging_view` of one building, given by name or id.
+    """:func:`staging_view` of one building, given by its id or by a name no other has.
 
     With ``check`` small jobs make sure that the building exists and has points.
     """
-    if not isinstance(building, (int, str)):
-        if len(building) != 1:
-            raise ValueError("exactly one building is allowed")
-        building = building[0]
-    wanted = building_ids(buildings, building, check)
+    wanted = one_building(buildings, building, check)
     here = filter_by_ids(points, "building_id", wanted)
     if check and here.isEmpty():
         raise ValueError(f"no points found for building {building}")
@@ -132,14 +132,17 @@ def staging_data(
     )
 
 
-def _one_per_key(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def _one_per_key(rows: DataFrame, key: str, hot: bool) -> tuple[DataFrame, DataFrame]:
     """(rows with exactly one version per key, keys with several versions).
 
     Exact copies count as one version. Copies collapse before the shuffle, so a
-    key repeated without end costs one row per task.
+    key repeated without end costs one row per task. ``hot`` says that a join by
+    the key may have to be split, see :func:`spread`; otherwise the join takes
+    the rows as they come out, partitioned and sorted by the key.
     """
     whole = F.struct(*[col(name) for name in rows.columns])
-    versions = rows.groupBy(col(key).alias("__key"), spread(col(key)).alias("__bucket")).agg(
+    bucket = [spread(col(key)).alias("__bucket")] if hot else []
+    versions = rows.groupBy(col(key).alias("__key"), *bucket).agg(
         F.min(whole).alias("__low"), F.max(whole).alias("__high")
     )
     single = versions.where(F.col("__low").eqNullSafe(F.col("__high"))).select("__low.*")
@@ -154,10 +157,28 @@ def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     rest. New keys are added, with nulls in the columns they lack. Columns only
     the updates have are appended.
     """
-    fresh = updates.select(
+    return _merged(full_join(target, _fresh(updates), key, f"__new.{key}"), target, updates, key)
+
+
+def upsert_unique(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """:func:`upsert` by a key that few rows of ``target`` share, null apart.
+
+    One outer join, each side shuffled once: no key is hot. Rows without key meet
+    no update and are spread by their contents.
+    """
+    spot = F.concat(F.lit("\u0000"), F.xxhash64(*[col(name) for name in target.columns]))
+    spotted = target.withColumn("__spot", F.coalesce(col(key), spot))
+    joined = spotted.join(_fresh(updates), F.col("__spot") == col(f"__new.{key}"), "full")
+    return _merged(joined.withColumn(key, F.coalesce(col(key), col(f"__new.{key}"))), target, updates, key)
+
+
+def _fresh(updates: DataFrame) -> DataFrame:
+    return updates.select(
         *[col(name).alias(f"__new.{name}") for name in updates.columns], F.lit(True).alias("__updated")
     )
-    joined = full_join(target, fresh, key, f"__new.{key}")
+
+
+def _merged(joined: DataFrame, target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     changed = [name for name in updates.columns if name != key]
     columns = []
     for name in [*target.columns, *[name for name in updates.columns if name not in target.columns]]:
@@ -180,33 +201,49 @@ class UploadResult:
     errors: DataFrame
 
 
-def upload(staged: DataFrame, rows: DataFrame) -> UploadResult:
+def upload(staged: DataFrame, rows: DataFrame, refused: DataFrame | None = None) -> UploadResult:
     """Merge uploaded rows into the staging table.
 
-    Rows are matched by ``p.topic`` or, where the upload has no such column, by
-    ``e.equip_id``; then they change every staged row of that equipment. Only the
-    uploaded columns change. Rows without key, and all versions of a key that is
-    uploaded with different contents, are refused: they come back in ``errors``
-    with their columns and a reason, and leave the table as it was. Uploading
-    the same rows again changes nothing.
+    A row is matched by its ``p.topic`` where it has one, else by ``e.equip_id``;
+    then it changes every staged row of that equipment, and in an upload that has
+    topics only columns of equipment (``e.``). Only the uploaded columns change.
+    Rows with neither key, and all versions of a key that is uploaded with
+    different contents, are refused: they come back in ``errors`` with their
+    columns and a reason, and leave the table as it was. So do the ``refused``
+    rows of a CSV file, which carry their reason already. Uploading the same rows
+    again changes nothing.
     """
-    key = next((name for name in ("p.topic", "e.equip_id") if name in rows.columns), None)
-    if key is None:
+    keys = [name for name in ("p.topic", "e.equip_id") if name in rows.columns]
+    if not keys:
         raise ValueError("the upload needs a p.topic or an e.equip_id column")
-    require_columns(staged, [key], "staging table")
-    keyed = rows.where(col(key).isNotNull())
-    single, several = _one_per_key(keyed, key)
+    require_columns(staged, keys, "staging table")
+    lost = reduce(lambda a, b: a & b, [col(name).isNull() for name in keys])
+    errors = rows.where(lost).withColumn("error", F.lit(f"missing {' or '.join(keys)}"))
+    result = staged
+    if "p.topic" in keys:
+        single, conflicts = _usable(rows.where(col("p.topic").isNotNull()), "p.topic", hot=False)
+        result = upsert_unique(result, single, "p.topic")
+        errors = errors.unionByName(conflicts)
+    if "e.equip_id" in keys:
+        by_gear = rows.where(col("e.equip_id").isNotNull())
+        if "p.topic" in keys:
+            by_gear = by_gear.where(col("p.topic").isNull())
+        single, conflicts = _usable(by_gear, "e.equip_id", hot=True)
+        if "p.topic" in keys:
+            single = single.select([col(name) for name in single.columns if name.startswith("e.")])
+        result = upsert(result, single, "e.equip_id")
+        errors = errors.unionByName(conflicts)
+    if refused is not None:
+        errors = errors.unionByName(refused, allowMissingColumns=True)
+    return UploadResult(staged=result, errors=errors)
+
+
+def _usable(rows: DataFrame, key: str, hot: bool) -> tuple[DataFrame, DataFrame]:
+    """(one row for each key, rows of keys with different contents and why they are refused)."""
+    single, several = _one_per_key(rows, key, hot)
     disputed = several.withColumnRenamed(key, "__disputed")
-    errors = (
-        rows.where(col(key).isNull())
-        .withColumn("error", F.lit(f"missing {key}"))
-        .unionByName(
-            keyed.join(disputed, col(key) == F.col("__disputed"), "left_semi").withColumn(
-                "error", F.lit(f"conflicting rows for {key}")
-            )
-        )
-    )
-    return UploadResult(staged=upsert(staged, single, key), errors=errors)
+    conflicts = rows.join(disputed, col(key) == F.col("__disputed"), "left_semi")
+    return single, conflicts.withColumn("error", F.lit(f"conflicting rows for {key}"))
 
 
 @dataclass(frozen=True)
@@ -229,19 +266,23 @@ def promote(staged: DataFrame, live: DataFrame, chosen: DataFrame | None = None)
     listed rows marked ``__SKIP__`` or without equipment are passed over. A
     staged row is valid when it has a topic and equipment other than
     ``__SKIP__`` and no different row is staged for its topic. What is not
-    promoted stands in the report.
+    promoted stands in the report, listed pairs that no staged row has included.
     """
     require_columns(staged, ["e.equip_id", "p.topic"], "staging table")
+    absent = None
     if chosen is not None:
         require_columns(chosen, ["e.equip_id", "p.topic"], "rows to promote")
         listed = chosen.where(col("e.equip_id") != SKIP)
         pairs = distinct_keys(listed.select(col("e.equip_id").alias("__equip"), col("p.topic").alias("__topic")))
-        same = (col("e.equip_id") == F.col("__equip")) & (col("p.topic") == F.col("__topic"))
+        same = (col("e.equip_id") == F.col("__equip")) & col("p.topic").eqNullSafe(F.col("__topic"))
+        absent = pairs.join(staged.select(col("e.equip_id"), col("p.topic")), same, "left_anti").select(
+            F.lit("points").alias("type"), F.col("__topic").alias("topic"), F.lit(NOT_STAGED).alias("error")
+        )
         staged = staged.join(pairs, same, "left_semi")
     no_topic = col("p.topic").isNull()
     no_equipment = col("e.equip_id").isNull()
     skipped = col("e.equip_id") == SKIP
-    single, several = _one_per_key(staged.where(~no_topic & ~no_equipment & ~skipped), "p.topic")
+    single, several = _one_per_key(staged.where(~no_topic & ~no_equipment & ~skipped), "p.topic", hot=False)
     refused = F.when(no_topic, "Topic is missing").when(no_equipment, NO_VALID_EQUIPMENT).when(skipped, SKIPPED_POINTS)
     report = (
         staged.select(F.lit("points").alias("type"), col("p.topic").alias("topic"), refused.alias("error"))
@@ -254,31 +295,56 @@ def promote(staged: DataFrame, live: DataFrame, chosen: DataFrame | None = None)
             )
         )
     )
-    return PromotionResult(live=upsert(live, single, "p.topic"), report=report)
+    if absent is not None:
+        report = report.unionByName(absent)
+    return PromotionResult(live=upsert_unique(live, single, "p.topic"), report=report)
+
+
+def _messages(value: Column, dtype: T.DataType) -> Column | None:
+    """A section of a response as an array of (topic, error); None if it is no section."""
+
+    def entry(topic: Column, error: Column) -> Column:
+        return F.struct(topic.cast("string").alias("topic"), error.alias("error"))
+
+    def text(item: Column, kind: T.DataType) -> Column:
+        return F.to_json(item) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else item.cast("string")
+
+    if isinstance(dtype, T.MapType):
+        return F.transform(F.map_entries(value), lambda e: entry(e["key"], text(e["value"], dtype.valueType)))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda item: entry(F.lit(None), text(item, dtype.elementType)))
+    if isinstance(dtype, T.StructType) and dtype.fields:
+        # Read without a schema, an object's topics are fields, null where a response lacks them.
+        parts = [entry(F.lit(f.name), text(value.getField(f.name), f.dataType)) for f in dtype.fields]
+        return F.filter(F.array(*parts), lambda e: e["error"].isNotNull())
+    return None
 
 
 def melt_report(response: DataFrame, sections: Iterable[str] | None = None) -> DataFrame:
     """A nested response to rows (type, topic, error).
 
-    Every map column (topic to message) is a section; a map of such maps in a
-    column ``response`` works too. Other columns, such as the building id, are
-    no sections.
+    A section is a column with messages by topic (a map, or an object whose
+    fields are the topics) or with a plain list of messages, which have no topic;
+    what is no text becomes JSON. All sections may also stand in one map or
+    object named ``response``. Columns of single values, such as the building id,
+    are no sections.
     """
-    if "response" in response.columns and isinstance(response.schema["response"].dataType, T.MapType):
-        outer = response.select(F.explode("response").alias("type", "__messages"))
-        rows = outer.select("type", F.explode("__messages").alias("topic", "error"))
+    held = response.schema["response"].dataType if "response" in response.columns else None
+    if isinstance(held, T.MapType) and isinstance(held.valueType, (T.MapType, T.ArrayType, T.StructType)):
+        outer = response.select(F.explode("response").alias("type", "__section"))
+        rows = outer.select("type", F.inline(_messages(F.col("__section"), held.valueType)))
     else:
-        names = [f.name for f in response.schema.fields if isinstance(f.dataType, T.MapType)]
-        if not names:
+        if isinstance(held, T.StructType):
+            response = response.select("response.*")
+        found = [(f.name, _messages(col(f.name), f.dataType)) for f in response.schema.fields]
+        listed = [
+            F.struct(F.lit(name).alias("type"), messages.alias("messages"))
+            for name, messages in found
+            if messages is not None
+        ]
+        if not listed:
             raise ValueError("the response has no section of messages")
-        listed = F.array(
-            *[
-                F.struct(F.lit(name).alias("type"), col(name).cast("map<string,string>").alias("messages"))
-                for name in names
-            ]
-        )
-        outer = response.select(F.inline(listed))
-        rows = outer.select("type", F.explode("messages").alias("topic", "error"))
+        rows = response.select(F.inline(F.array(*listed))).select("type", F.inline("messages"))
     return rows if sections is None else rows.where(F.col("type").isin(list(sections)))
 
 

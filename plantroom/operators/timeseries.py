@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantroom.functions.columns import argument_table, col, filter_by_ids, require_columns
-from plantroom.functions.timeconv import to_second, utc_datetime, utc_literal
+from plantroom.functions.timeconv import text_time, to_second, utc_datetime, utc_literal
 
 Moment = datetime | str | float | int
 
@@ -28,9 +28,6 @@ READING_COLUMNS = ("time", "raw", "unit", "point_id", "topic", "display")
 #: shuffle mostly empty cells, and narrow rows are shuffled instead.
 SINGLE_SHUFFLE_COLUMNS = 32
 
-#: Refuse to build wider tables: the column names pass through the driver.
-MAX_WIDE_COLUMNS = 10_000
-
 # Fixed values of the text-to-type rules.
 TRUE_TEXTS = ["T", "TRUE", "true"]
 FALSE_TEXTS = ["F", "FALSE", "false"]
@@ -43,19 +40,31 @@ VALUE_TYPES = ("boolean", "int", "double", "string")
 DUPLICATES = ("first", "last", "mean")
 
 
-def unpack_blocks(blocks: DataFrame, extra_columns: Sequence[str] = ()) -> DataFrame:
+def extra_block_columns(blocks: DataFrame) -> list[str]:
+    """Names in reading blocks beside time, raw, unit and ``clean``; one small job collects them."""
+    left = F.array_remove("columns", "clean")
+    known = F.array(F.lit("time"), F.lit("raw"), F.lit("unit"), F.get(left, F.lit(2)))
+    names = blocks.select(F.explode(F.array_except(left, known)).alias("name"))
+    return sorted(row.name for row in names.where("name is not null").distinct().collect())
+
+
+def unpack_blocks(blocks: DataFrame, extra_columns: Sequence[str] | None = None) -> DataFrame:
     """Nested reading blocks to one row per reading.
 
     A block has ``point_id``, ``topic``, ``display``, the names ``columns`` and
     ``values``, an array of readings that each hold one text per name. A
     ``clean`` name is dropped together with its values; the third name left is
     the unit symbol, its values become ``unit``. The others are found by name,
-    wherever they stand; ``extra_columns`` lists further names to keep.
+    wherever they stand, and become columns, null where a block lacks them.
+    Their names are looked up by a small job; ``extra_columns`` states them
+    instead, starts no job, and leaves out what it does not list.
 
     Positions are worked out once per block, so a reading costs array lookups
     only. Blocks without readings give no rows, and a null reading stays null.
     """
     require_columns(blocks, ["point_id", "topic", "display", "columns", "values"], "blocks")
+    if extra_columns is None:
+        extra_columns = extra_block_columns(blocks)
     wanted = ["time", "raw", "unit", *extra_columns]
     unit_symbol = F.get(F.array_remove("columns", "clean"), F.lit(2))
 
@@ -78,12 +87,13 @@ def in_range(readings: DataFrame, start: Moment, end: Moment, date_column: str |
 
     On a timestamp column the bounds are literals of its own type, so they reach
     the Parquet scan. ``date_column`` names a partition column with the UTC date
-    of ``time``; naming it prunes whole directories.
+    of ``time``; naming it prunes whole directories. Times in text count with
+    their offset, and a text that is no time ends the job.
     """
     dtype = readings.schema["time"].dataType
     time = F.col("time")
     if isinstance(dtype, T.StringType):
-        time, dtype = time.try_cast("timestamp"), T.TimestampType()
+        time, dtype = text_time(time), T.TimestampType()
     chosen = readings.where((time >= utc_literal(start, dtype)) & (time < utc_literal(end, dtype)))
     if date_column is not None:
         first, last = utc_datetime(start).date(), utc_datetime(end).date()
@@ -97,8 +107,8 @@ def unit_factors(preferred: Mapping[str, str] | DataFrame, points: DataFrame, co
     ``preferred`` maps measurements to units, as a mapping, as a table
     (measurement, to_unit), or as a single row with a column per measurement.
     ``points`` gives each point's ``measurement`` and ``units``; ``conversions``
-    is (measurement, from_unit, to_unit, scale, offset) with one row per
-    measurement and pair of units.
+    is (measurement, from_unit, to_unit, scale, offset). A conversion may be
+    listed repeatedly, but a point for which two different ones fit ends the job.
     """
     if isinstance(preferred, DataFrame) and not {"measurement", "to_unit"} <= set(preferred.columns):
         row = preferred.first()
@@ -114,7 +124,13 @@ def unit_factors(preferred: Mapping[str, str] | DataFrame, points: DataFrame, co
     matched = points.select(F.col("id").alias("point_id"), "measurement", "units").join(
         usable, (F.col("measurement") == F.col("__measurement")) & (F.col("units") == F.col("from_unit"))
     )
-    return matched.select("point_id", "scale", "offset").distinct()
+    found = matched.groupBy("point_id").agg(
+        *[F.min(name).alias(name) for name in ("scale", "offset")],
+        *[F.max(name).alias(f"__{name}") for name in ("scale", "offset")],
+    )
+    one = F.col("scale").eqNullSafe(F.col("__scale")) & F.col("offset").eqNullSafe(F.col("__offset"))
+    refused = F.raise_error(F.concat(F.lit("different conversions for point "), F.col("point_id"))).cast("double")
+    return found.select("point_id", F.when(one, F.col("scale")).otherwise(refused).alias("scale"), "offset")
 
 
 def convert_units(readings: DataFrame, factors: DataFrame) -> DataFrame:
@@ -212,6 +228,7 @@ def timeseries_wide(
     duplicates: str = "first",
     names_from: str = "display",
     order_by: Sequence[str] = ("time", "point_id"),
+    max_columns: int | None = None,
 ) -> DataFrame:
     """One row per second, one column per ``names_from`` value, null where nothing was read.
 
@@ -222,7 +239,10 @@ def timeseries_wide(
 
     Without ``columns`` the names are collected first, in the same job that
     finds the type. Pass ``columns`` and ``value_type`` to start no job at all;
-    readings with other names are then left out.
+    readings with other names are then left out. Names pass through the driver
+    and every row holds all columns: ``max_columns`` refuses more, and
+    :func:`timeseries_map` needs no column per name. Names that differ in case
+    only are refused, because Spark could select neither.
     """
     if unit_type not in ("default", "raw"):
         raise ValueError("unit_type must be 'default' or 'raw'")
@@ -244,32 +264,67 @@ def timeseries_wide(
         profiled = readings.groupBy(name.alias("name")).agg(
             F.count(F.lit(1)).alias("readings"), *[flag.alias(kind) for kind, flag in flags.items()]
         )
-        found = [row.asDict() for row in profiled.limit(MAX_WIDE_COLUMNS + 1).collect()]
-        if len(found) > MAX_WIDE_COLUMNS:
-            raise ValueError(f"more than {MAX_WIDE_COLUMNS} columns; narrow the selection of points")
+        found = [row.asDict() for row in (profiled if max_columns is None else profiled.limit(max_columns + 1)).collect()]
         if infer:
             value_type = _first_fit(found)
         if columns is None:
             columns = sorted(row["name"] for row in found)
-    if "time" in columns:
+    if max_columns is not None and len(columns) > max_columns:
+        raise ValueError(f"more than {max_columns} columns; narrow the selection of points")
+    lowered = [column.lower() for column in columns]
+    if "time" in lowered:
         raise ValueError("a sensor named 'time' cannot become a column")
+    if len(set(lowered)) < len(columns):
+        alike = sorted(column for column in columns if lowered.count(column.lower()) > 1)
+        raise ValueError(f"names differ in case only: {', '.join(alike)}")
 
     value = col(value_column)
     if is_text:
         value = as_type(value, value_type)
     elif value_type is not None:
         value = value.try_cast(value_type)
-    rows = readings.select(
+    rows = _cells(readings, name, value, order_by)
+    if duplicates == "mean" and not isinstance(rows.schema["__value"].dataType, T.NumericType):
+        raise ValueError("only numbers have a mean")
+    return _widen(rows, columns, duplicates)
+
+
+def _cells(readings: DataFrame, name: Column, value: Column, order_by: Sequence[str]) -> DataFrame:
+    """(time, __name, __value, __cell): what decides between readings of one second and name."""
+    keys = [col(key).alias(f"key{no}") for no, key in enumerate(order_by)]
+    return readings.select(
         to_second(F.col("time"), readings.schema["time"].dataType).alias("time"),
         name.alias("__name"),
         value.alias("__value"),
-        F.struct(*[col(key).alias(f"key{no}") for no, key in enumerate(order_by)], value.alias("value")).alias(
-            "__cell"
-        ),
+        F.struct(*keys, value.alias("value")).alias("__cell"),
     )
-    if duplicates == "mean" and not isinstance(rows.schema["__value"].dataType, T.NumericType):
-        raise ValueError("only numbers have a mean")
-    return _widen(rows, columns, duplicates)
+
+
+def timeseries_map(
+    readings: DataFrame,
+    unit_type: str = "default",
+    duplicates: str = "first",
+    names_from: str = "display",
+    order_by: Sequence[str] = ("time", "point_id"),
+) -> DataFrame:
+    """One row per second with a map of names to values: :func:`timeseries_wide` for any number of names.
+
+    No name passes through the driver, and a row is as long as the names read in
+    its second. Values keep their type; names read without a value map to null.
+    """
+    if unit_type not in ("default", "raw"):
+        raise ValueError("unit_type must be 'default' or 'raw'")
+    if duplicates not in DUPLICATES:
+        raise ValueError(f"duplicates must be one of {', '.join(DUPLICATES)}")
+    value_column = "unit" if unit_type == "default" else "raw"
+    require_columns(readings, ["time", value_column, names_from, *order_by], "readings")
+    name = F.coalesce(col(names_from).cast("string"), F.lit(MISSING_TEXT))
+    rows = _cells(readings, name, col(value_column), order_by)
+    single = rows.groupBy("time", "__name").agg(
+        _kept(duplicates, F.col("__cell"), F.col("__value")).alias("__value")
+    )
+    entries = F.sort_array(F.collect_list(F.struct("__name", "__value")))
+    return single.groupBy("time").agg(F.map_from_entries(entries).alias("values"))
 
 
 def _kept(duplicates: str, cell: Column, value: Column) -> Column:

@@ -122,13 +122,17 @@ VIEWS: dict[str, str] = {
                case when o_orderkey % 8 = 0 then null
                     when o_orderkey % 3 = 2 then '1'
                     else cast(o_orderkey % 30 as varchar(20)) end as device_id,
-               cast(case when o_orderkey % 5 = 0 then o_orderkey % 10 else 3 end as int) as building_id,
+               cast(case when o_orderkey % 35 = 0 then 2
+                         when o_orderkey % 5 = 0 then o_orderkey % 10 else 3 end as int) as building_id,
                o_totalprice as price, o_orderstatus as status, 1600000000000 + o_orderkey as modified
         from {orders}""",
     "staging_equipment": """
-        select c_name as equip_id, cast(case when c_custkey % 5 = 0 then c_custkey % 10 else 3 end as int) as building_id,
+        select c_name as equip_id,
+               cast(case when c_custkey % 35 = 0 then 2
+                         when c_custkey % 5 = 0 then c_custkey % 10 else 3 end as int) as building_id,
                c_acctbal as balance, c_mktsegment as check_field
         from {customer}""",
+    # Building 2 has points and equipment but no device.
     "staging_devices": """
         select cast(s_suppkey as varchar(20)) as device_id, s_name as device_name,
                cast(case when s_suppkey % 5 = 0 then s_suppkey % 10 else 3 end as int) as building_id,
@@ -143,12 +147,14 @@ VIEWS: dict[str, str] = {
                     when 2 then 'No valid equipment for topic'
                     else 'bad value ' || cast(o_totalprice as varchar(40)) end as error
         from {orders}""",
-    # What a user edits and uploads: changed rows, new topics, rows without topic, copies, contradictions.
+    # What a user edits and uploads: changed rows, new topics, rows without topic or any key, copies, contradictions.
     "upload_rows": """
         select case when l_orderkey % 23 = 0 then null
                     when l_orderkey % 4 = 0 then 'new/' || cast(l_orderkey as varchar(20))
                     else 'topic/' || cast(l_orderkey as varchar(20)) end as topic,
-               case when l_orderkey % 6 = 0 then '__SKIP__'
+               case when l_orderkey % 46 = 0 then null
+                    when l_orderkey % 6 = 0 then '__SKIP__'
+                    when l_orderkey % 69 = 0 then 'fresh ' || cast(l_orderkey % 10000 as varchar(20))
                     else 'Customer#' || lpad(cast(l_orderkey % 100 as varchar(20)), 9, '0') end as equip,
                case when l_orderkey % 5 = 0 then l_linestatus else 'edited' end as status
         from {lineitem}""",

@@ -80,6 +80,37 @@ def select_by_orgs(fx: Fixtures) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
+LISTED_TOPICS = [f"topic/{no}" for no in range(0, 8000, 5)]
+
+
+@query(
+    with_views(
+        ["equipment", "points"],
+        f""", chosen as (select id, equip_id from v_points
+                         where topic in (select 'topic/' || cast(r.range as varchar) from range(0, 8000, 5) r)
+                           and {EPOCH.format('last_updated')} >= timestamp '{MOMENT}')
+            select 'point' as entity, id from chosen
+            union all
+            select 'equipment', id from v_equipment where id in (select equip_id from chosen)""",
+    )
+)
+def select_by_many_topics(fx: Fixtures) -> DataFrame:
+    """1,600 listed topics: a semi-join in place of a predicate."""
+    criteria = selection.PointSelector(point_topics=LISTED_TOPICS, updated_since=MOMENT)
+    return _both(selection.select_points(criteria, fx.view("points"), fx.view("equipment"), fx.view("buildings")))
+
+
+@query(
+    with_views(
+        ["points"],
+        "select id, topic from v_points where id in (select r.range from range(0, 9000, 4) r)",
+    )
+)
+def points_by_many_ids(fx: Fixtures) -> DataFrame:
+    """2,250 listed ids."""
+    return selection.points_by_ids(fx.view("points"), range(0, 9000, 4)).select("id", "topic")
+
+
 @query(
     with_views(
         ["points", "readings"],

@@ -61,10 +61,11 @@ def ts_raw_of_points(fx: Fixtures) -> DataFrame:
     return found.select(*timeseries.READING_COLUMNS)
 
 
-def packed_blocks(fx: Fixtures) -> DataFrame:
+def packed_blocks(fx: Fixtures, quality: bool = False) -> DataFrame:
     """Readings as nested blocks: old ones with a ``clean`` entry, some empty, one or two readings each.
 
-    Blocks are built row by row, so none grows with the data.
+    Blocks are built row by row, so none grows with the data. With ``quality``,
+    current blocks hold a further name.
     """
     no = F.col("event_id")
     time, raw, unit = (F.col(c).cast("string") for c in ("time", "raw", "unit"))
@@ -80,6 +81,9 @@ def packed_blocks(fx: Fixtures) -> DataFrame:
         return F.struct(F.array(*[F.lit(n) for n in names]).alias("columns"), readings.alias("values"))
 
     current = block(["time", "raw", "degF"], [time, raw, unit], [later, raw, unit])
+    if quality:
+        grade = F.concat(F.lit("grade "), (no % 5).cast("string"))
+        current = block(["time", "raw", "degF", "quality"], [time, raw, unit, grade], [later, raw, unit, grade])
     old = block(["time", "clean", "raw", "degF"], [time, clean, raw, unit], [later, clean, raw, unit])
     swapped = block(["raw", "time", "kPa", "clean"], [raw, time, unit, clean], [raw, later, unit, clean])
     packed = F.when(no % 3 == 0, old).when(no % 3 == 1, swapped).otherwise(current)
@@ -95,8 +99,9 @@ BLOCKS_SQL = """
   where event_id % 10 <> 0 and event_id % 2 = 0"""
 
 
-def _typed(long: DataFrame) -> DataFrame:
+def _typed(long: DataFrame, *more: str) -> DataFrame:
     return long.select(
+        *more,
         F.col("time").try_cast("timestamp_ntz").alias("time"),
         F.col("raw").try_cast("double").alias("raw"),
         F.col("unit").try_cast("double").alias("unit"),
@@ -112,6 +117,23 @@ def ts_blocks(fx: Fixtures) -> DataFrame:
     return _typed(timeseries.unpack_blocks(packed_blocks(fx)))
 
 
+@query(
+    with_views(
+        ["readings"],
+        """, graded as (select *, case when event_id % 3 = 2 then 'grade ' || cast(event_id % 5 as varchar) end as quality
+                        from v_readings where event_id % 10 <> 0)
+           select time, raw, unit, quality, point_id, topic, display from graded
+           union all
+           select time + interval 1 hour as time, raw, unit, quality, point_id, topic, display from graded
+           where event_id % 2 = 0""",
+    )
+)
+def ts_blocks_extra_columns(fx: Fixtures) -> DataFrame:
+    """Blocks some of which hold a further name: it becomes a column, null where it is missing."""
+    long = timeseries.unpack_blocks(packed_blocks(fx, quality=True))
+    return _typed(long, "quality")
+
+
 @query(with_views(["readings"], BLOCKS_SQL))
 def ts_blocks_json(fx: Fixtures) -> DataFrame:
     """Nested blocks as JSON texts in which numbers are numbers."""
@@ -188,19 +210,56 @@ def ts_wide_mean(fx: Fixtures) -> DataFrame:
     return timeseries.timeseries_wide(fx.view("meter_readings"), "raw", duplicates="mean")
 
 
+MANY = tuple(f"m{no}" for no in range(64))
+
+
 @query(
     with_views(
-        ["readings"],
-        """, kept as (select date_trunc('second', time) as time, 'p' || cast(point_id as varchar) as name,
-                    arg_min(struct_pack(v := unit), struct_pack(t := time, e := event_id)).v as cell
-             from v_readings group by 1, 2)
-           pivot kept on name using first(cell) group by time""",
+        ["meter_readings"],
+        """, kept as (
+               select date_trunc('second', time) as second, 'm' || cast(point_id % 64 as varchar) as name, raw as cell,
+                      row_number() over (partition by date_trunc('second', time), point_id % 64
+                                         order by time, point_id, l_partkey, l_suppkey, raw) as no
+               from v_meter_readings)
+           select second as time, """
+        + ", ".join(f"max(case when name = '{name}' then cell end) as \"{name}\"" for name in MANY)
+        + " from kept where no = 1 group by second",
     )
 )
 def ts_wide_by_point(fx: Fixtures) -> DataFrame:
-    """One column per point: more columns than a single aggregation should carry."""
+    """64 columns: more than a single aggregation should carry."""
+    named = fx.view("meter_readings").withColumn("name", F.concat(F.lit("m"), F.col("point_id") % 64))
+    return timeseries.timeseries_wide(
+        named, "raw", names_from="name", order_by=["time", "point_id", "l_partkey", "l_suppkey"]
+    )
+
+
+@query(
+    with_views(
+        ["readings"],
+        """, kept as (
+               select date_trunc('second', time) as time, 'p' || cast(point_id as varchar) as name, unit as cell,
+                      row_number() over (partition by date_trunc('second', time), point_id
+                                         order by time, event_id) as no
+               from v_readings)
+           select time, name, cell from kept where no = 1""",
+    )
+)
+def ts_map_by_point(fx: Fixtures) -> DataFrame:
+    """One name per point: a map for each second, whose entries are shown one by one."""
     named = fx.view("readings").withColumn("name", F.concat(F.lit("p"), "point_id"))
-    return timeseries.timeseries_wide(named, names_from="name", order_by=["time", "event_id"])
+    wide = timeseries.timeseries_map(named, names_from="name", order_by=["time", "event_id"])
+    return wide.select("time", F.explode("values").alias("name", "cell"))
+
+
+@query(_wide_sql("readings", "unit", KINDS, "time, event_id", where=f"where time < timestamp '{START}' + interval 14 day"))
+def ts_wide_offsets(fx: Fixtures) -> DataFrame:
+    """Times as texts with offsets: range and label both read them whole."""
+    moved = F.date_format(F.col("time") + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'")
+    plain_text = F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    texts = fx.view("readings").withColumn("time", F.when(F.col("event_id") % 2 == 0, moved).otherwise(plain_text))
+    found = timeseries.timeseries_raw(texts, "2000-01-01", "2024-01-15", None)
+    return plain(timeseries.timeseries_wide(found, columns=KINDS, order_by=["time", "event_id"]))
 
 
 def _as_text(df: DataFrame, expression: str) -> DataFrame:

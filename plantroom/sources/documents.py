@@ -27,6 +27,7 @@ def read_json(
     wrapper: str | None = None,
     multiline: bool = False,
     flat: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """JSON files as a table.
 
@@ -34,20 +35,35 @@ def read_json(
     become dotted columns unless ``flat`` is false; arrays stay arrays. Pass a
     ``schema`` for large inputs, otherwise Spark reads everything once to infer
     it. ``multiline`` is for files that are one document, which cannot be split.
+    A document that does not parse ends the job; ``mode="PERMISSIVE"`` makes it a
+    row of nulls instead.
     """
-    reader = spark.read.option("multiLine", multiline)
+    reader = spark.read.option("multiLine", multiline).option("mode", mode)
     df = (reader.schema(schema) if schema is not None else reader).json(path)
     if wrapper is not None:
         df = unwrap(df, wrapper)
     return flatten(df) if flat else df
 
 
-def parse_json(df: DataFrame, text: str, schema: T.StructType | str, flat: bool = True) -> DataFrame:
-    """Like :func:`read_json` for JSON texts already in column ``text``."""
-    parsed = df.select(F.from_json(col(text), schema).alias("__row")).select("__row.*")
+def parse_json(
+    df: DataFrame, text: str, schema: T.StructType | str, flat: bool = True, mode: str = "FAILFAST"
+) -> DataFrame:
+    """Like :func:`read_json` for JSON texts already in column ``text``.
+
+    With ``mode="PERMISSIVE"``, :func:`unparsed_json` tells which texts became nulls.
+    """
+    parsed = df.select(F.from_json(col(text), schema, {"mode": mode}).alias("__row")).select("__row.*")
     return flatten(parsed) if flat else parsed
 
 
+def unparsed_json(df: DataFrame, text: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of ``df`` whose ``text`` does not parse; a null text is no document and none of them."""
+    typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*typed.fields, T.StructField("__bad", T.StringType())])
+    parsed = F.from_json(col(text), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    return df.where(parsed.getField("__bad").isNotNull())
+
+
 def rows_to_json(df: DataFrame, name: str = "payload") -> DataFrame:
     """One JSON object per row; null fields are left out."""
     return df.select(F.to_json(F.struct(*[col(c) for c in df.columns])).alias(name))

@@ -30,16 +30,15 @@ ENTITIES = (
 
 
 def read_table(spark: SparkSession, root: str, entity: str, schema: StructType | str | None = None) -> DataFrame:
-    """One entity. Files with differing columns are merged by name.
+    """One entity. Files with differing columns are merged by name, whatever the entity.
 
-    Merging opens every file's footer, so the readings, by far the largest table,
-    take their columns from one file. Pass ``schema`` to open none at all.
+    Merging opens every file's footer. For tables of very many files pass
+    ``schema``: then no footer is opened while planning, columns a file lacks are
+    null, and what the schema does not name is left out because it says so.
     """
     if entity not in ENTITIES:
         raise ValueError(f"unknown entity '{entity}'")
-    reader = spark.read.option("mergeSchema", entity != "readings")
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{root.rstrip('/')}/{entity}")
 
 

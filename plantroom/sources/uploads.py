@@ -2,21 +2,59 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantroom.functions.columns import col
 
+#: Column that holds the text of a record that does not parse.
+BAD_RECORD = "__bad_record"
+
+#: Quotes inside a quoted field are doubled, as spreadsheets and R write them.
+DIALECT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
+
+
+@dataclass(frozen=True)
+class CsvRows:
+    """Records that parse, and those that do not: as far as they were read, with an ``error``."""
+
+    rows: DataFrame
+    refused: DataFrame
+
+
+def _split(parsed: DataFrame) -> CsvRows:
+    names = [name for name in parsed.columns if name != BAD_RECORD]
+    # A record is judged by the columns that are asked for, so the condition, which always holds, asks for all.
+    read = F.length(F.concat_ws("", *[col(name).cast("string") for name in names])) >= 0
+    message = F.concat(F.lit("does not parse: "), F.rtrim(F.col(BAD_RECORD), F.lit("\r\n")))
+    bad = parsed.where(F.col(BAD_RECORD).isNotNull() & read)
+    return CsvRows(
+        rows=parsed.where(F.col(BAD_RECORD).isNull() & read).select([col(name) for name in names]),
+        refused=bad.select(*[col(name) for name in names], message.alias("error")),
+    )
+
+
+def read_upload_csv(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True) -> CsvRows:
+    """CSV files with a header row. The schema is required, so no inference pass runs.
 
-def read_upload_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV files with a header row. The schema is required, so no inference pass runs."""
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+    Records with too few or too many fields, or with text in a number's place, are refused, not read as nulls.
+    With ``multiline`` a quoted field may hold line breaks, and a file is read by one task; without, files are split
+    and every line is a record.
+    """
+    typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*typed.fields, T.StructField(BAD_RECORD, T.StringType())])
+    reader = spark.read.options(**DIALECT).option("header", True).option("enforceSchema", False)
+    # Without pruning every record is checked whole, whichever columns are asked for later.
+    return _split(reader.option("columnPruning", False).option("multiLine", multiline).schema(full).csv(path))
 
 
-def parse_upload_csv(df: DataFrame, line: str, schema: T.StructType | str) -> DataFrame:
-    """CSV lines already in column ``line``, without header."""
+def parse_upload_csv(df: DataFrame, line: str, schema: T.StructType | str) -> CsvRows:
+    """CSV records already in column ``line``, without header."""
     ddl = schema if isinstance(schema, str) else ", ".join(
         f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields
     )
-    return df.select(F.from_csv(col(line), F.lit(ddl)).alias("__row")).select("__row.*")
+    record = F.from_csv(col(line), F.lit(f"{ddl}, `{BAD_RECORD}` string"), DIALECT)
+    return _split(df.select(record.alias("__row")).select("__row.*"))

@@ -31,19 +31,26 @@ class Workspace:
         self._tables = dict(tables)
         self._spark: SparkSession | None = None
         self._root = ""
+        self._schemas: dict[str, StructType | str] = {}
 
     @classmethod
-    def open(cls, spark: SparkSession, root: str) -> "Workspace":
-        """Tables are Parquet directories under ``root``, read when first needed."""
+    def open(
+        cls, spark: SparkSession, root: str, schemas: Mapping[str, StructType | str] | None = None
+    ) -> "Workspace":
+        """Tables are Parquet directories under ``root``, read when first needed.
+
+        ``schemas`` states the columns of entities, so that no file is opened to
+        find them out; worth it for readings in very many files.
+        """
         workspace = cls({})
-        workspace._spark, workspace._root = configure(spark), root
+        workspace._spark, workspace._root, workspace._schemas = configure(spark), root, dict(schemas or {})
         return workspace
 
     def table(self, entity: str) -> DataFrame:
         if entity not in self._tables:
             if self._spark is None:
                 raise KeyError(f"this workspace has no table '{entity}'")
-            self._tables[entity] = read_table(self._spark, self._root, entity)
+            self._tables[entity] = read_table(self._spark, self._root, entity, self._schemas.get(entity))
         return self._tables[entity]
 
     # catalog
@@ -117,9 +124,11 @@ class Workspace:
         end_time: Moment,
         point_ids: Iterable | DataFrame | int,
         units: Mapping[str, str] | DataFrame | None = None,
+        date_column: str | None = None,
     ) -> DataFrame:
+        """``date_column`` names the partition column of readings, if there is one; then whole days are pruned."""
         return timeseries.timeseries_raw(
-            self.table("readings"), start_time, end_time, point_ids, self._factors(units)
+            self.table("readings"), start_time, end_time, point_ids, self._factors(units), date_column
         )
 
     def get_timeseries(
@@ -164,9 +173,9 @@ class Workspace:
         return staging.upload(self.staged_rows(building), data_to_upload)
 
     def upload_staging_csv(self, building: Buildings, path: str, schema: StructType | str) -> staging.UploadResult:
-        """CSV files with a header row in place of a table."""
-        rows = read_upload_csv(self.table("staging_points").sparkSession, path, schema)
-        return self.upload_staging(building, rows)
+        """CSV files with a header row in place of a table; records that do not parse come back as errors."""
+        read = read_upload_csv(self.table("staging_points").sparkSession, path, schema)
+        return staging.upload(self.staged_rows(building), read.rows, read.refused)
 
     def promote_data(
         self, building: Buildings, live: DataFrame, data_to_promote: DataFrame | None = None
@@ -177,12 +186,14 @@ class Workspace:
     def unpromote_data(
         self, building: Buildings, data_to_unpromote: DataFrame, unpromote_type: str = "points"
     ) -> staging.LiveTables:
-        """The building's live points and equipment without what is listed."""
-        here = catalog.building_ids(self.table("buildings"), building)
+        """The building's live points, equipment and relationships without what is listed."""
+        here = catalog.one_building(self.table("buildings"), building)
         points = filter_by_ids(self.table("points"), "building_id", here)
         equipment = filter_by_ids(self.table("equipment"), "building_id", here)
-        return staging.unpromote(points, equipment, data_to_unpromote, unpromote_type)
+        pairs = self.relationships(points)
+        return staging.unpromote(points, equipment, data_to_unpromote, unpromote_type, pairs)
 
-    def relationships(self) -> DataFrame:
-        """(equipment_id, point_id) pairs of the live points."""
-        return self.table("points").select(F.col("equip_id").alias("equipment_id"), F.col("id").alias("point_id"))
+    def relationships(self, points: DataFrame | None = None) -> DataFrame:
+        """(equipment_id, point_id) pairs of the live points, or of some of them."""
+        live = self.table("points") if points is None else points
+        return live.select(F.col("equip_id").alias("equipment_id"), F.col("id").alias("point_id"))

@@ -72,13 +72,30 @@ def test_broadcast_only_below_the_limit(equipment, points, monkeypatch):
     def plan(**options):
         return M.assemble_metadata(equipment, points, **options)._jdf.queryExecution().optimizedPlan().toString()
 
+    monkeypatch.setattr(M, "likely_small", lambda df, times: True)
     assert "rightHint=(strategy=broadcast)" in plan()
     assert "strategy=broadcast" not in plan(broadcast=False)
-    monkeypatch.setattr(M, "is_short", lambda df: df.limit(3).count() <= 2)
+    monkeypatch.setattr(M, "likely_small", lambda df, times: False)
     assert "strategy=broadcast" not in plan()
     assert rows(M.assemble_metadata(equipment, points)) == rows(M.assemble_metadata(equipment, points, broadcast=False))
 
 
+def test_broadcast_by_bytes_and_without_a_job(equipment, points, spark, tmp_path):
+    equipment.write.parquet(f"{tmp_path}/e")
+    stored = spark.read.parquet(f"{tmp_path}/e")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        assert M.likely_small(stored, 2)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")
+        assert not M.likely_small(stored, 2)
+        M.assemble_metadata(stored, points)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_counts_add_up(equipment, points):
     out = M.assemble_metadata(equipment, points)
     matched = out.where("`p.point_id` is not null and building_id is not null").count()

@@ -81,6 +81,45 @@ def test_a_kept_selection_no_longer_depends_on_the_tables(site):
     assert "Join" not in found.points._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_selection_is_kept_by_one_write(site, spark):
+    found = S.select_points({"equipment_types": "ahu"}, *site)
+    spark.sparkContext.setJobGroup("kept", "kept")
+    found.kept()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("kept"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one write, and the broadcasts and shuffles adaptive execution runs ahead of it
+    assert jobs <= 8
+
+
+def test_long_lists_are_semi_joins(site):
+    many = [f"t/{no}" for no in range(100, 1500)]
+    found = S.select_points({"point_topics": many}, *site)
+    plan = found.points._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and len(plan) < 20_000
+    assert rows(found.points) == [(no,) for no in range(100, 106)]
+    by_ids = S.select_points({"buildings": [*range(1, 1500), "Tower"], "point_ids": list(range(102, 3000))}, *site)
+    assert rows(by_ids.points) == [(102,), (103,), (104,), (105,)]
+
+
+@pytest.mark.parametrize("since", [1599999999, 1600000100, 1600000100.5, 1600000101, 1, 99999999999])
+def test_updated_since_is_pushed_and_exact(site, spark, tmp_path, since):
+    points, equipment, buildings = site
+    values = [None, 0, 5, 1599999999, 1600000100, 1600000101, 16000001005, 1600000100499, 1600000100500, 1600000101000,
+              1600000100999999, 1600000101000000, 9223372036854775807, -1600000101000]
+    path = f"{tmp_path}/points"
+    points.limit(1).drop("id", "last_updated").crossJoin(
+        spark.createDataFrame([(no, v) for no, v in enumerate(values)], "id long, last_updated long")
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = S.select_points({"updated_since": since}, stored, equipment, buildings)
+    seconds = lambda v: None if v is None else int(str(v)[:10])
+    expected = {no for no, v in enumerate(values) if v is not None and seconds(v) >= since}
+    assert {r.id for r in found.points.collect()} == expected
+    if 10**9 <= since < 10**10:
+        plan = found.points._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [Or(" in plan or "GreaterThanOrEqual(last_updated" in plan
+
+
 def test_ids_listed_over_and_over_collapse_before_the_join(site, spark):
     points, _, _ = site
     plan = S.points_by_ids(points, spark.range(10))._jdf.queryExecution().optimizedPlan().toString()

@@ -41,14 +41,54 @@ def test_rows_to_json_and_back(table):
 
 def test_csv_files_and_lines(spark, table, tmp_path):
     path = tmp_path / "upload.csv"
-    path.write_text('p.topic,e.equip_id,n\n"t,1",A,5\nt2,,\n')
+    path.write_text('p.topic,e.equip_id,n\n"t,1",A,5\nt2,,\n"a ""b"" c",B,1\n')
     schema = "`p.topic` string, `e.equip_id` string, n int"
-    expected = [("t,1", "A", 5), ("t2", None, None)]
-    assert rows(uploads.read_upload_csv(spark, str(path), schema)) == expected
-    lines = table("line string", ('"t,1",A,5',), ("t2,,",))
-    assert rows(uploads.parse_upload_csv(lines, "line", schema)) == expected
-    parsed_schema = uploads.read_upload_csv(spark, str(path), schema).schema
-    assert rows(uploads.parse_upload_csv(lines, "line", parsed_schema)) == expected
+    expected = sorted([("t,1", "A", 5), ("t2", None, None), ('a "b" c', "B", 1)])
+    for multiline in (True, False):
+        read = uploads.read_upload_csv(spark, str(path), schema, multiline)
+        assert rows(read.rows) == expected and read.refused.count() == 0
+    lines = table("line string", ('"t,1",A,5',), ("t2,,",), ('"a ""b"" c",B,1',))
+    assert rows(uploads.parse_upload_csv(lines, "line", schema).rows) == expected
+    parsed_schema = read.rows.schema
+    assert rows(uploads.parse_upload_csv(lines, "line", parsed_schema).rows) == expected
+
+
+def test_csv_records_that_do_not_parse_come_back(spark, table, tmp_path):
+    path = tmp_path / "upload.csv"
+    path.write_text('p.topic,note,n\nt1,x,abc\nt2,"line one\nline two",2\nt3\nt4,y,4,more\nt5,z,5\n')
+    schema = "`p.topic` string, note string, n double"
+    read = uploads.read_upload_csv(spark, str(path), schema)
+    assert rows(read.rows) == [("t2", "line one\nline two", 2.0), ("t5", "z", 5.0)]
+    assert rows(read.refused, "error") == [
+        ("does not parse: t1,x,abc",), ("does not parse: t3",), ("does not parse: t4,y,4,more",),
+    ]
+    assert read.refused.select("error").count() == 3 and read.rows.select("n").count() == 2
+    lines = table("line string", ("t1,x,abc",), ("t3",), ("t5,z,5",))
+    parsed = uploads.parse_upload_csv(lines, "line", schema)
+    assert rows(parsed.rows) == [("t5", "z", 5.0)] and parsed.refused.count() == 2
+
+
+def test_json_that_does_not_parse_is_reported(spark, table, tmp_path):
+    texts = table("no int, text string", (1, '{"a": 1}'), (2, '{"a": '), (3, None), (4, '{"b": 2}'))
+    assert rows(documents.unparsed_json(texts, "text", "a int"), "no") == [(2,)]
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        documents.parse_json(texts, "text", "a int").collect()
+    assert documents.parse_json(texts, "text", "a int", mode="PERMISSIVE").count() == 4
+    path = tmp_path / "lines.json"
+    path.write_text('{"id": 1}\n{"id": \n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        documents.read_json(spark, str(path), "id int").collect()
+    assert documents.read_json(spark, str(path), "id int", mode="PERMISSIVE").count() == 2
+
+
+def test_readings_files_of_different_width(spark, table, tmp_path):
+    path = f"{tmp_path}/readings"
+    table("point_id int, raw double", (1, 1.0)).write.parquet(path)
+    table("point_id int, raw double, quality string", (2, 2.0, "good")).write.mode("append").parquet(path)
+    expected = sorted([(1, None), (2, "good")], key=repr)
+    assert rows(tables.read_table(spark, str(tmp_path), "readings"), "point_id", "quality") == expected
+    stated = tables.read_table(spark, str(tmp_path), "readings", "point_id int, raw double, quality string")
+    assert rows(stated, "point_id", "quality") == expected
 
 
 def test_tables_merge_columns_and_are_never_overwritten(spark, table, tmp_path):

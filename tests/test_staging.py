@@ -82,6 +82,14 @@ def test_device_without_id_meets_equipment_without_points(area, table):
     assert rows(out, "`p.topic`", "`p.equip_ids`", "`d.label`") == sorted([("t1", "A", None), (None, "B", "odd")], key=repr)
 
 
+def test_a_name_of_several_buildings_is_refused(area, table):
+    _, points, equipment, devices = area
+    annexes = table("id int, name string", (1, "Annex"), (2, "Annex"))
+    with pytest.raises(ValueError, match="several buildings"):
+        S.staging_data("Annex", annexes, points, equipment, devices)
+    assert S.staging_data(2, annexes, points, equipment, devices).count() > 0
+
+
 def test_one_building_with_points(area):
     for wrong in (["Lab", "Tower"], [], "Nowhere", "Empty"):
         with pytest.raises(ValueError):
@@ -105,18 +113,37 @@ def test_upload_changes_adds_and_refuses(staged, table):
     result = S.upload(staged, new)
     assert result.staged.columns == ["p.topic", "e.equip_id", "p.note", "p.extra"]
     assert rows(result.staged) == sorted(
-        [("t1", "__SKIP__", "n1", 1), ("t2", "B", "n2", None), ("t3", None, "n3", None), (None, "C", "n0", None), ("t9", "N", None, 2)],
+        [
+            ("t1", "__SKIP__", "n1", 1), ("t2", "B", "n2", None), ("t3", None, "n3", None), (None, "C", "n0", None),
+            ("t9", "N", None, 2), (None, "X", None, None),
+        ],
         key=repr,
     )
     assert rows(result.errors) == sorted(
         [
-            (None, "X", 3, "missing p.topic"), ("t2", "P", 4, "conflicting rows for p.topic"),
+            ("t2", "P", 4, "conflicting rows for p.topic"),
             ("t2", "Q", 4, "conflicting rows for p.topic"),
         ],
         key=repr,
     )
 
 
+def test_rows_without_topic_are_matched_by_equipment(staged, table):
+    new = table(
+        "`p.topic` string, `e.equip_id` string, `e.kind` string, `p.note` string",
+        (None, "B", "fan", "not for points"), (None, "C", "ahu", None), ("t1", "A", "vav", "n9"), (None, None, "x", "y"),
+        (None, "D", "a", None), (None, "D", "b", None),
+    )
+    result = S.upload(staged, new)
+    assert rows(result.staged) == sorted(
+        [("t1", "A", "n9", "vav"), ("t2", "B", "n2", "fan"), ("t3", "B", "n3", "fan"), (None, "C", "n0", "ahu")], key=repr
+    )
+    assert rows(result.errors, "`e.equip_id`", "error") == sorted(
+        [(None, "missing p.topic or e.equip_id")] + [("D", "conflicting rows for e.equip_id")] * 2, key=repr
+    )
+    assert rows(S.upload(result.staged, new).staged) == rows(result.staged)
+
+
 def test_upload_twice_changes_nothing(staged, table):
     new = table(STAGED, ("t1", "Z", "z"), ("t8", "Z", "z"))
     once = S.upload(staged, new)
@@ -159,7 +186,7 @@ def test_promote_all_and_some(table):
     some = table("`e.equip_id` string, `p.topic` string", ("B", "t5"), ("__SKIP__", "t2"), (None, "t3"), ("X", "t1"))
     chosen = S.promote(staged, live, some)
     assert rows(chosen.live, "`p.topic`", "`p.note`") == [("t1", "old"), ("t5", "b"), ("t7", "stays")]
-    assert chosen.report.count() == 0
+    assert rows(chosen.report) == sorted([("points", "t1", S.NOT_STAGED)], key=repr)
 
 
 def test_promote_then_withdraw_restores(table):
@@ -200,6 +227,17 @@ def test_melt(table):
         S.melt_report(table("building_id int", (1,)))
 
 
+def test_melt_lists_and_objects(spark, table):
+    listed = table("building_id int, points map<string,string>, unexpected_deletes array<string>", (1, {"t": "bad"}, ["gone", "lost"]))
+    expected = sorted([("points", "t", "bad"), ("unexpected_deletes", None, "gone"), ("unexpected_deletes", None, "lost")], key=repr)
+    assert rows(S.melt_report(listed)) == expected
+    text = '{"building_id": 1, "points": {"t": "bad"}, "unexpected_deletes": ["gone", "lost"], "equipment": {"e": {"why": "x"}}}'
+    objects = spark.read.json(spark.sparkContext.parallelize([text, '{"building_id": 2}']))
+    assert rows(S.melt_report(objects)) == sorted([*expected, ("equipment", "e", '{"why":"x"}')], key=repr)
+    wrapped = table("response struct<points: map<string,string>, unexpected_deletes: array<string>>", (({"t": "bad"}, ["gone"]),))
+    assert rows(S.melt_report(wrapped)) == sorted([("points", "t", "bad"), ("unexpected_deletes", None, "gone")], key=repr)
+
+
 @pytest.fixture
 def live(table):
     points = table("id bigint, equip_id bigint", (1, 10), (2, 10), (3, 11), (4, None))
