@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -229,13 +230,17 @@ def timeseries_wide(
     names_from: str = "display",
     order_by: Sequence[str] = ("time", "point_id"),
     max_columns: int | None = None,
+    unique_order: bool = False,
 ) -> DataFrame:
     """One row per second, one column per ``names_from`` value, null where nothing was read.
 
     ``unit_type`` takes the ``"default"`` (converted) or the ``"raw"`` values.
     Text values get one common type, found by looking at all of them; typed
     values keep theirs. Several readings in one cell: the ``first`` or ``last``
-    by ``order_by`` (ties by value), or their ``mean``.
+    by ``order_by`` (ties by value), or their ``mean``. ``unique_order`` states
+    that ``order_by`` tells all readings of a second and name apart, so there are
+    no ties: with numbers to keep and keys of :func:`_packed` readings are then
+    combined by hash, where otherwise they are sorted first.
 
     Without ``columns`` the names are collected first, in the same job that
     finds the type. Pass ``columns`` and ``value_type`` to start no job at all;
@@ -283,20 +288,55 @@ def timeseries_wide(
         value = as_type(value, value_type)
     elif value_type is not None:
         value = value.try_cast(value_type)
-    rows = _cells(readings, name, value, order_by)
+    rows = _cells(readings, name, value, order_by, unique_order)
     if duplicates == "mean" and not isinstance(rows.schema["__value"].dataType, T.NumericType):
         raise ValueError("only numbers have a mean")
     return _widen(rows, columns, duplicates)
 
 
-def _cells(readings: DataFrame, name: Column, value: Column, order_by: Sequence[str]) -> DataFrame:
-    """(time, __name, __value, __cell): what decides between readings of one second and name."""
+def _packed(readings: DataFrame, order_by: Sequence[str]) -> Column | None:
+    """All keys as one number in the same order, null first; None if they are no integers or times, or too long.
+
+    ``time`` counts within its second only, which its group has in common.
+    Decimals hold 126 bits: a time and one 64-bit key, or a few shorter ones.
+    """
+    widths = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+    packed, bits = F.lit(0).cast("decimal(38,0)"), 0
+    for key in order_by:
+        dtype = readings.schema[key].dataType
+        if key == "time" and isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+            width, part = 20, F.pmod(F.unix_micros(F.col("time").cast("timestamp")), F.lit(1_000_000))
+        elif key == "time" and isinstance(dtype, T.DateType):
+            continue
+        elif type(dtype) in widths:
+            width = widths[type(dtype)]
+            part = col(key).cast("decimal(20,0)") + F.lit(Decimal(1 << (width - 1)))
+        else:
+            return None
+        # One bit more: null is 0, all others are above.
+        bits += width + 1
+        if bits > 126:
+            return None
+        part = F.coalesce(part.cast("decimal(21,0)") + 1, F.lit(0)).cast("decimal(38,0)")
+        packed = (packed * F.lit(Decimal(1 << (width + 1))) + part).cast("decimal(38,0)")
+    return packed
+
+
+def _cells(
+    readings: DataFrame, name: Column, value: Column, order_by: Sequence[str], unique_order: bool = False
+) -> DataFrame:
+    """(time, __name, __value, __cell): what decides between readings of one second and name.
+
+    Aggregates keep numbers of fixed length by hash, so where one can decide it stands in place of all keys.
+    """
     keys = [col(key).alias(f"key{no}") for no, key in enumerate(order_by)]
+    by_hash = unique_order and isinstance(readings.select(value.alias("v")).schema["v"].dataType, T.NumericType)
+    number = _packed(readings, order_by) if by_hash else None
     return readings.select(
         to_second(F.col("time"), readings.schema["time"].dataType).alias("time"),
         name.alias("__name"),
         value.alias("__value"),
-        F.struct(*keys, value.alias("value")).alias("__cell"),
+        (F.struct(*keys, value.alias("value")) if number is None else number).alias("__cell"),
     )
 
 
@@ -306,6 +346,7 @@ def timeseries_map(
     duplicates: str = "first",
     names_from: str = "display",
     order_by: Sequence[str] = ("time", "point_id"),
+    unique_order: bool = False,
 ) -> DataFrame:
     """One row per second with a map of names to values: :func:`timeseries_wide` for any number of names.
 
@@ -319,18 +360,19 @@ def timeseries_map(
     value_column = "unit" if unit_type == "default" else "raw"
     require_columns(readings, ["time", value_column, names_from, *order_by], "readings")
     name = F.coalesce(col(names_from).cast("string"), F.lit(MISSING_TEXT))
-    rows = _cells(readings, name, col(value_column), order_by)
-    single = rows.groupBy("time", "__name").agg(
-        _kept(duplicates, F.col("__cell"), F.col("__value")).alias("__value")
-    )
+    rows = _cells(readings, name, col(value_column), order_by, unique_order)
+    single = rows.groupBy("time", "__name").agg(_kept(rows, duplicates).alias("__value"))
     entries = F.sort_array(F.collect_list(F.struct("__name", "__value")))
     return single.groupBy("time").agg(F.map_from_entries(entries).alias("values"))
 
 
-def _kept(duplicates: str, cell: Column, value: Column) -> Column:
-    """Aggregate that picks the value of a cell."""
+def _kept(rows: DataFrame, duplicates: str, here: Column | None = None) -> Column:
+    """Aggregate that picks the value of a cell, from the rows that are ``here``."""
+    cell, value = (F.col(c) if here is None else F.when(here, F.col(c)) for c in ("__cell", "__value"))
     if duplicates == "mean":
         return F.avg(value)
+    if not isinstance(rows.schema["__cell"].dataType, T.StructType):
+        return F.min_by(value, cell) if duplicates == "first" else F.max_by(value, cell)
     picked = F.min(cell) if duplicates == "first" else F.max(cell)
     return picked.getField("value")
 
@@ -346,14 +388,9 @@ def _widen(rows: DataFrame, columns: list[str], duplicates: str) -> DataFrame:
     if len(columns) <= SINGLE_SHUFFLE_COLUMNS:
         cells = []
         for column in columns:
-            here = F.col("__name") == F.lit(column)
-            cells.append(
-                _kept(duplicates, F.when(here, F.col("__cell")), F.when(here, F.col("__value"))).alias(column)
-            )
+            cells.append(_kept(rows, duplicates, F.col("__name") == F.lit(column)).alias(column))
         return rows.groupBy("time").agg(*cells) if cells else rows.select("time").distinct()
-    single = rows.groupBy("time", "__name").agg(
-        _kept(duplicates, F.col("__cell"), F.col("__value")).alias("__value")
-    )
+    single = rows.groupBy("time", "__name").agg(_kept(rows, duplicates).alias("__value"))
     return single.repartition("time").groupBy("time").pivot("__name", columns).agg(F.first("__value"))
 
 

@@ -105,11 +105,13 @@ VIEWS: dict[str, str] = {
                ts as time, case when event_id % 17 = 0 then null else value end as raw,
                case when event_id % 17 = 0 then null else value * 1.8 + 32 end as unit, event_id
         from {events}""",
-    # Many readings in the same second and a column for each of seven meters.
+    # Many readings in the same second and a column for each of seven meters. The id tells different readings apart.
     "meter_readings": """
         select l_orderkey as point_id, 'meter/' || cast(l_linenumber as varchar(20)) as topic,
                'meter ' || cast(l_linenumber as varchar(20)) as display, l_shipdate as time,
-               l_quantity as raw, l_extendedprice as unit, l_partkey, l_suppkey
+               l_quantity as raw, l_extendedprice as unit,
+               cast((l_orderkey * 8 + l_linenumber) * 64 + l_quantity as bigint) * 16777216
+                 + cast(round(l_extendedprice * 100) as bigint) as reading_id
         from {lineitem}""",
     "staging_points": """
         select 'topic/' || cast(o_orderkey as varchar(20)) as topic,

@@ -171,30 +171,37 @@ def ts_wide_from_blocks(fx: Fixtures) -> DataFrame:
 @query(_wide_sql("readings", "unit", KINDS, "time, event_id"))
 def ts_wide_default(fx: Fixtures) -> DataFrame:
     long = timeseries.timeseries_raw(fx.view("readings"), START, END, None)
-    return timeseries.timeseries_wide(long, order_by=["time", "event_id"])
+    return timeseries.timeseries_wide(long, order_by=["time", "event_id"], unique_order=True)
 
 
 @query(_wide_sql("readings", "raw", KINDS, "time, event_id"))
 def ts_wide_raw(fx: Fixtures) -> DataFrame:
     """Names given, so that nothing has to be looked up first."""
     return timeseries.timeseries(
-        fx.view("readings"), START, END, None, unit_type="raw", columns=KINDS, order_by=["time", "event_id"]
+        fx.view("readings"), START, END, None, unit_type="raw", columns=KINDS, order_by=["time", "event_id"],
+        unique_order=True,
     )
 
 
-@query(_wide_sql("meter_readings", "raw", METERS, "time, point_id, l_partkey, l_suppkey, raw"))
+@query(_wide_sql("meter_readings", "raw", METERS, "time, reading_id"))
 def ts_wide_crowded(fx: Fixtures) -> DataFrame:
     """Many readings in every cell; the first is kept."""
     return timeseries.timeseries_wide(
-        fx.view("meter_readings"), "raw", order_by=["time", "point_id", "l_partkey", "l_suppkey"]
+        fx.view("meter_readings"), "raw", order_by=["time", "reading_id"], unique_order=True
     )
 
 
-@query(_wide_sql("meter_readings", "unit", METERS, "time, point_id, l_partkey, l_suppkey, unit", pick="last"))
+@query(_wide_sql("meter_readings", "raw", METERS, "time, point_id, raw"))
+def ts_wide_ties(fx: Fixtures) -> DataFrame:
+    """Readings the order leaves equal are settled by their value."""
+    return timeseries.timeseries_wide(fx.view("meter_readings"), "raw", order_by=["time", "point_id"])
+
+
+@query(_wide_sql("meter_readings", "unit", METERS, "time, reading_id", pick="last"))
 def ts_wide_last(fx: Fixtures) -> DataFrame:
     return timeseries.timeseries_wide(
-        fx.view("meter_readings"), columns=METERS, duplicates="last",
-        order_by=["time", "point_id", "l_partkey", "l_suppkey"],
+        fx.view("meter_readings"), columns=METERS, duplicates="last", order_by=["time", "reading_id"],
+        unique_order=True,
     )
 
 
@@ -219,7 +226,7 @@ MANY = tuple(f"m{no}" for no in range(64))
         """, kept as (
                select date_trunc('second', time) as second, 'm' || cast(point_id % 64 as varchar) as name, raw as cell,
                       row_number() over (partition by date_trunc('second', time), point_id % 64
-                                         order by time, point_id, l_partkey, l_suppkey, raw) as no
+                                         order by time, reading_id) as no
                from v_meter_readings)
            select second as time, """
         + ", ".join(f"max(case when name = '{name}' then cell end) as \"{name}\"" for name in MANY)
@@ -230,7 +237,7 @@ def ts_wide_by_point(fx: Fixtures) -> DataFrame:
     """64 columns: more than a single aggregation should carry."""
     named = fx.view("meter_readings").withColumn("name", F.concat(F.lit("m"), F.col("point_id") % 64))
     return timeseries.timeseries_wide(
-        named, "raw", names_from="name", order_by=["time", "point_id", "l_partkey", "l_suppkey"]
+        named, "raw", names_from="name", order_by=["time", "reading_id"], unique_order=True
     )
 
 
@@ -248,7 +255,7 @@ def ts_wide_by_point(fx: Fixtures) -> DataFrame:
 def ts_map_by_point(fx: Fixtures) -> DataFrame:
     """One name per point: a map for each second, whose entries are shown one by one."""
     named = fx.view("readings").withColumn("name", F.concat(F.lit("p"), "point_id"))
-    wide = timeseries.timeseries_map(named, names_from="name", order_by=["time", "event_id"])
+    wide = timeseries.timeseries_map(named, names_from="name", order_by=["time", "event_id"], unique_order=True)
     return wide.select("time", F.explode("values").alias("name", "cell"))
 
 

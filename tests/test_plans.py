@@ -43,7 +43,15 @@ def test_few_columns_one_shuffle(spark):
 def test_crowded_seconds_shrink_before_the_shuffle(spark, name):
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     first_shuffle = plan.rindex("Exchange")
-    assert "partial_min(" in plan[first_shuffle:]
+    assert "partial_min_by(" in plan[first_shuffle:]
+
+
+@pytest.mark.parametrize(
+    "name", ["ts_wide_default", "ts_wide_raw", "ts_wide_crowded", "ts_wide_last", "ts_wide_mean", "ts_wide_by_point"]
+)
+def test_numbers_are_combined_by_hash(spark, name):
+    plan = plan_of(driver.queries()[name](spark, "/root/testdata/sf0.01"))
+    assert "Sort" not in plan.replace("sortOrder", "")
 
 
 def test_many_columns_shuffle_narrow_rows(spark):
