@@ -149,7 +149,7 @@ FROM placed
 def crc32_sql(text: str) -> str:
     """CRC-32 of an ASCII text in DuckDB SQL, bit by bit."""
     return (
-        f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)), "
+        f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(list_filter(string_split({text}, ''), lambda x: x <> ''), lambda x: ascii(x)::BIGINT)), "
         f"lambda a, b: list_reduce(list_concat([xor(a, b)], [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]), "
         f"lambda c, d: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"
     )
