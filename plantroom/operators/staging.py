@@ -145,7 +145,11 @@ def _one_per_key(rows: DataFrame, key: str, hot: bool) -> tuple[DataFrame, DataF
     versions = rows.groupBy(col(key).alias("__key"), *bucket).agg(
         F.min(whole).alias("__low"), F.max(whole).alias("__high")
     )
-    single = versions.where(F.col("__low").eqNullSafe(F.col("__high"))).select("__low.*")
+    # The key comes from the grouping, by which the rows are known to be partitioned.
+    parts = [F.col("__key") if name == key else F.col("__low").getField(name) for name in rows.columns]
+    single = versions.where(F.col("__low").eqNullSafe(F.col("__high"))).select(
+        [part.alias(name) for part, name in zip(parts, rows.columns)]
+    )
     several = versions.where(~F.col("__low").eqNullSafe(F.col("__high"))).select(F.col("__key").alias(key))
     return single, several
 

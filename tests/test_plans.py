@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from plantroom.functions.columns import filter_by_ids, full_join
+from plantroom.operators.catalog import point_types, users
 from plantroom.operators.metadata import assemble_metadata
-from plantroom.operators.staging import unpromote, upload, upsert
+from plantroom.operators.selection import select_points
+from plantroom.operators.staging import promote, staging_view, unpromote, upload, upsert
 from plantroom.operators.timeseries import convert_units
 from plantroom.plans import all_queries
 
@@ -165,3 +167,67 @@ def test_hot_equipment_of_metadata_is_split(spark, eager_splitting, hot):
     assert _final_plan(out).count("skew=true") >= 2
     assert out.count() == 60000 + 60010 - 20000 - 1
     assert out.where("`e.parent` = '1'").count() > 0
+
+
+def test_hot_measurement_of_point_types_is_split(spark, eager_splitting, hot):
+    types = hot.select(F.monotonically_increasing_id().alias("id"), F.col("lv").alias("tag_name"), F.col("lk").alias("measurement_id"), F.array("lv").alias("tags"))
+    measurements = spark.range(0, 60000, 1, 4).select("id", F.col("id").cast("string").alias("name"))
+    units = measurements.select(F.col("id").alias("measurement_id"), F.lit("u").alias("name_abbr"), F.lit("n").alias("name_long"), F.lit("x").alias("data_type"))
+    out = point_types(types, measurements, units)
+    assert _final_plan(out).count("skew=true") >= 2
+    assert out.count() == 60000 and out.where("unit is null").count() == 20000
+
+
+def test_hot_role_of_users_is_split(spark, eager_splitting, hot):
+    times = [F.lit(None).cast("bigint").alias(n) for n in ("password_reset", "last_login", "created")]
+    texts = [F.lit("x").alias(n) for n in ("org_name", "email", "username", "first_name", "last_name")]
+    table = hot.select(F.monotonically_increasing_id().alias("id"), F.lit(1).alias("org_id"), F.array("lk").alias("roles"), F.lit(True).alias("active"), *texts, *times)
+    roles = spark.range(0, 60000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    out = users(table, roles)
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 60000 and out.where("role is null").count() == 20000
+
+
+def test_hot_equipment_of_a_selection_is_split(spark, eager_splitting, hot):
+    points = hot.select(
+        F.monotonically_increasing_id().alias("id"), F.col("lk").alias("equip_id"), F.lit(1).alias("building_id"), F.col("lv").alias("name")
+    )
+    equipment = spark.range(0, 60000, 1, 4).select(
+        "id", F.col("id").cast("string").alias("equip_id"), F.lit(1).alias("building_id"), F.lit("ahu").alias("equip_type_tag")
+    )
+    buildings = spark.range(3).select("id", F.lit("b").alias("name"), F.lit(1).alias("org_id"))
+    found = select_points({"equipment_types": "ahu"}, points, equipment, buildings)
+    assert "skew=true" in _final_plan(found.points)
+    assert found.points.count() == 40000
+
+
+def test_hot_device_of_the_staging_view_is_split(spark, eager_splitting, hot):
+    points = hot.select(
+        F.col("lv").alias("topic"), F.monotonically_increasing_id().cast("string").alias("equip_ids"), F.col("lk").cast("string").alias("device_id")
+    )
+    equipment = spark.range(0, 100, 1, 4).select(F.concat(F.lit("E"), "id").alias("equip_id"))
+    devices = spark.range(0, 60000, 1, 4).select(F.col("id").cast("string").alias("device_id"), F.sha2(F.col("id").cast("string"), 256).alias("label"))
+    out = staging_view(points, equipment, devices)
+    assert "skew=true" in _final_plan(out)
+    assert out.where("`p.topic` is not null").count() == 60000
+
+
+def test_rows_without_topic_are_spread_in_a_promotion(spark, eager_splitting, hot):
+    columns = [F.col("lv").alias("p.topic"), F.col("lk").cast("string").alias("e.equip_id")]
+    staged = hot.select(*columns).where("`e.equip_id` is not null")
+    live = hot.select(F.when(F.col("lk").isNull(), F.col("lv")).alias("p.topic"), F.monotonically_increasing_id().alias("p.point_id"))
+    listed = hot.select(F.col("lk").cast("string").alias("e.equip_id"), F.col("lv").alias("p.topic")).where("lk = 7")
+    out = promote(staged, live, listed).live
+    plan = _final_plan(out)
+    # each side of the merge is shuffled once, and two thirds without topic do not meet in one task
+    assert "FullOuter" in plan
+    assert out.count() == 60000 + 20000
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 40000
+
+
+def test_uploads_and_promotions_shuffle_each_side_once(spark, eager_splitting):
+    topics = spark.range(0, 5000, 1, 4).select(F.concat(F.lit("t"), "id").alias("p.topic"), F.col("id").alias("p.n"))
+    equipment = topics.withColumn("e.equip_id", F.lit("A"))
+    for out in (upload(topics, topics).staged, promote(equipment, topics).live):
+        assert plan_of(out).count("Exchange hashpartitioning") == 2
