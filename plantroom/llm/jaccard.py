@@ -5,14 +5,14 @@ threshold. All links between different sets are respected, but only as many are
 need.
 
 1. *Who can have a partner.* A document that links with another shares a certain number of the shingles that come first
-   in a fixed order with it. Shingles meet in ranges of their hashes; a document with too few that any other document
-   has, too, is alone. What a task sees twice it passes on once, so a shingle of every document is no hot group.
+   in a fixed order with it. Shingles meet in ranges of their hashes; a set with too few that any other set has, too, is
+   alone but for its copies. What a task sees twice it passes on once, so a shingle of every document is no hot group.
 2. *Signature trees.* Equal sets become one. Sets with the same least hash, for several orders, form a block, and each
    block a tree: its nodes hold the OR of the bitmaps below, with the most tokens a set has at a bit, and the range of
    sizes. Two nodes at a time are walked down; a pair is dropped where the bits allow too little overlap, the sizes lie
    too far apart, or all sets below are connected already.
 3. *Completion.* Sets of different components that share a shingle among their first ones, as every linked pair does,
-   and that sizes and signatures allow, are verified. So no link between components is lost.
+   and that sizes and parity signatures allow, are verified. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -30,9 +30,13 @@ from plantroom.llm.shared import partitions, stored
 from plantroom.llm.words import WordHashes, hashed, mixed_bits, pieces, shingles, split_words, texts
 
 #: Orders in which least hashes are taken; sets of a block in one tree; bits of a node's bitmap; children of a node.
-ORDERS, BLOCK, BITS, FANOUT = 3, 1024, 256, 8
-#: Longs of a set's parity signature.
-SIGNATURE = 4
+ORDERS, BLOCK, BITS, FANOUT = 2, 1024, 256, 8
+#: Longs of a set's short and long parity signatures: the one travels with shingles, the other with pairs.
+SHORT, LONG = 4, 32
+#: First shingles beyond those of which one must be shared, in per cent of a set.
+EXTRA = 10
+#: Place of a shingle that several sets of a piece have, and the most documents of a piece.
+ELSEWHERE = 65_535
 
 # ------------------------------------------------------------------------------------------------ sizes and bounds
 
@@ -48,12 +52,12 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def long_prefix(n: int, percent: int) -> int:
-    return min(n, prefix_length(n, percent) + (100 - percent) * n // 100)
+    return min(n, prefix_length(n, percent) + EXTRA * n // 100)
 
 
 def least_shared(n: int, percent: int) -> int:
     """So many of a set's first shingles (`long_prefix`) are among those of any set it links with, the smallest included."""
-    return 1 + (100 - percent) * least_overlap(n, percent) // 100
+    return 1 + EXTRA * least_overlap(n, percent) // 100
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -69,9 +73,9 @@ def shingle_set(text: bytes | None, size: int, table: WordHashes) -> np.ndarray:
     return np.unique(shingles(hashed(split_words(text), table), size))
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
+def parity(tokens: np.ndarray, longs: int) -> np.ndarray:
     """A signature whose bits flip with every token: two differ in no more bits than their sets differ in tokens."""
-    bits = np.bincount((tokens >> np.uint64(8)) % np.uint64(64 * SIGNATURE), minlength=64 * SIGNATURE) & 1
+    bits = np.bincount((tokens >> np.uint64(8)) % np.uint64(64 * longs), minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -159,79 +163,107 @@ def join(sets: list[np.ndarray], percent: int) -> list[int]:
 
 # ------------------------------------------------------------------------------------------------ step 1
 
-_SKETCH = "part int, piece long, place int, doc_id long, text_key long, n long, credit long, v binary, range int, keys binary, places binary"
+_SENT = "range int, piece long, place int, doc_id long, text_key long, n long, credit long, v binary, keys binary, places binary, tags binary, more binary"
+_MET = "piece long, place int, doc_id long, text_key long, n long, credit long, v binary, places binary, counts binary"
 
 
 def sketch(documents: DataFrame, size: int, percent: int, ranges: int) -> DataFrame:
-    """One row per document (part 0) and its first shingles by range (part 1)."""
+    """One row per document, without `places`, and for each range and piece how many first shingles others share.
+
+    Documents and their first shingles go through one shuffle, documents under range numbers below 0.
+    """
     schema = pa.schema(
-        [("part", pa.int32()), ("piece", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()),
-         ("credit", pa.int64()), ("v", pa.binary()), ("range", pa.int32()), ("keys", pa.binary()), ("places", pa.binary())]
+        [("range", pa.int32()), ("piece", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()),
+         ("credit", pa.int64()), ("v", pa.binary()), ("keys", pa.binary()), ("places", pa.binary()), ("tags", pa.binary()), ("more", pa.binary())]
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
-        for batch in pieces(batches):
+        for batch in pieces(batches, rows=ELSEWHERE):
             sets = [shingle_set(text, size, table) for text in texts(batch)]
             n = len(sets)
-            first = [s[: long_prefix(len(s), percent)] if len(s) else s for s in sets]
-            place = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in first])
-            key = mixed_bits(np.concatenate(first))  # first shingles have low hashes; scrambled, they spread over all ranges
+            digest = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
+            # one document stands for all here that have its set
+            stands: dict[bytes, int] = {}
+            for i, d in enumerate(digest):
+                if d is not None:
+                    stands.setdefault(d, i)
+            chosen = list(stands.values())
+            first = [sets[i][: long_prefix(len(sets[i]), percent)] for i in chosen]
+            place = np.repeat(np.array(chosen, dtype=np.uint16), [len(f) for f in first])
+            # first shingles have low hashes; scrambled, they spread over all ranges
+            key = mixed_bits(np.concatenate(first)) if first else np.empty(0, dtype=np.uint64)
             order = np.argsort(key, kind="stable")
             key, place = key[order], place[order]
             new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.empty(0, dtype=bool)
-            group = np.cumsum(new) - 1
-            often = np.bincount(group, minlength=0)[group] > 1 if len(key) else new
+            often = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1 if len(key) else new
             credit = np.bincount(place[often], minlength=n)
-            # a shingle that two documents here have is passed on once, for documents elsewhere
+            # a shingle that two sets here have is passed on once, for documents elsewhere
             sent = new | ~often
-            key, place = key[sent], np.where(often, -1, place)[sent].astype(np.int32)
+            key, place = key[sent], np.where(often, ELSEWHERE, place)[sent].astype(np.uint16)
+            tags = np.zeros(ELSEWHERE + 1, dtype=np.uint64)
+            tags[chosen] = [int.from_bytes(digest[i][:6], "little") for i in chosen]
+            tag = tags[place]
             piece = batch.column("row")[0].as_py()
             none = pa.nulls(n, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * n, pa.int32()), pa.array([piece] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), batch.column("doc_id"),
-                 batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(credit.astype(np.int64)),
-                 pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()), pa.nulls(n, pa.int32()), none, none],
+                [pa.array([-1 - piece % ranges] * n, pa.int32()), pa.array([piece] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)),
+                 batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(credit.astype(np.int64)),
+                 pa.array(digest, pa.binary()), none, none, none, none],
                 schema=schema,
             )
             cut = np.searchsorted(_range(key, ranges), np.arange(ranges + 1))
             spans = [(r, cut[r], cut[r + 1]) for r in range(ranges) if cut[r] < cut[r + 1]]
             if spans:
                 blank = [pa.nulls(len(spans), f.type) for f in schema]
-                blank[0], blank[1] = pa.array([1] * len(spans), pa.int32()), pa.array([piece] * len(spans), pa.int64())
-                blank[8] = pa.array([s[0] for s in spans], pa.int32())
-                blank[9] = pa.array([key[a:b].tobytes() for _, a, b in spans], pa.binary())
-                blank[10] = pa.array([place[a:b].tobytes() for _, a, b in spans], pa.binary())
+                blank[0], blank[1] = pa.array([s[0] for s in spans], pa.int32()), pa.array([piece] * len(spans), pa.int64())
+                # within a range 32 bits tell shingles apart; two that they do not only let more documents pass
+                columns = (key.astype(np.uint32), place, tag.astype(np.uint32), (tag >> np.uint64(32)).astype(np.uint16))
+                for column, values in enumerate(columns, 8):
+                    blank[column] = pa.array([values[a:b].tobytes() for _, a, b in spans], pa.binary())
                 yield pa.RecordBatch.from_arrays(blank, schema=schema)
 
     numbered = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
-    return stored(numbered.mapInArrow(rows, _SKETCH), "sketch", partition_by="part")
-
-
-def _range(keys: np.ndarray, ranges: int) -> np.ndarray:
-    return (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-
-
-def shared_counts(sketched: DataFrame) -> DataFrame:
-    """How many of a document's first shingles stand in a document of another task's piece: piece, place, shared."""
-
     def meet(group: pa.Table) -> pa.Table:
+        if group.column("range")[0].as_py() < 0:
+            none = pa.nulls(group.num_rows, pa.binary())
+            return group.select(["piece", "place", "doc_id", "text_key", "n", "credit", "v"]).append_column("places", none).append_column("counts", none)
         owner = group.column("piece").to_pylist()
-        keys = [np.frombuffer(x, dtype=np.uint64) for x in group.column("keys").to_pylist()]
-        places = [np.frombuffer(x, dtype=np.int32) for x in group.column("places").to_pylist()]
-        _, number = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(number, weights=np.where(np.concatenate(places) < 0, 2, 1))
+        key, place, low, high = (
+            [np.frombuffer(x, dtype=t) for x in group.column(c).to_pylist()]
+            for c, t in (("keys", np.uint32), ("places", np.uint16), ("tags", np.uint32), ("more", np.uint16))
+        )
+        tag = np.concatenate(low).astype(np.uint64) | np.concatenate(high).astype(np.uint64) << np.uint64(32)
+        every, all_places = np.concatenate(key), np.concatenate(place)
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.r_[True, every[order][1:] != every[order][:-1]])
+        of_two = np.maximum.reduceat(tag[order], first) != np.minimum.reduceat(tag[order], first)
+        of_two |= np.maximum.reduceat(all_places[order], first) == ELSEWHERE
+        shared = np.empty(len(every), dtype=bool)
+        shared[order] = np.repeat(of_two, np.diff(np.r_[first, len(every)]))
         out, start = [], 0
-        for piece, place in zip(owner, places, strict=True):
-            stop = start + len(place)
-            used, n = np.unique(place[(count[number[start:stop]] > 1) & (place >= 0)], return_counts=True)
+        for piece, own in zip(owner, place, strict=True):
+            stop = start + len(own)
+            used, n = np.unique(own[shared[start:stop] & (own != ELSEWHERE)], return_counts=True)
             if len(used):
                 out.append((piece, used.astype(np.int32).tobytes(), n.astype(np.int32).tobytes()))
             start = stop
         columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["piece", "places", "counts"])
+        blank = [pa.nulls(len(out), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        answers = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)]
+        return pa.table([answers[0], *blank, *answers[1:]], names=["piece", "place", "doc_id", "text_key", "n", "credit", "v", "places", "counts"])
+
+    return stored(numbered.mapInArrow(rows, _SENT).groupBy("range").applyInArrow(meet, _MET), "sketch")
+
+
+def _range(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+
+
+def shared_counts(sketched: DataFrame) -> DataFrame:
+    """How many of a set's first shingles other sets of other pieces have: piece, place, shared."""
 
     def add(group: pa.Table) -> pa.Table:
         places, counts = (np.concatenate([np.frombuffer(x, dtype=np.int32) for x in group.column(c).to_pylist()]) for c in ("places", "counts"))
@@ -239,21 +271,21 @@ def shared_counts(sketched: DataFrame) -> DataFrame:
         used = np.flatnonzero(total)
         return pa.table({"piece": pa.array([group.column("piece")[0].as_py()] * len(used), pa.int64()), "place": used.astype(np.int32), "shared": total[used]})
 
-    met = sketched.where("part = 1").select("range", "piece", "keys", "places").groupBy("range").applyInArrow(meet, "piece long, places binary, counts binary")
-    return met.groupBy("piece").applyInArrow(add, "piece long, place int, shared long")
+    return sketched.where("places is not null").select("piece", "places", "counts").groupBy("piece").applyInArrow(add, "piece long, place int, shared long")
 
 
 # ------------------------------------------------------------------------------------------------ steps 2 and 3
 
 
 def _enough_shared(percent: int) -> Column:
-    overlap = F.expr(f"({percent} * n + 99) div 100")
-    return F.col("credit") + F.coalesce("shared", F.lit(0)) >= 1 + F.floor((100 - percent) * overlap / 100)
+    return F.col("credit") + F.coalesce("shared", F.lit(0)) >= 1 + F.expr(f"{EXTRA} * (({percent} * n + 99) div 100) div 100")
 
 
 def token_sets(documents: DataFrame, wanted: DataFrame, size: int, percent: int) -> DataFrame:
-    """The whole sets of one document for each wanted v: v, n, tokens, least hashes, signature, first shingles."""
+    """The whole sets of one document for each wanted v (more than once only for rows equal in id and text): v, n, tokens,
+    least hashes, signatures, first shingles."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    wanted = wanted.where(F.length("v") > 0)
     same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_key"] == wanted["text_key"])
     held = rows.join(wanted, same).select(rows["text"], wanted["v"])
 
@@ -264,23 +296,32 @@ def token_sets(documents: DataFrame, wanted: DataFrame, size: int, percent: int)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("v"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
                  pa.array([[int(mixed_bits(s ^ np.uint64(k + 1)).min().view(np.int64)) for k in range(ORDERS)] for s in sets], pa.list_(pa.int64())),
-                 pa.array([parity(s).tolist() for s in sets], pa.list_(pa.int64())),
+                 pa.array([parity(s, SHORT).tolist() for s in sets], pa.list_(pa.int64())),
+                 pa.array([parity(s, LONG).tolist() for s in sets], pa.list_(pa.int64())),
                  pa.array([s[: prefix_length(len(s), percent)].view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))],
-                names=["v", "n", "tokens", "least", "signature", "first"],
+                names=["v", "n", "tokens", "least", "short", "long", "first"],
             )
 
-    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, signature array<long>, first array<long>")
-    return stored(made.dropDuplicates(["v"]), "sets")
+    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, short array<long>, long array<long>, first array<long>")
+    # a Bloom filter of the wanted texts, however small the documents, keeps most others out of the shuffle
+    conf, setting = documents.sparkSession.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = conf.get(setting)
+    conf.set(setting, "0")
+    try:
+        return stored(made, "sets")
+    finally:
+        conf.set(setting, before)
 
 
 def block_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect what is connected within blocks of one least hash."""
     spark = sets.sparkSession
-    keyed = sets.select("v", "tokens", F.posexplode("least").alias("turn", "key"))
+    keyed = sets.select("v", F.posexplode("least").alias("turn", "key"))
     large = keyed.groupBy("turn", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
     # blocks beyond BLOCK sets are cut by a hash; links across the cut are left to the completion
     cut = F.pmod(F.xxhash64("v"), F.ceil(F.col("members") / BLOCK))
-    blocks = keyed.join(large, ["turn", "key"]).select("turn", "key", cut.alias("cut"), "v", "tokens")
+    slots = keyed.join(large, ["turn", "key"]).groupBy("v").agg(F.collect_set(F.struct("turn", "key", cut.alias("cut"))).alias("slots"))
+    blocks = sets.select("v", "tokens").join(slots, "v").select(F.explode("slots").alias("s"), "v", "tokens").select("s.*", "v", "tokens")
     blocks = blocks.repartition(partitions(spark), "turn", "key", "cut").sortWithinPartitions("turn", "key", "cut", "v")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,11 +351,11 @@ def block_links(sets: DataFrame, percent: int) -> DataFrame:
 
 def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between sets of different components, each verified."""
-    labelled = sets.join(known, "v", "left").select("v", F.coalesce("component", "v").alias("component"), "n", "signature", F.explode("first").alias("token"))
+    labelled = sets.join(known, "v", "left").select("v", F.coalesce("component", "v").alias("component"), "n", "short", F.explode("first").alias("token"))
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = stored(labelled.join(mixed, "token", "left_semi"), "open")
     a, b = open_rows.alias("a"), open_rows.alias("b")
-    differing = sum((F.bit_count(F.element_at("a.signature", i + 1).bitwiseXOR(F.element_at("b.signature", i + 1))) for i in range(SIGNATURE)), F.lit(0))
+    differing = sum((F.bit_count(F.element_at("a.short", i + 1).bitwiseXOR(F.element_at("b.short", i + 1))) for i in range(SHORT)), F.lit(0))
     sizes = F.col("a.n") + F.col("b.n")
     pairs = a.join(
         b,
@@ -323,8 +364,15 @@ def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFram
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
         & ((100 - percent) * sizes >= (100 + percent) * differing),
     )
-    pairs = pairs.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct()
-    left, right = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
+    pairs = stored(pairs.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct(), "pairs")
+    # most pairs share a passage and no more: long signatures tell before whole sets are moved
+    signs = [sets.select(F.col("v").alias(c), F.col("n").alias(f"n_{c}"), F.col("long").alias(f"long_{c}")) for c in ("a", "b")]
+    bits = F.aggregate(F.zip_with("long_a", "long_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    near = pairs.join(signs[0], "a").join(signs[1], "b").where((100 - percent) * (F.col("n_a") + F.col("n_b")) >= (100 + percent) * bits)
+    pairs = stored(near.select("a", "b").distinct(), "near-pairs")
+    used = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
+    used = stored(sets.select("v", "tokens").join(used, "v", "left_semi"), "near-sets")
+    left, right = used.select(F.col("v").alias("a"), F.col("tokens").alias("x")), used.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +388,7 @@ def _labelled(documents: DataFrame, size: int, percent: int) -> DataFrame:
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     sketched = sketch(documents, size, percent, 4 * partitions(spark))
-    rows = sketched.where("part = 0").select("piece", "place", "doc_id", "text_key", "n", "credit", "v")
+    rows = sketched.where("places is null").select("piece", "place", "doc_id", "text_key", "n", "credit", "v")
     possible = rows.join(shared_counts(sketched), ["piece", "place"], "left").where(_enough_shared(percent) & (F.col("n") > 0))
     wanted = stored(possible.groupBy("v").agg(F.min(F.struct("doc_id", "text_key")).alias("least")).select("v", "least.*"), "wanted")
     sets = token_sets(documents, wanted, size, percent)

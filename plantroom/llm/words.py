@@ -35,8 +35,10 @@ def hashed(words: list[bytes], table: WordHashes) -> np.ndarray:
     return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of bounded text."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 31
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of bounded text and number."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -45,7 +47,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+            stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, done + limit, "right"))))
             yield batch.slice(start, stop - start)
             start = stop
 
