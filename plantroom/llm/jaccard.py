@@ -207,7 +207,7 @@ def sketch(documents: DataFrame, size: int, percent: int, ranges: int) -> DataFr
             piece = batch.column("row")[0].as_py()
             none = pa.nulls(n, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([-1 - piece % ranges] * n, pa.int32()), pa.array([piece] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)),
+                [pa.array([-1 - (piece * 0x9E3779B97F4A7C15 % 2**64 >> 32) % ranges] * n, pa.int32()), pa.array([piece] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)),
                  batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(credit.astype(np.int64)),
                  pa.array(digest, pa.binary()), none, none, none, none],
                 schema=schema,

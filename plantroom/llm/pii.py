@@ -168,9 +168,9 @@ def _described(kind: str, base: bool, text: Column, span: Column) -> Column:
         "marks": _bin(marks, 1, 2),
         "plus": flag(F.startswith(found, F.lit("+"))),
         "bracket": flag(F.rlike(found, F.lit(r"[(\[]"))),
-        # what decides a label is no input where it would decide alone
-        "valid": flag(checks[kind]) if kind in ("email", "secret", "phone") else F.lit(0),
+        "valid": flag(checks[kind]),
         "grouped": flag(F.rlike(found, F.lit(grouped[kind]))),
+        # for secrets the words before are the label, so the trees have to learn from the format
         "named": flag(named) if kind != "secret" else F.lit(0),
         "edge": flag(F.rlike(around, F.lit("[A-Za-z0-9]"))),
     }

@@ -111,3 +111,13 @@ def test_running_sums(spark, n):
 
     row = spark.range(1).select(pii.running_sums(F.sequence(F.lit(1), F.lit(n))).alias("s")).first()
     assert row["s"] == [i * (i + 1) // 2 for i in range(1, n + 1)]
+
+
+def test_a_card_behind_a_phone_is_found_by_the_trees(spark):
+    rows = [(i, f"pay by 4111 1111 1111 1111 or call +1 (269) 555-3{i:03d}, please") for i in range(60)]
+    rows += [(100 + i, f"number {10**15 + 7 * i} of them") for i in range(60)]
+    rows += [(300, "+1 (269) 555-3296 4111111111111111 end")]
+    found = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    check(found.values(), dict(rows))
+    assert found[300]["n_card"] == found[300]["n_phone"] == 0
+    assert found[300]["spans"] == "phone:0:17,card:18:34"
