@@ -1,35 +1,24 @@
-"""Tables that several jobs read, kept where every executor can read them."""
+"""Tables that several jobs read, and bounded samples."""
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from plantroom.sources.shared import shared_folder, stored
 
-_FOLDERS: dict[str, str] = {}
+__all__ = ["partitions", "sampled", "shared_folder", "stored"]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; where that is unset (tests), the context's, or one beside the warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-shared"
-    return found.rstrip("/")
+def partitions(spark: SparkSession) -> int:
+    """Shuffle partitions of the session, for explicit repartitioning."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write a table to a new path in the shared folder and read it back: the lineage ends there.
+def sampled(rows: int, wanted: int, *key: str) -> Column:
+    """Holds for about twice as many of `rows` rows as are wanted, chosen by a hash of a key.
 
-    Every call writes to a path of its own, so a repeated job never reads another one's rows.
+    Put before an exact choice of the smallest hashes, so that no task offers more rows than are needed in all.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/plantroom-{name}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    """Shuffle partitions of the session, for explicit repartitioning."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, 2.0 * (wanted + 50) / max(1, rows))
+    return F.pmod(F.xxhash64(*key), F.lit(1 << 40)) <= F.lit(int(share * (1 << 40)))

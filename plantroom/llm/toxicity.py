@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantroom.llm.shared import stored
+from plantroom.llm.shared import sampled, stored
 from plantroom.llm.words import pieces
 
 #: Labelled documents the model is fitted to, at most so many of each label: those of the smallest hashes of their ids.
@@ -99,9 +99,12 @@ def learning_rows(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
         .where("toxic = most")
     )
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = marked.where("toxic = 1").orderBy(*by_hash).limit(sample).unionByName(marked.where("toxic = 0").orderBy(*by_hash).limit(sample))
-    ids = {r["doc_id"]: r["toxic"] for r in chosen.select("doc_id", "toxic").collect()}
+    marked = stored(marked.select("doc_id", "toxic"), "marked")
+    by_hash = [F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), F.col("doc_id")]
+    ids = {}
+    for label, rows in marked.groupBy("toxic").count().collect():
+        some = marked.where((F.col("toxic") == label) & sampled(rows, sample, "doc_id"))
+        ids |= {r["doc_id"]: label for r in some.orderBy(*by_hash).limit(sample).collect()}
     if not ids:
         return np.empty(0, dtype=np.int64), []
     spark = documents.sparkSession
@@ -192,8 +195,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     return fit(*learning_rows(documents, labels))
 
 
-def scored(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every document, in one pass without a shuffle.
+def scored(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All columns but `text`, and the score under a name of its own, of every document; one pass without a shuffle.
 
     The score is 0 for null texts and texts without a word. One row for each row of the input; the model (the used
     weights only) travels with the tasks.
@@ -206,11 +209,11 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
         table = WordWeights(weights)
         for batch in pieces(batches):
             found = [noisy_or(sentence_odds(text, table, bias)) for text in lowered(batch)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], name])
 
     kinds = documents.schema
     keys = [f.name for f in kinds if f.name != "text"]
-    schema = ", ".join(f"`{k}` {kinds[k].dataType.simpleString()}" for k in keys) + ", score double"
+    schema = ", ".join(f"`{k}` {kinds[k].dataType.simpleString()}" for k in keys) + f", `{name}` double"
     return documents.select(*keys, "text").mapInArrow(score, schema.removeprefix(", "))
 
 
@@ -249,6 +252,6 @@ def offending(documents: DataFrame, model: Model, least: float = 0.5) -> DataFra
 
 def without_toxic(documents: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """The documents whose score is below the limit, with all their columns."""
-    scores = scored(documents.withColumn("_toxicity_text", F.col("text")), train(documents, labels))
+    scores = scored(documents.withColumn("_toxicity_text", F.col("text")), train(documents, labels), "_toxicity")
     names = documents.columns
-    return scores.withColumnRenamed("_toxicity_text", "text").where(F.col("score") < limit).select(*names)
+    return scores.withColumnRenamed("_toxicity_text", "text").where(F.col("_toxicity") < limit).select(*[f"`{n}`" for n in names])

@@ -42,8 +42,8 @@ def test_nulls_long_texts_and_clashing_columns(spark):
     assert len(found) == 6
     scores = [r["score"] for r in toxicity.scored(odd.select("doc_id", "text"), model).collect()]
     assert scores[:3] == [0.0, 0.0, 0.0] and scores[3] < 0.5 < min(scores[4:])
-    kept = toxicity.without_toxic(odd.drop("score").unionByName(documents.selectExpr("doc_id", "text", "'z' as `a b`")), labels)
-    assert kept.columns == ["doc_id", "text", "a b"]
+    kept = toxicity.without_toxic(odd.unionByName(documents.selectExpr("doc_id", "text", "0.5d as score", "'z' as `a b`")), labels)
+    assert kept.columns == ["doc_id", "text", "score", "a b"]
     assert kept.count() == 4 + 80
 
 
