@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantroom.llm.shared import partitions, stored
+from plantroom.llm.shared import partitions, sampled, stored
 from plantroom.llm.words import WordHashes, hashed, pieces, split_words, texts
 
 #: Words whose counts travel with the tasks; of these, words with a symbol of their own; buckets of all other words.
@@ -96,7 +96,7 @@ def count_words(documents: DataFrame, ranges: int) -> dict:
         if len(keys):
             yield passed_on()
 
-    often = 3 * COMMON // ranges + 100
+    often = 3 * COMMON // ranges + 30
 
     def add(group: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in group.column("keys").to_pylist()])
@@ -136,7 +136,7 @@ def count_words(documents: DataFrame, ranges: int) -> dict:
     symbol = np.concatenate([np.arange(own), 1 + OWN + bucket(keys[own:])])
     order = np.argsort(keys)
     return {
-        "N": int(counts[:own].sum() + total.sum()), "V": int((counts[:own] > 0).sum() + types.sum()),
+        "documents": int(end), "N": int(counts[:own].sum() + total.sum()), "V": int((counts[:own] > 0).sum() + types.sum()),
         "words": keys[order], "counts": counts[order], "symbols": symbol[order].astype(np.uint16),
         "bucket_norm": np.log10(total + types + 1.0), "unigram": np.concatenate([counts[:own], np.zeros(1 + OWN - own), total]) + 1.0,
     }
@@ -332,8 +332,8 @@ def _starting_model(unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.full(STATES, 1.0 / STATES), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)
 
 
-def train(encoded: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch over all training documents.
+def train(encoded: DataFrame, unigram: np.ndarray, documents: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch over all training documents, of which there are so many.
 
     Rounds over at most START_SEGMENTS segments, the first ones of the documents with the smallest hashes of their ids,
     only find a model to start from; what is returned comes from counts over every segment of every training document.
@@ -341,8 +341,10 @@ def train(encoded: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS) -> tupl
     spark = encoded.sparkSession
     learned = encoded.where("part = 0 and not held_out").select("symbols")
     model = _starting_model(unigram)
-    first = encoded.where("part = 0 and not held_out").orderBy(F.xxhash64("doc_id"), "row").limit(START_SEGMENTS)
-    sample = [np.frombuffer(r[0], dtype=np.uint16) for r in first.select(F.substring("symbols", 1, 2 * SEGMENT)).collect()]
+    first = encoded.where("part = 0 and not held_out").where(sampled(documents, START_SEGMENTS, "doc_id", "row"))
+    by_hash = [F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << 40)), F.col("row")]
+    first = first.select("doc_id", "row", F.substring("symbols", 1, 2 * SEGMENT).alias("start")).orderBy(*by_hash).limit(START_SEGMENTS)
+    sample = [np.frombuffer(r["start"], dtype=np.uint16) for r in first.collect()]
     for _ in range(START_ROUNDS if sample else 0):
         model = estimated(expected_counts(sample, model), unigram)
     shapes = [(STATES,), (STATES, STATES), (STATES, len(unigram))]
@@ -402,7 +404,7 @@ def scored(documents: DataFrame) -> DataFrame:
     ranges = 4 * partitions(spark)
     vocabulary = count_words(documents, ranges)
     encoded = encode(documents, vocabulary, ranges)
-    model = train(encoded, vocabulary["unigram"])
+    model = train(encoded, vocabulary["unigram"], vocabulary["documents"])
     all_tokens, floor = vocabulary["N"], np.log10(vocabulary["N"] + vocabulary["V"] + 1.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
