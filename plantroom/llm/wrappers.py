@@ -3,7 +3,8 @@
 Pages of one host come from a few templates. The DOM trees of some pages of a host are aligned by simple tree matching:
 what all of them have at the same place with the same text is the host's template, what varies is a slot. Every page
 is then aligned with the template of its host, its constant nodes are dropped, and the text is read from the slots of
-the main container, without parts that say themselves that they are menus, adverts, comments and the like.
+the main container. Names (menu, sidebar, comments and the like) are weak evidence: they set aside a part that holds the
+lesser share of what varies on a page, and never one around its article or main element.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ DEPTH = 200
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe noembed xmp svg math".split())
 _BLOCK = frozenset(
@@ -42,39 +43,50 @@ _CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-_SKIPPED = frozenset(
-    "head script style noscript template iframe svg math nav aside footer form button select textarea input menu dialog object canvas audio video".split()
-)
+_SKIPPED = frozenset("head script style noscript template iframe svg math nav footer button select textarea input menu object canvas audio video".split())
+#: Elements that are weak evidence as the words are: whole pages stand in a form.
+_WEAK = frozenset("aside form dialog".split())
 _HINT = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion nav navbar navigation menu menus breadcrumb "
     "breadcrumbs sidebar side aside footer foot header masthead topbar toolbar cookie cookies consent notice notices alert popup modal overlay subscribe "
     "newsletter signup login search share sharing social related recommended comment comments discussion disqus replies respond form widget widgets "
     "pagination pager skip copyright legal disclaimer complementary contentinfo".split()
 )
+#: Before a word these say what a page or part has or lacks, not what it is.
+_STATE = frozenset("has have no not with without is".split())
 
 
 class Node:
-    """An element: label (tag with classes and id), children (nodes and texts), whether it names itself as no content."""
+    """An element: label (tag with classes and id), children (nodes and texts), whether it is no content; `weak` if only
+    its name says so, which `settle` weighs against what it holds."""
+
+    __slots__ = ("tag", "label", "children", "aside", "weak")
+
+    def __init__(self, tag: str, label: str, aside: bool, weak: bool = False):
+        self.tag, self.label, self.children, self.aside, self.weak = tag, label, [], aside, weak
 
-    __slots__ = ("tag", "label", "children", "aside")
 
-    def __init__(self, tag: str, label: str, aside: bool):
-        self.tag, self.label, self.children, self.aside = tag, label, [], aside
+def _hints(value: str) -> bool:
+    """Whether one of the names in an attribute is made of a word that hints at no content."""
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+        if words and words[0] not in _STATE and not _HINT.isdisjoint(words):
+            return True
+    return False
 
 
 def _element(tag: str, attributes: str) -> Node:
-    label, aside, main = tag, tag in _SKIPPED, False
+    label, aside, weak, main = tag, tag in _SKIPPED, tag in _WEAK, False
     if attributes and ("=" in attributes or "hidden" in attributes.lower()):
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), (a or b or c).lower()
+            name, value = name.lower(), a or b or c
             if name == "hidden" or name == "aria-hidden":
-                aside |= name == "hidden" or value == "true"
-                continue
-            words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", a or b or c).lower())
-            aside |= tag not in ("html", "body", "article", "main") and not _HINT.isdisjoint(words)
-            main |= name == "role" and value == "main"
-            label += "." + re.sub(r"\d+", "", value)
-    return Node("main" if main else tag, label, aside)
+                aside |= name == "hidden" or value.lower() == "true"
+            elif name in ("class", "id", "role"):
+                weak |= tag not in ("html", "body", "article", "main") and _hints(value)
+                main |= name == "role" and value.lower() == "main"
+                label += "." + re.sub(r"\d+", "", value.lower())
+    return Node("main" if main else tag, label, aside, weak and not main)
 
 
 def parse(text: str) -> Node:
@@ -153,6 +165,55 @@ def text_of(node: Node | str) -> str:
     return " ".join(filter(None, map(text_of, node.children)))
 
 
+def settle(tree: Node, constant: set[int], induced: bool = False) -> None:
+    """Sets aside the weak nodes of a page, but those that hold a main element, an article where none stands elsewhere,
+    the headline, or more than half of what varies on the page. Beside a main element only what stands in it can hold
+    most. With a template (`induced`), a headline is known by varying; without one only an article's own is."""
+    chars: dict[int, int] = {}
+    holds: dict[int, frozenset] = {}
+    free = False
+
+    def weigh(node: Node, below_weak: bool, inside: bool) -> None:
+        nonlocal free
+        size, held = 0, set()
+        inside = inside or node.tag in ("article", "main")
+        below_weak = below_weak or node.weak
+        free |= node.tag in ("article", "main") and not below_weak
+        for child in node.children:
+            if id(child) in constant:
+                continue
+            if isinstance(child, str):
+                size += len(child.strip())
+            elif not child.aside:
+                weigh(child, below_weak, inside)
+                size += chars[id(child)]
+                held |= holds[id(child)]
+        if node.tag in ("article", "main"):
+            held.add(node.tag)
+        if node.tag == "h1" and size and (inside or induced):
+            held.add("h1")
+        chars[id(node)], holds[id(node)] = size, frozenset(held)
+
+    weigh(tree, False, False)
+    total = chars[id(tree)]
+
+    named = "main" in holds[id(tree)]
+
+    def decide(node: Node, inside: bool) -> None:
+        if id(node) not in chars:
+            return
+        inside = inside or node.tag == "main"
+        if node.weak:
+            held = holds[id(node)]
+            most = 2 * chars[id(node)] > total and (inside or not named)
+            node.aside = not ("main" in held or "h1" in held or ("article" in held and not free and not named) or most)
+        for child in node.children:
+            if isinstance(child, Node):
+                decide(child, inside)
+
+    decide(tree, False)
+
+
 def _digest(text: str) -> str:
     return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
@@ -256,6 +317,8 @@ def _vary(slot: list) -> None:
 def induce(pages: list[str]) -> Template:
     """The template of different pages of one host; of a single page, nothing is constant."""
     trees = [parse(p) for p in pages]
+    for tree in trees:
+        settle(tree, set())
     template = as_template(trees[0])
     for tree in trees[1:]:
         _merge(template, tree)
@@ -316,9 +379,10 @@ def extract(page: str, template: Template | None, references: int) -> str:
     """The main text of a page."""
     tree = parse(page)
     constant: set[int] = set()
-    mains = _mains(tree)
     if template is not None and references > 1:
         _constants(template, tree, constant, False, references >= LEAST)
+    settle(tree, constant, template is not None and references > 1)
+    mains = _mains(tree)
     if not mains:
         mains = [_induced_main(template, tree) if template is not None else tree]
     out: list[list[str]] = [[]]

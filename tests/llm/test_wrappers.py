@@ -72,3 +72,28 @@ def test_copies_are_no_constants(spark):
     page = "<body><div class=s><p>the same text on every page</p></div></body>"
     pages = spark.createDataFrame([(i, "http://h/", page) for i in range(50)], "page_id long, url string, html string")
     assert {r["text"] for r in wrappers.main_texts(pages).collect()} == {"the same text on every page"}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div id=page class='site has-sidebar'><article><h1>T</h1><p>x</p></article><div class=sidebar>b</div></div>", "T\nx"),
+        ("<div class='wrap no-sidebar'><article>x</article></div>", "x"),
+        ("<div class='sidebar-layout'><div class=side><main>x</main></div></div><article class=teaser>y</article>", "x\ny"),
+        ("<form id=aspnetForm><article>x</article></form>", "x"),
+        ("<article><div class='article-header'><h1>Head</h1></div><p>body of it</p><div class=share>on</div></article>", "Head\nbody of it"),
+        ("<article data-class='sidebar' title='x class=menu hidden' data-hidden=1>x</article>", "x"),
+        ("<div data-role='banner' title='id=footer'><p>x</p></div>", "x"),
+        ("<div class=legal><p>a long opinion of the court</p></div><div class=related>more</div>", "a long opinion of the court"),
+        ("<main>x</main><div class=comments><article>me too, and at some length</article></div>", "x"),
+        ("<div hidden><article>x</article></div><p>y", "y"),
+    ],
+)
+def test_names_are_weak_evidence(page, text):
+    assert wrappers.extract(page, None, 0) == text
+
+
+def test_the_template_outweighs_names():
+    page = lambda i: f"<body><div class='header top'>Paper</div><div class=notice><h1>Case {i}</h1><p>Held {'y' * i} in {i}</p></div><div class=side>see {i}</div></body>"
+    template = wrappers.induce([page(i) for i in range(1, 7)])
+    assert wrappers.extract(page(9), template, 6) == "Case 9\nHeld yyyyyyyyy in 9"
