@@ -1,9 +1,10 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come from a few templates. The DOM trees of some pages of a host are aligned by simple tree matching:
-what all of them have at the same place with the same text is the host's template, what varies is a slot. Every page
-is then aligned with the template of its host, its constant nodes are dropped, and the text is read from the slots of
-the main container. Names (menu, sidebar, comments and the like) are weak evidence: they set aside a part that holds the
+Pages of one host come from a few layouts. The DOM trees of all different pages of a host are aligned by simple tree
+matching, in outlines that hold digests in place of texts, and counted in trees that are added up: first those of a task,
+then those of a host. What most pages of a layout that have a node there have with the same text is template, what
+varies is a slot. Every page is then aligned with the layout it fits best, its constant nodes are dropped, and the text
+is read from the slots of the main container. Names (menu, sidebar, comments and the like) are weak evidence: they set aside a part that holds the
 lesser share of what varies on a page, and never one around its article or main element.
 """
 
@@ -16,15 +17,20 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantroom.llm.shared import stored
 from plantroom.llm.words import pieces
 
-#: Pages of a host that are aligned: those with the smallest digests among its different pages. Fewer than LEAST make
-#: no constants inside the main container, where two pages may well share a paragraph.
-REFERENCES, LEAST = 8, 4
+#: A text is constant at its node if this share of the pages that have the node have it, if they are this share of the
+#: layout's pages, and at least LEAST of them. Layouts of fewer pages need all of these, two at least, and have no
+#: constants inside the main container, where two pages may well share a paragraph.
+CONSTANT, SELDOM, LEAST = 0.8, 0.02, 4
+#: Two trees are of one layout if this share of their nodes is paired. Further layouts join the one they fit best.
+ALIKE, LAYOUTS = 0.5, 32
+#: Texts counted at a node, and runs below one: beyond these the rarer half is forgotten, but no page is.
+TEXTS, RUNS = 64, 400
 #: Elements nested deeper are read as part of the one above.
 DEPTH = 200
 
@@ -235,52 +241,37 @@ def runs(node: Node) -> list[tuple[str, list]]:
     return out
 
 
-class Template:
-    """A node of a host's template. `slots` are its runs: label, digest of the constant text or None, template below or
-    None; `share` is the varying text seen below it."""
-
-    __slots__ = ("label", "slots", "share")
-
-    def __init__(self, label: str, slots: list, share: int):
-        self.label, self.slots, self.share = label, slots, share
-
-    def packed(self) -> list:
-        return [self.label, [[a, b, c.packed() if c else None] for a, b, c in self.slots], self.share]
-
-    @classmethod
-    def unpacked(cls, value: list) -> Template:
-        return cls(value[0], [[a, b, cls.unpacked(c) if c else None] for a, b, c in value[1]], value[2])
+def outline(node: Node) -> list:
+    """A tree without its texts: label, and runs as [label, digest, characters that count as content, outline below]."""
+    out = []
+    for label, members in runs(node):
+        text = " ".join(map(text_of, members))
+        apart = isinstance(members[0], Node) and members[0].aside
+        below = outline(members[0]) if len(members) == 1 and isinstance(members[0], Node) else None
+        out.append([label, _digest(text), 0 if apart else len(text), below])
+    return [node.label, out]
 
 
-def as_template(node: Node) -> Template:
-    slots = []
-    for label, members in runs(node):
-        below = as_template(members[0]) if len(members) == 1 and isinstance(members[0], Node) else None
-        slots.append([label, _digest(" ".join(map(text_of, members))), below])
-    return Template(node.label, slots, 0)
+def size_of(tree: list) -> int:
+    """Nodes of an outline or of a template that simple tree matching can pair."""
+    return 1 + sum(size_of(run[-1]) if run[-1] else 1 for run in tree[1])
 
 
-def matching(template: Template, node: Node) -> tuple[int, list]:
+def _pairs(ours: list, theirs: list) -> tuple[int, list]:
     """Simple tree matching: the largest number of nodes of two trees paired in order, and the pairs of runs below."""
-    theirs = runs(node)
-    ours = template.slots
-    if [s[0] for s in ours] == [r[0] for r in theirs]:
-        pairs = list(zip(ours, theirs, strict=True))
-        return 1 + len(pairs), pairs
-    weight: dict[tuple[int, int], int] = {}
-    for i, slot in enumerate(ours):
-        for j, (label, members) in enumerate(theirs):
-            if slot[0] == label:
-                inner = slot[2] is not None and len(members) == 1 and isinstance(members[0], Node)
-                weight[i, j] = matching(slot[2], members[0])[0] if inner else 1
-    best = [[0] * (len(theirs) + 1) for _ in range(len(ours) + 1)]
-    for i in range(len(ours)):
-        for j in range(len(theirs)):
+    a, b = ours[1], theirs[1]
+    both = lambda x, y: _pairs(x[-1], y[-1])[0] if x[-1] and y[-1] else 1
+    if [x[0] for x in a] == [y[0] for y in b]:
+        return 1 + sum(map(both, a, b)), list(zip(a, b, strict=True))
+    weight = {(i, j): both(x, y) for i, x in enumerate(a) for j, y in enumerate(b) if x[0] == y[0]}
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((i, j), 0))
-    pairs, i, j = [], len(ours), len(theirs)
+    pairs, i, j = [], len(a), len(b)
     while i and j:
         if (i - 1, j - 1) in weight and best[i][j] == best[i - 1][j - 1] + weight[i - 1, j - 1]:
-            pairs.append((ours[i - 1], theirs[j - 1]))
+            pairs.append((a[i - 1], b[j - 1]))
             i, j = i - 1, j - 1
         elif best[i][j] == best[i - 1][j]:
             i -= 1
@@ -289,53 +280,180 @@ def matching(template: Template, node: Node) -> tuple[int, list]:
     return 1 + best[-1][-1], pairs[::-1]
 
 
-def _merge(template: Template, node: Node) -> None:
-    """Align one more page: runs it lacks or fills otherwise are no constants any more."""
-    met = set()
-    for slot, (_, members) in matching(template, node)[1]:
-        met.add(id(slot))
-        if slot[1] is not None and slot[1] != _digest(" ".join(map(text_of, members))):
-            slot[1] = None
-        if slot[2] is not None:
-            if len(members) == 1 and isinstance(members[0], Node):
-                _merge(slot[2], members[0])
-            else:
-                slot[2] = None
-        if slot[1] is None and not (isinstance(members[0], Node) and members[0].aside):
-            template.share += sum(len(text_of(m)) for m in members)
-    for slot in template.slots:
-        if id(slot) not in met:
-            _vary(slot)
+def counted(tree: list) -> list:
+    """One page as a counted tree: label, and runs as [label, pages, pages by digest, characters by digest, characters in
+    all, counted tree below]."""
+    return [tree[0], [[label, 1, {digest: 1}, {digest: chars}, chars, counted(below) if below else None] for label, digest, chars, below in tree[1]]]
 
 
-def _vary(slot: list) -> None:
-    slot[1] = None
-    for below in slot[2].slots if slot[2] else ():
-        _vary(below)
+def add(ours: list, theirs: list) -> None:
+    """Adds one counted tree to another: runs that simple tree matching pairs are added, all others stand beside them."""
+    met = _pairs(ours, theirs)[1]
+    paired = {id(y): x for x, y in met}
+    out, place = [], {id(x): k for k, x in enumerate(ours[1])}
+    done = 0
+    for run in theirs[1]:
+        own = paired.get(id(run))
+        if own is None:
+            out.append(run)
+            continue
+        out += ours[1][done : place[id(own)] + 1]
+        done = place[id(own)] + 1
+        own[1] += run[1]
+        own[4] += run[4]
+        for digest, n in run[2].items():
+            own[2][digest] = own[2].get(digest, 0) + n
+            own[3][digest] = own[3].get(digest, 0) + run[3][digest]
+        if len(own[2]) > TEXTS:
+            _forget(own)
+        if own[5] and run[5]:
+            add(own[5], run[5])
+        else:
+            own[5] = own[5] or run[5]
+    out += ours[1][done:]
+    if len(out) > RUNS:
+        kept = set(sorted(range(len(out)), key=lambda k: (not out[k][0], -out[k][1], k))[: RUNS // 2])
+        rest = sum(run[4] for k, run in enumerate(out) if k not in kept)
+        # no run has this label: characters of what is forgotten still count as varying
+        out = [run for k, run in enumerate(out) if k in kept] + [["", 0, {}, {}, rest, None]]
+    ours[1][:] = out
+
+
+def _forget(run: list) -> None:
+    """Of the texts at a node only frequent ones stay counted: what the rarest kept one has is taken off all of them, so
+    that a count is short by less than two in TEXTS pages."""
+    less = sorted(run[2].values(), reverse=True)[TEXTS // 2]
+    run[2] = {d: n - less for d, n in run[2].items() if n > less}
+    run[3] = {d: run[3][d] for d in run[2]}
+
+
+class Layouts:
+    """The counted trees of a host's layouts, with their pages."""
+
+    def __init__(self):
+        self.trees: list[list] = []
+        self.known: dict[str, int] = {}
+
+    def place(self, tree: list) -> int | None:
+        """The layout that a tree fits best, by the share of nodes that are paired, if it fits one."""
+        size = size_of(tree)
+        found = [(2 * _pairs(own, tree)[0] / (size_of(own) + size), -k) for k, (_, own) in enumerate(self.trees)]
+        share, k = max(found, default=(0.0, 0))
+        return -k if found and (share >= ALIKE or len(self.trees) >= LAYOUTS) else None
+
+    def take(self, tree: list, pages: int = 1) -> None:
+        """Adds a counted tree of so many pages."""
+        shape = _digest(_shape(tree))
+        k = self.known.get(shape)
+        if k is None:
+            k = self.place(tree)
+            if len(self.known) < 10_000:
+                self.known[shape] = len(self.trees) if k is None else k
+        if k is None:
+            self.trees.append([pages, tree])
+        else:
+            self.trees[k][0] += pages
+            add(self.trees[k][1], tree)
+
+
+def _shape(tree: list) -> str:
+    return tree[0] + "(" + ",".join(_shape(run[-1]) if run[-1] else run[0] for run in tree[1]) + ")"
+
+
+class Template:
+    """A node of a layout. `slots` are its runs: label, digest of the constant text or None, whether as many pages have it
+    as a constant in the main container needs, template below or None; `share` is the varying text seen below it. At the
+    root of a host's template, `others` are the further layouts."""
+
+    __slots__ = ("label", "slots", "share", "others", "drawn")
+
+    def __init__(self, label: str, slots: list, share: int, others: list | None = None):
+        self.label, self.slots, self.share, self.others, self.drawn = label, slots, share, others or [], None
+
+    def packed(self) -> list:
+        return [self.label, [[a, b, t, c.packed() if c else None] for a, b, t, c in self.slots], self.share, [o.packed() for o in self.others]]
+
+    @classmethod
+    def unpacked(cls, value: list) -> Template:
+        slots = [[a, b, t, cls.unpacked(c) if c else None] for a, b, t, c in value[1]]
+        return cls(value[0], slots, value[2], [cls.unpacked(o) for o in value[3]])
+
+    def tree(self) -> list:
+        if self.drawn is None:
+            self.drawn = [self.label, [[slot[0], slot, slot[3].tree() if slot[3] else None] for slot in self.slots]]
+        return self.drawn
+
+
+def _template(tree: list, pages: int) -> Template:
+    """What is constant in a counted tree of so many pages; runs that one page of many has are left out."""
+    slots, share = [], 0
+    for label, n, digests, chars, size, below in tree[1]:
+        if n < min(2, pages):
+            share += size
+            continue
+        digest, same = max(digests.items(), key=lambda x: (x[1], x[0]), default=(None, 0))
+        # a count that is short by what was forgotten still tells a constant
+        constant = same >= (CONSTANT - (2.0 / TEXTS if n > TEXTS else 0.0)) * n and n >= max(2, min(LEAST, pages)) and n >= SELDOM * pages
+        share += size - chars[digest] if constant else size
+        slots.append([label, digest if constant else None, n >= LEAST, _template(below, pages) if below else None])
+    return Template(tree[0], slots, share)
+
+
+def host_template(layouts: Layouts) -> Template:
+    """The template of a host: that of its commonest layout, with those of the others."""
+    first, *others = [_template(tree, pages) for pages, tree in sorted(layouts.trees, key=lambda x: -x[0])]
+    first.others = others
+    return first
+
+
+def matching(template: Template, node: Node) -> list:
+    """The pairs of slots and of runs of a page below a node, by simple tree matching."""
+    theirs = runs(node)
+    if [s[0] for s in template.slots] == [r[0] for r in theirs]:
+        return list(zip(template.slots, theirs, strict=True))
+    tree = [node.label, [[label, (label, members), _skeleton(members)] for label, members in theirs]]
+    return [(a[1], b[1]) for a, b in _pairs(template.tree(), tree)[1]]
+
+
+def _skeleton(members: list) -> list | None:
+    if len(members) != 1 or not isinstance(members[0], Node):
+        return None
+    return [members[0].label, [[label, below, _skeleton(below)] for label, below in runs(members[0])]]
+
+
+def fitting(template: Template, node: Node) -> Template:
+    """Of a host's layouts, the one with the largest share of nodes paired with a page's."""
+    if not template.others:
+        return template
+    tree = _skeleton([node])
+    share = lambda t: 2 * _pairs(t, tree)[0] / (size_of(t) + size_of(tree))
+    found = [template, *template.others]
+    return max(enumerate(found), key=lambda x: (share(x[1].tree()), -x[0]))[1]
+
+
+def outlined(page: str) -> list:
+    tree = parse(page)
+    settle(tree, set())
+    return outline(tree)
 
 
 def induce(pages: list[str]) -> Template:
     """The template of different pages of one host; of a single page, nothing is constant."""
-    trees = [parse(p) for p in pages]
-    for tree in trees:
-        settle(tree, set())
-    template = as_template(trees[0])
-    for tree in trees[1:]:
-        _merge(template, tree)
-    if len(trees) == 1:
-        _merge(template, Node(trees[0].tag, trees[0].label, False))
-    return template
-
-
-def _constants(template: Template, node: Node, found: set[int], inside: bool, trusted: bool) -> None:
-    """Nodes and texts of a page that its template holds, by identity. In the main container only if it is trusted."""
-    for slot, (_, members) in matching(template, node)[1]:
+    layouts = Layouts()
+    for page in pages:
+        layouts.take(counted(outlined(page)))
+    return host_template(layouts)
+
+
+def _constants(template: Template, node: Node, found: set[int], inside: bool) -> None:
+    """Nodes and texts of a page that its template holds, by identity. In the main container only if enough pages do."""
+    for slot, (_, members) in matching(template, node):
         constant = slot[1] is not None and slot[1] == _digest(" ".join(map(text_of, members)))
         within = inside or any(isinstance(m, Node) and m.tag in ("article", "main") for m in members)
-        if constant and (trusted or not within):
+        if constant and (slot[2] or not within):
             found.update(map(id, members))
-        elif slot[2] is not None and len(members) == 1 and isinstance(members[0], Node):
-            _constants(slot[2], members[0], found, within, trusted)
+        elif slot[3] is not None and len(members) == 1 and isinstance(members[0], Node):
+            _constants(slot[3], members[0], found, within)
 
 
 def _mains(node: Node) -> list[Node]:
@@ -350,7 +468,7 @@ def _mains(node: Node) -> list[Node]:
 def _induced_main(template: Template, node: Node) -> Node:
     """Down from the root, the child that holds most of what varies on the host's pages."""
     while True:
-        inner = [(s[2], m[0]) for s, (_, m) in matching(template, node)[1] if s[2] is not None and len(m) == 1 and isinstance(m[0], Node) and not m[0].aside]
+        inner = [(s[3], m[0]) for s, (_, m) in matching(template, node) if s[3] is not None and len(m) == 1 and isinstance(m[0], Node) and not m[0].aside]
         below = sum(t.share for t, _ in inner)
         chosen = max(inner, key=lambda x: x[0].share, default=None)
         if chosen is None or 2 * chosen[0].share <= template.share + below or chosen[1].tag not in _BLOCK or chosen[1].tag in ("p", "ul", "ol", "table"):
@@ -380,7 +498,8 @@ def extract(page: str, template: Template | None, references: int) -> str:
     tree = parse(page)
     constant: set[int] = set()
     if template is not None and references > 1:
-        _constants(template, tree, constant, False, references >= LEAST)
+        template = fitting(template, tree)
+        _constants(template, tree, constant, False)
     settle(tree, constant, template is not None and references > 1)
     mains = _mains(tree)
     if not mains:
@@ -397,18 +516,48 @@ def _host(url):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, template, references of every host: only REFERENCES different pages of a host meet in a task."""
-    keyed = pages.select(_host(F.col("url")).alias("host"), F.md5(F.col("html").cast("binary")).alias("digest"), "html")
-    by_digest = Window.partitionBy("host").orderBy("digest")
-    chosen = keyed.groupBy("host", "digest").agg(F.lit(1).alias("one")).withColumn("n", F.row_number().over(by_digest)).where(F.col("n") <= REFERENCES)
-    references = keyed.join(chosen.select("host", "digest"), ["host", "digest"]).groupBy("host", "digest").agg(F.first("html").alias("html"))
-
-    def align(group: pa.Table) -> pa.Table:
-        order = sorted(zip(group.column("digest").to_pylist(), group.column("html").to_pylist(), strict=True))
-        template = induce([page or "" for _, page in order])
-        return pa.table({"host": group.column("host").slice(0, 1), "template": [json.dumps(template.packed())], "references": pa.array([len(order)], pa.int32())})
-
-    return stored(references.groupBy("host").applyInArrow(align, "host string, template string, references int"), "templates")
+    """host, template, references (its different pages) of every host.
+
+    Copies of a page collapse by their digest; then each task adds up the outlines it has, one host after the other, and
+    only counted trees of hosts meet: as many as there are tasks, however many pages a host has.
+    """
+    keyed = pages.select(_host(F.col("url")).alias("host"), "html")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "html"):
+            html = batch.column("html").to_pylist()
+            digests = [hashlib.md5(page.encode("utf-8", "surrogatepass")).digest() for page in html]
+            outlines = [json.dumps(outlined(page), separators=(",", ":")) for page in html]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(digests, pa.binary()), pa.array(outlines, pa.string())], names=["host", "digest", "outline"])
+
+    different = keyed.mapInArrow(read, "host string, digest binary, outline string").groupBy("host", "digest").agg(F.first("outline").alias("outline"))
+
+    def rows(host: str, layouts: Layouts) -> pa.RecordBatch:
+        trees = [json.dumps(tree, separators=(",", ":")) for _, tree in layouts.trees]
+        return pa.RecordBatch.from_arrays([pa.array([host] * len(trees)), pa.array([n for n, _ in layouts.trees], pa.int64()), pa.array(trees)], names=["host", "pages", "tree"])
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, layouts = None, Layouts()
+        for batch in batches:
+            for host, packed in zip(batch.column("host").to_pylist(), batch.column("outline").to_pylist(), strict=True):
+                if host != at:
+                    if layouts.trees:
+                        yield rows(at, layouts)
+                    at, layouts = host, Layouts()
+                layouts.take(counted(json.loads(packed)))
+        if layouts.trees:
+            yield rows(at, layouts)
+
+    parts = different.sortWithinPartitions("host", "digest").select("host", "outline").mapInArrow(align, "host string, pages long, tree string")
+
+    def merge(group: pa.Table) -> pa.Table:
+        layouts, counts = Layouts(), group.column("pages").to_pylist()
+        for pages, packed in sorted(zip(counts, group.column("tree").to_pylist(), strict=True), key=lambda x: (-x[0], x[1])):
+            layouts.take(json.loads(packed), pages)
+        template = json.dumps(host_template(layouts).packed(), separators=(",", ":"))
+        return pa.table({"host": group.column("host").slice(0, 1), "template": [template], "references": pa.array([sum(counts)], pa.int64())})
+
+    return stored(parts.groupBy("host").applyInArrow(merge, "host string, template string, references long"), "templates")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

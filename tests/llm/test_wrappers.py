@@ -97,3 +97,17 @@ def test_the_template_outweighs_names():
     page = lambda i: f"<body><div class='header top'>Paper</div><div class=notice><h1>Case {i}</h1><p>Held {'y' * i} in {i}</p></div><div class=side>see {i}</div></body>"
     template = wrappers.induce([page(i) for i in range(1, 7)])
     assert wrappers.extract(page(9), template, 6) == "Case 9\nHeld yyyyyyyyy in 9"
+
+
+def test_all_pages_of_a_host_and_its_layouts_take_part(spark):
+    story = lambda i: f"<p>Part one of {i}</p><p>Part {'z' * (i % 7 + 1)} two</p>"
+    plain = lambda i: f"<body><article><h1>Story {i}</h1><div class=box>Read our terms</div><div class=story>{story(i)}</div></article></body>"
+    other = lambda i: f"<body><table class=frame><tr><td>Since 1900</td></tr></table><main><h2>Report {i}</h2><div class=lead>House rules</div><section class=report>{story(i)}</section></main></body>"
+    bare = lambda i: f"<body><article><h1>Story {i}</h1><div class=story>{story(i)}</div></article></body>"
+    kinds = [(plain, "Story")] * 7 + [(bare, "Story")] * 2 + [(other, "Report")]
+    rows = [(i, "http://h/", kinds[i % 10][0](i)) for i in range(300)]
+    found = wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == 300
+    for r in found:
+        i = r["page_id"]
+        assert r["text"] == f"{kinds[i % 10][1]} {i}\nPart one of {i}\nPart {'z' * (i % 7 + 1)} two"
