@@ -5,6 +5,9 @@ its format and from the characters around it. Boosted trees, fitted to the count
 these numbers, give a score, and a threshold for each kind, calibrated on documents the trees have not seen, selects
 what is redacted beside the spans that the base patterns and checks find for certain.
 
+A proposal is labelled by what the trees do not see: the check of its kind (the Luhn sum, a leading plus, the literal
+pattern) and the words before it. So they learn from the rest of the format, and can select what no check confirms.
+
 The trees need only the counts: there are no more combinations than the numbers have values, whatever the corpus holds.
 """
 
@@ -35,7 +38,7 @@ _OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|(?=\.|\z))"
 # Proposals of high recall.
 _MAIL_LIKE = (
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++\x20?+(?:\(at\)|\[at\]|@)\x20?+[A-Za-z0-9-]++"
-    r"(?:\x20?+(?:\(dot\)|\[dot\]|\.)[A-Za-z0-9-]++)++"
+    r"(?:\x20?+(?:(?:\(dot\)|\[dot\])\x20?+|\.)[A-Za-z0-9-]++)++"
 )
 _NUMBER_LIKE = r"\+?+\(?+[0-9](?:[\x20().-]{0,3}+[0-9]){6,}+"
 _PHONE_LIKE = r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"
@@ -54,6 +57,9 @@ _NAMED = {
 #: The numbers that describe a proposal, with how many values each has.
 FEATURES = {"digits": 7, "letters": 4, "marks": 3, "plus": 2, "bracket": 2, "valid": 2, "grouped": 2, "named": 2, "edge": 2}
 
+#: Of these, what takes part in the label of a kind and is hidden from its trees.
+HIDDEN = {"email": {"grouped", "bracket", "named"}, "card": {"valid", "named"}, "phone": {"plus", "valid", "named"}, "secret": {"named"}}
+
 ROUNDS, RATE, LEAST_PRECISION = 24, 0.4, 0.9
 
 
@@ -134,17 +140,18 @@ def _described(kind: str, base: bool, text: Column, span: Column) -> Column:
     if base:
         zero = F.lit(0)
         return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(True).alias("base"), F.lit(False).alias("label"),
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(True).alias("base"), F.lit(False).alias("label"), F.lit(False).alias("sure"),
             *[zero.alias(name) for name in FEATURES],
         )
     digits, letters = F.length(_digits(found)), F.length(F.regexp_replace(found, "[^A-Za-z]", ""))
-    marks = F.size(F.array_distinct(F.split(F.regexp_replace(found, "[A-Za-z0-9]", ""), "")))
-    marks = F.when(F.rlike(found, F.lit("[^A-Za-z0-9]")), marks).otherwise(0)
+    plain = "A-Za-z0-9+" if kind == "phone" else "A-Za-z0-9"  # a plus is part of the label of phones
+    marks = F.size(F.array_distinct(F.split(F.regexp_replace(found, f"[{plain}]", ""), "")))
+    marks = F.when(F.rlike(found, F.lit(f"[^{plain}]")), marks).otherwise(0)
     before = F.lower(F.substr(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24))))
     around = F.concat(F.substr(text, start, F.when(start > 0, 1).otherwise(0)), F.substr(text, end + 1, F.lit(1)))
     named = F.rlike(before, F.lit(_NAMED[kind]))
     checks = {
-        "email": F.rlike(found, F.lit(r"(?:\.|dot[\])])[a-z]{2,12}\z")),
+        "email": F.rlike(found, F.lit(r"(?:\.|dot[\])]\x20?)[a-z]{2,12}\z")),
         "card": is_card(found),
         "phone": is_phone(found),
         "secret": F.rlike(found, F.lit("[A-Za-z]")) & F.rlike(found, F.lit("[0-9].*[0-9].*[0-9]")),
@@ -155,10 +162,17 @@ def _described(kind: str, base: bool, text: Column, span: Column) -> Column:
         "phone": r"\A(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]{0,2}[0-9]{3}[ .-]?[0-9]{4}\z",
         "secret": r"\A(?:[0-9a-f]+|[A-Z0-9]+|[a-z]+=[0-9a-f]+)\z",
     }
-    labels = {
+    # what the check of a kind confirms by itself, and what the words before name
+    sure = {
         "email": F.rlike(found, F.lit(_EMAIL)),
         "card": checks["card"],
         "phone": F.rlike(found, F.lit(r"\A\+[0-9]")) & checks["phone"],
+        "secret": F.lit(False),
+    }
+    labels = {
+        "email": sure["email"] | named,
+        "card": sure["card"] | (named & digits.between(14, 19)),
+        "phone": sure["phone"] | (named & checks["phone"]),
         "secret": named | F.rlike(found, F.lit(r"\AAKIA|(?i)password=|token=|secret=")),
     }
     flag = lambda c: c.cast("int")
@@ -170,13 +184,13 @@ def _described(kind: str, base: bool, text: Column, span: Column) -> Column:
         "bracket": flag(F.rlike(found, F.lit(r"[(\[]"))),
         "valid": flag(checks[kind]),
         "grouped": flag(F.rlike(found, F.lit(grouped[kind]))),
-        # for secrets the words before are the label, so the trees have to learn from the format
-        "named": flag(named) if kind != "secret" else F.lit(0),
+        "named": flag(named),
         "edge": flag(F.rlike(around, F.lit("[A-Za-z0-9]"))),
     }
     return F.struct(
         F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(False).alias("base"),
-        F.coalesce(labels[kind], F.lit(False)).alias("label"), *[F.coalesce(numbers[name], F.lit(0)).alias(name) for name in FEATURES],
+        F.coalesce(labels[kind], F.lit(False)).alias("label"), F.coalesce(sure[kind], F.lit(False)).alias("sure"),
+        *[(F.lit(0) if name in HIDDEN[kind] else F.coalesce(numbers[name], F.lit(0))).alias(name) for name in FEATURES],
     )
 
 
@@ -260,16 +274,36 @@ def boost(cells: list[dict], rounds: int = ROUNDS, depth: int = 3) -> list:
 
 
 def calibrate(trees: list, cells: list[dict], precision: float = LEAST_PRECISION) -> float:
-    """The lowest score above which, among cells the trees have not seen, at least `precision` have the label."""
-    rated = sorted(((sum(_value(t, c) for t in trees), c["n"], c["hits"]) for c in cells), reverse=True)
-    chosen, n, hits = math.inf, 0, 0
-    for place, (score, more, good) in enumerate(rated):
-        n, hits = n + more, hits + good
-        if place + 1 < len(rated) and rated[place + 1][0] == score:
-            continue
-        if (hits + 0.5) / (n + 1.0) >= precision:
-            chosen = score
-    return chosen
+    """The lowest score at which, among cells the trees have not seen, at least `precision` have the label.
+
+    Scores are pooled with lower ones only where these have the label as often (isotonic regression), so no score is
+    accepted for what others above it have to spare.
+    """
+    blocks: list[list] = []
+    for score, n, hits in sorted((sum(_value(t, c) for t in trees), c["n"], c["hits"]) for c in cells):
+        block = [score, n, hits, score]
+        while blocks and (blocks[-1][3] == block[0] or blocks[-1][2] * block[1] >= block[2] * blocks[-1][1]):
+            low, more, good, _ = blocks.pop()
+            block = [low, more + block[1], good + block[2], block[3]]
+        blocks.append(block)
+    return min((b[0] for b in blocks if (b[2] + 0.5) / (b[1] + 1.0) >= precision), default=math.inf)
+
+
+def refused(cells: list[dict], precision: float = LEAST_PRECISION) -> set[int]:
+    """Combinations of the numbers, by `_place`, whose own proposals have the label too rarely, whatever their score."""
+    counts: dict[int, list[int]] = {}
+    for cell in cells:
+        own = counts.setdefault(_place(cell.__getitem__), [0, 0])
+        own[0], own[1] = own[0] + cell["n"], own[1] + cell["hits"]
+    return {place for place, (n, hits) in counts.items() if hits < precision * n}
+
+
+def _place(value: Callable):
+    """A combination of the numbers as one."""
+    place = 0
+    for name, values in FEATURES.items():
+        place = place * values + value(name)
+    return place
 
 
 def _tree_column(tree) -> Column:
@@ -279,8 +313,8 @@ def _tree_column(tree) -> Column:
     return F.when(F.col(name) >= limit, _tree_column(high)).otherwise(_tree_column(low))
 
 
-def fit(spans: DataFrame) -> dict[str, tuple[list, float]]:
-    """Trees and threshold by kind, from exploded spans with `fold`; only counts by combination reach the driver."""
+def fit(spans: DataFrame) -> dict[str, tuple[list, float, set[int]]]:
+    """Trees, threshold and refused combinations by kind, from exploded spans with `fold`; only counts by combination reach the driver."""
     counts = (
         spans.where(~F.col("base"))
         .groupBy("kind", "fold", *FEATURES)
@@ -291,21 +325,23 @@ def fit(spans: DataFrame) -> dict[str, tuple[list, float]]:
     for kind in KINDS:
         cells = sorted((r.asDict() for r in counts if r["kind"] == kind), key=lambda c: [c[x] for x in ("fold", *FEATURES)])
         trees = boost([c for c in cells if c["fold"] == 0])
-        models[kind] = (trees, calibrate(trees, [c for c in cells if c["fold"] == 1]))
+        threshold = calibrate(trees, [c for c in cells if c["fold"] == 1])
+        high = [c for c in cells if sum(_value(t, c) for t in trees) >= threshold - 1e-4]
+        models[kind] = (trees, threshold, refused(high))
     return models
 
 
-def _selected(models: dict[str, tuple[list, float]]) -> tuple[Column, Column]:
+def _selected(models: dict[str, tuple[list, float, set[int]]]) -> tuple[Column, Column]:
     """Score of a proposal, and whether its kind's threshold selects it."""
     score, chosen = F.lit(0.0), F.lit(False)
-    for kind, (trees, threshold) in models.items():
+    for kind, (trees, threshold, bad) in models.items():
         if not trees or threshold == math.inf:
             continue
         total = F.lit(0.0)
         for tree in trees:
             total = total + _tree_column(tree)
         score = F.when(F.col("kind") == kind, total).otherwise(score)
-        chosen = F.when(F.col("kind") == kind, F.col("score") >= threshold - 1e-5).otherwise(chosen)
+        chosen = F.when(F.col("kind") == kind, (F.col("score") >= threshold - 1e-5) & ~_place(F.col).isin(sorted(bad))).otherwise(chosen)
     return score, chosen
 
 
@@ -315,8 +351,8 @@ def _selected(models: dict[str, tuple[list, float]]) -> tuple[Column, Column]:
 def located(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Documents with an own number (ROW) and all proposals of their texts (SPANS), and the selected spans.
 
-    The spans (ROW, kind, start, end, base): every base span, and each selected proposal that overlaps no base span
-    of its kind and no better proposal of its kind. Spans of one document are compared in order of their starts.
+    The spans (ROW, kind, start, end, base): every base span, and each proposal that the check of its kind confirms or
+    the trees select, if it overlaps no base span of its kind and no better proposal of its kind. Spans of one document are compared in order of their starts.
     """
     table = stored(
         documents.withColumn(ROW, F.monotonically_increasing_id()).withColumn(SPANS, proposals(F.col(text))), "pii"
@@ -325,7 +361,7 @@ def located(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tu
     rows = table.where(F.size(SPANS) > 0).select(ROW, fold.cast("int").alias("fold"), F.explode(SPANS).alias("s"))
     rows = rows.select(ROW, "fold", "s.*")
     score, chosen = _selected(fit(rows))
-    spans = rows.withColumn("score", F.round(score, 6)).where(F.col("base") | chosen).drop(*FEATURES, "fold", "label")
+    spans = rows.withColumn("score", F.round(score, 6)).where(F.col("base") | F.col("sure") | chosen).drop(*FEATURES, "fold", "label")
     spans = spans.dropDuplicates([ROW, "kind", "start", "end", "base"])
     by_start = Window.partitionBy(ROW, "kind").orderBy("start", "end", F.desc("base"))
     ahead, behind = by_start.rowsBetween(Window.unboundedPreceding, -1), by_start.rowsBetween(1, Window.unboundedFollowing)
@@ -342,7 +378,7 @@ def located(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tu
     # groups of proposals that overlap one another; the best of a group stands for it
     starts_group = F.coalesce(F.max("end").over(ahead) <= F.col("start"), F.lit(True))
     spans = spans.withColumn("group", F.sum(starts_group.cast("int")).over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    best = Window.partitionBy(ROW, "kind", "group").orderBy(F.desc("score"), F.desc(F.col("end") - F.col("start")), "start", "end")
+    best = Window.partitionBy(ROW, "kind", "group").orderBy(F.desc("sure"), F.desc("score"), F.desc(F.col("end") - F.col("start")), "start", "end")
     spans = spans.withColumn("place", F.when(F.col("base"), 1).otherwise(F.row_number().over(best))).where("place = 1")
     return table, spans.select(ROW, "kind", "start", "end", "base")
 

@@ -121,3 +121,24 @@ def test_a_card_behind_a_phone_is_found_by_the_trees(spark):
     check(found.values(), dict(rows))
     assert found[300]["n_card"] == found[300]["n_phone"] == 0
     assert found[300]["spans"] == "phone:0:17,card:18:34"
+
+
+def test_each_score_is_calibrated_by_itself():
+    cell = lambda **x: {name: 0 for name in pii.FEATURES} | x
+    cells = [cell(digits=3, n=1000, hits=1000), cell(digits=1, n=80, hits=0)]
+    trees = pii.boost([dict(c) for c in cells])
+    scores = [sum(pii._value(t, c) for t in trees) for c in cells]
+    assert scores[0] >= pii.calibrate(trees, cells) > scores[1], "not for what the first has to spare"
+    mixed = [cell(digits=3, n=50, hits=50), cell(digits=3, edge=1, n=10, hits=2)]
+    assert pii.refused(mixed) == {pii._place(mixed[1].__getitem__)}
+
+
+def test_trees_select_what_no_check_confirms(spark):
+    rows = [(i, f"please ring +1 (269) 555-3{i:03d}, or write {'abcdefghij'[i % 10]}john@mail.com") for i in range(80)]
+    rows += [(100 + i, f"order {10**11 + 7919 * i} of {i}:30") for i in range(80)]
+    rows += [(300, "so (212) 555-0187, then"), (301, "so john (at) mail (dot) com, then"), (302, "so 123456789012 then")]
+    found = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    check(found.values(), dict(rows))
+    assert found[300]["spans"] == "phone:3:17"
+    assert found[301]["spans"] == "email:3:27"
+    assert not any(found[i]["n_selected"] for i in [*range(100, 180), 302])
