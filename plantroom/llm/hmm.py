@@ -2,8 +2,8 @@
 
 The model emits symbols: the commonest words have one each, all others share a bounded number of buckets by their hash,
 and within its bucket a word has the share its count gives it. So the parameters stay bounded while every count of the
-corpus enters a score. Baum-Welch counts come from every training document, cut into segments, and are added up across
-partitions; documents are scored whole, by the scaled forward recursion.
+corpus enters a score. Baum-Welch counts of every round come from every training document, cut into segments, and are
+added up across partitions, until a round gains little; documents are scored whole, by the scaled forward recursion.
 
 Counts of rare words and the documents that hold them meet in ranges of the words' hashes; common words, a bounded
 list, travel with the tasks, so no range holds a word that stands in every document.
@@ -18,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantroom.llm.shared import partitions, sampled, stored
+from plantroom.llm.shared import partitions, stored
 from plantroom.llm.words import WordHashes, hashed, pieces, split_words, texts
 
 #: Words whose counts travel with the tasks; of these, words with a symbol of their own; buckets of all other words.
 COMMON, OWN, BUCKETS = 60_000, 2_000, 512
 SYMBOLS = 1 + OWN + BUCKETS
 STATES, SEGMENT = 6, 64
-#: Rounds over the whole corpus, after rounds over a sample of segments that only finds where to start.
-ROUNDS, START_ROUNDS, START_SEGMENTS = 2, 20, 3_000
+#: Rounds over the whole corpus end with one that gains less log10 likelihood a token.
+GAIN = 1e-4
 SEED = 5
 #: The token behind the last word; no word has this hash but by chance.
 END = np.uint64(WordHashes()[b"\n"])
@@ -289,6 +289,11 @@ def forward(symbols: list[np.ndarray], model: tuple[np.ndarray, np.ndarray, np.n
 
 def expected_counts(segments: list[np.ndarray], model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch: expected starts, moves and emissions of the segments, each a sequence of its own."""
+    return rated_counts(segments, model)[:3]
+
+
+def rated_counts(segments: list[np.ndarray], model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts, and the log10 likelihood of the segments by the model with their number of tokens."""
     start, move, emit = model
     by_symbol = np.ascontiguousarray(emit.T)
     _, flat, offsets, running = _in_time(segments)
@@ -310,7 +315,8 @@ def expected_counts(segments: list[np.ndarray], model: tuple[np.ndarray, np.ndar
             after[:m] = ahead @ move.T
         states[t] *= after
     emitted = np.stack([np.bincount(np.concatenate(seen), weights=w, minlength=emit.shape[1]) for w in np.concatenate(states).T])
-    return states[0].sum(axis=0), moves * move, emitted
+    rated = np.array([sum(float(np.log10(s).sum()) for s in scales), float(len(flat))])
+    return states[0].sum(axis=0), moves * move, emitted, rated
 
 
 def estimated(counts: tuple[np.ndarray, np.ndarray, np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -332,22 +338,14 @@ def _starting_model(unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.full(STATES, 1.0 / STATES), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)
 
 
-def train(encoded: DataFrame, unigram: np.ndarray, documents: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch over all training documents, of which there are so many.
+def train(encoded: DataFrame, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch over all training documents, from a random model until a round gains less than GAIN a token.
 
-    Rounds over at most START_SEGMENTS segments, the first ones of the documents with the smallest hashes of their ids,
-    only find a model to start from; what is returned comes from counts over every segment of every training document.
+    Every round counts every segment of every training document. It ends: likelihoods do not exceed 1.
     """
-    spark = encoded.sparkSession
     learned = encoded.where("part = 0 and not held_out").select("symbols")
-    model = _starting_model(unigram)
-    first = encoded.where("part = 0 and not held_out").where(sampled(documents, START_SEGMENTS, "doc_id", "row"))
-    by_hash = [F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << 40)), F.col("row")]
-    first = first.select("doc_id", "row", F.substring("symbols", 1, 2 * SEGMENT).alias("start")).orderBy(*by_hash).limit(START_SEGMENTS)
-    sample = [np.frombuffer(r["start"], dtype=np.uint16) for r in first.collect()]
-    for _ in range(START_ROUNDS if sample else 0):
-        model = estimated(expected_counts(sample, model), unigram)
-    shapes = [(STATES,), (STATES, STATES), (STATES, len(unigram))]
+    model, reached = _starting_model(unigram), -np.inf
+    shapes = [(STATES,), (STATES, STATES), (STATES, len(unigram)), (2,)]
 
     def unpacked(blob: bytes) -> list[np.ndarray]:
         flat, out = np.frombuffer(blob, dtype=np.float64), []
@@ -357,7 +355,7 @@ def train(encoded: DataFrame, unigram: np.ndarray, documents: int, rounds: int =
             flat = flat[size:]
         return out
 
-    for _ in range(rounds if sample else 0):
+    while True:
 
         def count(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             sums = [np.zeros(s) for s in shapes]
@@ -365,7 +363,7 @@ def train(encoded: DataFrame, unigram: np.ndarray, documents: int, rounds: int =
             held = 0
 
             def flush():
-                for total, more in zip(sums, expected_counts(waiting, model), strict=True):
+                for total, more in zip(sums, rated_counts(waiting, model), strict=True):
                     total += more
                 waiting.clear()
 
@@ -389,9 +387,14 @@ def train(encoded: DataFrame, unigram: np.ndarray, documents: int, rounds: int =
 
         # counts of tasks meet in 16 sums, so the driver gets 16 rows however many tasks there are
         parts = learned.mapInArrow(count, "slot int, counts binary").groupBy("slot").applyInArrow(add, "counts binary").collect()
-        total = [sum(x) for x in zip(*(unpacked(b) for b in sorted(bytes(r["counts"]) for r in parts)), strict=True)]
+        if not parts:
+            return model
+        *total, rated = [sum(x) for x in zip(*(unpacked(b) for b in sorted(bytes(r["counts"]) for r in parts)), strict=True)]
         model = estimated(tuple(total), unigram)
-    return model
+        likelihood = rated[0] / rated[1]
+        if likelihood - reached < GAIN:
+            return model
+        reached = likelihood
 
 
 def scored(documents: DataFrame) -> DataFrame:
@@ -404,7 +407,7 @@ def scored(documents: DataFrame) -> DataFrame:
     ranges = 4 * partitions(spark)
     vocabulary = count_words(documents, ranges)
     encoded = encode(documents, vocabulary, ranges)
-    model = train(encoded, vocabulary["unigram"], vocabulary["documents"])
+    model = train(encoded, vocabulary["unigram"])
     all_tokens, floor = vocabulary["N"], np.log10(vocabulary["N"] + vocabulary["V"] + 1.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -86,3 +86,14 @@ def test_forward_and_counts_are_sums_over_paths():
                 emitted[a, x] += p / total
     for found, expected in zip(hmm.expected_counts(sequences, model), (starts, moves, emitted), strict=True):
         assert np.allclose(found, expected)
+
+
+def test_states_form_for_what_begins_behind_a_licence(spark):
+    noise = np.random.default_rng(3)
+    licence = " ".join(f"licence{k}" for k in range(70))
+    rows = [(i, f"{licence} " + " ".join(f"{'ab'[i % 2]}{k}" for k in noise.integers(0, 20, 130))) for i in range(210)]
+    found = hmm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # told apart, 70 words of a licence and 130 of one topic gain this much over counts of all words alone
+    ideal = 70 * math.log10(200 / 70) + 130 * math.log10(200 / 130 * 40 / 20)
+    gained = [r["score"] - r["base_score"] for r in found if r["held_out"]]
+    assert min(gained) > 0.9 * ideal, (ideal, gained[:5])
