@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, mixing, pii, repeats, toxicity, wrappers
+from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, merkle, mixing, pii, repeats, toxicity, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_passages(_read(spark, sf_dir, "documents"))
 
 
+def op13_nested_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_read(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -155,6 +159,55 @@ def crc32_sql(text: str) -> str:
     )
 
 
+def merkle_sql(documents: str) -> str:
+    """The rows of `merkle.manifest` in DuckDB SQL: nodes level by level, then each document climbs on its own."""
+
+    def leaf(text: str) -> str:
+        values = [text if name == "text" else name for name in merkle.FIELDS]
+        return "sha256(" + " || ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR END" for v in values) + ")"
+
+    arity = merkle.ARITY
+    before, after = f"array_to_string(hs[1:i % {arity}], '')", f"array_to_string(hs[i % {arity} + 2:{arity}], '')"
+
+    def climb(nodes: str, tree: str) -> str:
+        """Levels of the trees of a table (tree, i, n, h)."""
+        return f"""SELECT {tree}, 0 AS l, i, n, h FROM {nodes}
+  UNION ALL SELECT {tree}, l + 1, i // {arity}, (n + {arity - 1}) // {arity}, sha256(string_agg(h, '' ORDER BY i))
+  FROM {nodes}_up WHERE n > 1 GROUP BY {tree}, l, i // {arity}, n"""
+
+    def runs(nodes: str, tree: str) -> str:
+        return f"SELECT {tree}, l, i // {arity} AS run, list(h ORDER BY i) AS hs FROM {nodes}_up WHERE n > 1 GROUP BY ALL"
+
+    def fold(start: str, name: str, nodes: str, tree: str, carried: str) -> str:
+        return f"""{start}
+  UNION ALL SELECT {carried}, f.l + 1, f.i // {arity}, (f.n + {arity - 1}) // {arity},
+    sha256({before} || node || {after}), proof || {before} || {after}
+  FROM {name} f JOIN {nodes}_runs r ON r.{tree} IS NOT DISTINCT FROM f.{tree} AND r.l = f.l AND r.run = f.i // {arity} WHERE f.n > 1"""
+
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, {leaf("text")} AS h,
+    {leaf(f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS seen
+  FROM {documents}
+), docs AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM hashed
+), docs_up AS ({climb("docs", "source")}
+), docs_runs AS ({runs("docs", "source")}
+), tops AS (
+  SELECT 0 AS t, source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM docs_up WHERE n = 1
+), tops_up AS ({climb("tops", "t")}
+), tops_runs AS ({runs("tops", "t")}
+), folded AS ({fold("SELECT doc_id, source, h AS leaf, 0 AS l, i, n, seen AS node, '' AS proof FROM docs", "folded", "docs", "source", "f.doc_id, f.source, f.leaf")}
+), climbed AS ({fold(
+    "SELECT f.doc_id, f.leaf, t.h AS subroot, 0 AS t, 0 AS l, t.i, t.n, node, proof FROM folded f JOIN tops t ON t.source IS NOT DISTINCT FROM f.source WHERE f.n = 1",
+    "climbed", "tops", "t", "f.doc_id, f.leaf, f.subroot, f.t",
+)}
+)
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = u.h AS verified
+FROM climbed c, (SELECT h FROM tops_up WHERE n = 1) u WHERE c.n = 1
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_candidate_boosting": op1_candidate_boosting,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
@@ -166,9 +219,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
     "op9_hidden_markov": op9_hidden_markov,
     "op10_sparse_suffix_arrays": op10_sparse_suffix_arrays,
+    "op13_nested_rollup": op13_nested_rollup,
 }
 
 ORACLES: dict[str, str] = {
     "op4_prefix_target_expansion": OP4_SQL,
     "op8_hierarchical_budgeting": mix_sql("documents", mixing.Mix()),
+    "op13_nested_rollup": merkle_sql("documents"),
 }
