@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, merkle, mixing, pii, repeats, toxicity, wrappers
+from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, merkle, mixing, pii, repeats, toxicity, whitening, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_passages(_read(spark, sf_dir, "documents"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_read(spark, sf_dir, "embeddings"), components=8)
+
+
 def op13_nested_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_read(spark, sf_dir, "documents"))
 
@@ -219,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hierarchical_budgeting": op8_hierarchical_budgeting,
     "op9_hidden_markov": op9_hidden_markov,
     "op10_sparse_suffix_arrays": op10_sparse_suffix_arrays,
+    "op11_lanczos_whitening": op11_lanczos_whitening,
     "op13_nested_rollup": op13_nested_rollup,
 }
 
