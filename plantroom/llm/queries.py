@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, merkle, mixing, pii, repeats, toxicity, whitening, wrappers
+from plantroom.llm import chat, decontaminate, forest, hmm, jaccard, merkle, mixing, pii, repeats, toxicity, warc, whitening, wrappers
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_read(spark, sf_dir, "embeddings"), components=8)
 
 
+def op12_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captured(_read(spark, sf_dir, "pages"))
+
+
 def op13_nested_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_read(spark, sf_dir, "documents"))
 
@@ -212,6 +216,21 @@ FROM climbed c, (SELECT h FROM tops_up WHERE n = 1) u WHERE c.n = 1
 """
 
 
+OP12_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages
+), placed AS (
+  SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first_page FROM payloads
+  WINDOW same AS (PARTITION BY digest, payload_bytes ORDER BY page_id NULLS LAST, url NULLS LAST)
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(digest || '00', i * 5 // 4 + 1, 3))::INTEGER >> (7 - i * 5 % 4)::INTEGER) & 31), 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN first_page END AS refers_to
+FROM placed
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_candidate_boosting": op1_candidate_boosting,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
@@ -224,11 +243,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hidden_markov": op9_hidden_markov,
     "op10_sparse_suffix_arrays": op10_sparse_suffix_arrays,
     "op11_lanczos_whitening": op11_lanczos_whitening,
+    "op12_capture_index": op12_capture_index,
     "op13_nested_rollup": op13_nested_rollup,
 }
 
 ORACLES: dict[str, str] = {
     "op4_prefix_target_expansion": OP4_SQL,
     "op8_hierarchical_budgeting": mix_sql("documents", mixing.Mix()),
+    "op12_capture_index": OP12_SQL,
     "op13_nested_rollup": merkle_sql("documents"),
 }

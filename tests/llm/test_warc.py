@@ -1,0 +1,118 @@
+"""Archives and their index against digests computed one by one, and against other readers of the files."""
+
+import gzip
+import hashlib
+import os
+from base64 import b32encode
+
+import duckdb
+import pytest
+
+from plantroom.llm import queries, warc
+
+COLUMNS = "page_id long, url string, html string"
+
+
+def expected(pages):
+    """Rows of the result for (page_id, url, html)."""
+    order = sorted(pages, key=lambda p: (p[0] is None, p[0] or 0, p[1] is None, p[1] or ""))
+    first, out = {}, []
+    for page, _, html in order:
+        payload = (html or "").encode()
+        digest = b32encode(hashlib.sha1(payload).digest()).decode()
+        if payload in first:
+            out.append((page, len(payload), digest, "revisit", first[payload]))
+        else:
+            first[payload] = page
+            out.append((page, len(payload), digest, "response", None))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def pages(n):
+    hosts = ["http://a.example.com", "https://www.Example.com:8080", "http://user@b.example.org", "mailto:x"]
+    html = ["<p>one</p>", "", None, "é\U0001f600\r\n\r\nWARC/1.1\r\n", "long " * 30_000, "\x00\n"]
+    return [(i, f"{hosts[i % 4]}/p/{i % 7}?q={i % 3}#f", html[i % 6] if i % 5 else f"only {i}") for i in range(n)]
+
+
+def test_given_pages(spark):
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    assert found(queries.op12_capture_index(spark, "/root/testdata/sf0.01")) == expected(rows)
+
+
+def test_copies_and_small_blocks(spark, monkeypatch):
+    for name, value in (("ARCHIVE_BYTES", 5000), ("BLOCK_LINES", 3), ("READ_BYTES", 700), ("COPIES", 4)):
+        monkeypatch.setattr(warc, name, value)
+    rows = pages(300)
+    assert found(warc.captured(spark.createDataFrame(rows, COLUMNS).repartition(7))) == expected(rows)
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    rows = [(1, "http://a/x", "same")] * 25 + [(1, "http://a/y", "same"), (2, None, "same"), (None, None, "same"), (None, None, None), (None, "http://a/x", "own")]
+    rows += [(9, "http://a/x", "other")] * 3 + [(3, "two words\r\nX-Page-Id: 77", "line")]
+    assert found(warc.captured(spark.createDataFrame(rows, COLUMNS).repartition(5))) == expected(rows)
+    only_null = [(None, f"http://a/{i}", "p") for i in range(3)]
+    assert found(warc.captured(spark.createDataFrame(only_null, COLUMNS))) == expected(only_null)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    rows = pages(20)
+    df = spark.createDataFrame(rows, COLUMNS)
+    assert found(warc.captured(df.limit(0))) == []
+    for name in ("key", "capture", "digest", "payload", "copy", "file", "offset", "length", "shard", "lot", "first", "__bucket"):
+        df = df.selectExpr("*", f"1 as `{name}`")
+    assert found(warc.captured(df)) == expected(rows)
+
+
+def test_search_by_url(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    rows = pages(200)
+    archive = warc.written(spark.createDataFrame(rows, COLUMNS).repartition(3))
+    wanted = ["http://a.example.com/p/0?q=0#other", "https://www.example.com:8080/p/1?q=1", "http://a.example.com/none", "http://a.example.com/p/0?q=0"]
+    got = archive.read(archive.located(spark.createDataFrame([(u,) for u in wanted], "url string")))
+    same = lambda url: url.split("#")[0].lower() in {u.split("#")[0].lower() for u in wanted}
+    assert sorted(r["page_id"] for r in got.collect()) == [p for p, url, _ in rows if same(url)]
+    by_id = {p: (html or "").encode() for p, _, html in rows}
+    assert all(r["payload"] == by_id[r["page_id"]] for r in got.collect() if r["record_type"] == "response")
+
+
+def test_keys(spark):
+    cases = {
+        "http://www.Example.com/a/B?c=D#e": "com,example,www)/a/B?c=D",
+        "https://user:pw@example.org:8443/": "org,example:8443)/",
+        "http://h": "h)",
+        "no url": "no%20url",
+        None: "",
+    }
+    rows = spark.createDataFrame([(u,) for u in cases], "url string").select("url", warc.url_key(warc.F.col("url")).alias("key")).collect()
+    assert {r["url"]: r["key"] for r in rows} == cases
+
+
+def test_archives_are_readable_gzip(spark):
+    rows = pages(30)
+    archive = warc.written(spark.createDataFrame(rows, COLUMNS))
+    _, folder = warc.opened(archive.folder)
+    texts = [gzip.open(f"{folder}/{name}").read() for name in os.listdir(folder) if name.endswith(".warc.gz")]
+    assert sum(t.count(b"WARC-Type: response\r\n") for t in texts) + sum(t.count(b"WARC-Type: revisit\r\n") for t in texts) == len(rows)
+    assert all(t.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") for t in texts)
+
+
+def test_damaged_records_are_noticed():
+    row = {"capture": "c", "copy": 0, "page_id": 1, "url": "http://a/", "digest": hashlib.sha1(b"abc").hexdigest(), "payload_bytes": 3, "payload": b"abc", "first_page": None, "first_capture": None}
+    data = warc.capture_record(row)
+    assert warc.read_record(data)["payload"] == b"abc"
+    with pytest.raises(ValueError):
+        warc.read_record(data.replace(b"abc", b"abd"))
+    with pytest.raises(ValueError):
+        warc.read_record(data[:-3])
+
+
+def test_sql():
+    rows = pages(100) + [(None, None, "x"), (None, "http://a", "x")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [r for r in rows if "\x00" not in (r[2] or "")])
+    assert sorted(con.execute(queries.OP12_SQL).fetchall(), key=repr) == expected([r for r in rows if "\x00" not in (r[2] or "")])
