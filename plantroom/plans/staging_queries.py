@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from plantroom.functions.columns import argument_table
 from plantroom.operators import staging
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
-from plantroom.sources.uploads import parse_upload_csv
+from plantroom.sources.shared import shared_folder
+from plantroom.sources.uploads import CsvRows, parse_upload_csv, read_upload_csv
 
 HERE = "(select id from v_buildings where name = 'Supplier#00000000{}')"
 
@@ -186,7 +189,7 @@ def csv_upload(fx: Fixtures) -> staging.UploadResult:
     wanted = fx.view("upload_rows").where("equip is not null and equip <> '__SKIP__' and topic is not null")
     lines = wanted.select(F.expr(LINE).alias("line"))
     schema = "`p.topic` string, `e.equip_id` string, `p.status` string, `p.weight` double"
-    read = parse_upload_csv(lines, "line", schema)
+    read = parse_upload_csv(lines, "line", schema).kept()
     return staging.upload(staged_table(fx), read.rows, read.refused)
 
 
@@ -220,6 +223,43 @@ def upload_csv_errors(fx: Fixtures) -> DataFrame:
     return plain(csv_upload(fx).errors.where("error like 'does not parse%'").select("`p.topic`", "error"))
 
 
+FILE_ROWS = """
+  , records as (select topic, equip, 'edited "' || status || '",' || chr(10) || coalesce(equip, '') as note,
+                       case when topic like '%7' then 'abc' else '1.5' end as weight from v_upload_rows)"""
+
+
+def csv_file(fx: Fixtures) -> CsvRows:
+    """Uploaded rows as CSV files, missing keys included, with line breaks and quotes in a field."""
+    note = F.expr("concat('edited \"', status, '\",\\n', coalesce(equip, ''))")
+    weight = F.expr("case when topic like '%7' then 'abc' else '1.5' end")
+    table = fx.view("upload_rows").select(
+        F.col("topic").alias("p.topic"), F.col("equip").alias("e.equip_id"), note.alias("p.note"), weight.alias("p.weight")
+    )
+    path = f"{shared_folder(fx.spark)}/upload-{uuid.uuid4().hex}"
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table.write.options(header=True, escape='"', **blanks).csv(path)
+    schema = "`p.topic` string, `e.equip_id` string, `p.note` string, `p.weight` double"
+    return read_upload_csv(fx.spark, path, schema).kept()
+
+
+@query(
+    with_views(
+        ["upload_rows"],
+        FILE_ROWS
+        + """
+  select topic as p_topic, equip as e_equip_id, note as p_note, cast(weight as double) as p_weight, null as error
+  from records where weight <> 'abc'
+  union all
+  select topic, equip, note, null, 'does not parse: ' || coalesce(topic, '') || ',' || coalesce(equip, '') || ',"'
+         || replace(note, '"', '""') || '",' || weight from records where weight = 'abc'""",
+    )
+)
+def upload_csv_file(fx: Fixtures) -> DataFrame:
+    """CSV files read in parallel though their fields hold line breaks; records that do not parse and why."""
+    read = csv_file(fx)
+    return plain(read.rows.withColumn("error", F.lit(None).cast("string")).unionByName(read.refused))
+
+
 @query(
     with_views(
         ["staging_points"],

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, the context's, or one beside the warehouse."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, the context's, or one below the warehouse, which is shared."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-shared"
+        found = held.get() if held.isDefined() else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/plantroom-shared"
     return found.rstrip("/")
 
 

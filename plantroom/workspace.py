@@ -174,7 +174,7 @@ class Workspace:
 
     def upload_staging_csv(self, building: Buildings, path: str, schema: StructType | str) -> staging.UploadResult:
         """CSV files with a header row in place of a table; records that do not parse come back as errors."""
-        read = read_upload_csv(self.table("staging_points").sparkSession, path, schema)
+        read = read_upload_csv(self.table("staging_points").sparkSession, path, schema).kept()
         return staging.upload(self.staged_rows(building), read.rows, read.refused)
 
     def promote_data(
