@@ -33,15 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantroom.functions.columns import spread
-from plantroom.llm.shared import shared_folder, stored
+from plantroom.llm.shared import partitions, shared_folder, stored
 
 #: Bytes after which a task begins a new archive; lines of an index block; bytes read at once from an archive.
 ARCHIVE_BYTES, BLOCK_LINES, READ_BYTES = 256 << 20, 3000, 8 << 20
 LEVEL = 4
 #: Pages name no time of capture.
 DATE = "2000-01-01T00:00:00Z"
-#: Copies of one row that a task writes.
-COPIES = 1000
+#: Copies of one row that a task writes; lines that a task searches or reads (a short line stands for a whole record).
+COPIES, TASK_LINES = 1000, 50_000
 
 _ENTRY = "key string, page_id long, file string, offset long, length long"
 _SHARD = "file string, first_key string, first_page long, last_key string, last_page long, offset long, length long, lines long"
@@ -244,6 +244,11 @@ class Archive:
     folder: str
     shards: list[dict]
 
+    def _in_order(self, rows: DataFrame, *order: str) -> DataFrame:
+        """Sorted ranges, as many as the records ask for and not as few as the bytes of their lines."""
+        wanted = sum(s["lines"] for s in self.shards) // TASK_LINES
+        return rows.repartitionByRange(max(partitions(rows.sparkSession), wanted), *order).sortWithinPartitions(*order)
+
     def located(self, wanted: DataFrame) -> DataFrame:
         """The records of some URLs: key, page_id, file, offset, length.
 
@@ -287,9 +292,8 @@ class Archive:
                 yield _entries(found)
             ranges.close()
 
-        order = ["shard", "key", "page_id"]
         chosen = asked.mapInArrow(choose, "shard long, key string, page_id long")
-        return chosen.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(search, _ENTRY)
+        return self._in_order(chosen, "shard", "key", "page_id").mapInArrow(search, _ENTRY)
 
     def read(self, located: DataFrame, payload: bool = True) -> DataFrame:
         """Located records, read from the archives in their order there, neighbours at once, each checked."""
@@ -309,8 +313,7 @@ class Archive:
                     yield pa.RecordBatch.from_pydict({c: [r[c] for r in rows] for c in names}, schema=arrow)
             ranges.close()
 
-        order = ["file", "offset"]
-        return located.select(*order, "length").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(fetch, schema)
+        return self._in_order(located.select("file", "offset", "length"), "file", "offset").mapInArrow(fetch, schema)
 
 
 def _entries(lines: list[list]) -> pa.RecordBatch:
