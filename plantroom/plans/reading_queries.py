@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from plantroom.operators import timeseries
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
 from plantroom.sources.documents import parse_json
+from plantroom.sources.shared import shared_folder
+from plantroom.sources.tables import read_table
 
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 WEEK_START, WEEK_END = "2024-01-08T00:00:00Z", "2024-01-15T00:00:00Z"
@@ -46,6 +50,27 @@ def ts_raw(fx: Fixtures) -> DataFrame:
     return timeseries.timeseries_raw(fx.view("readings"), START, END, None).select(*timeseries.READING_COLUMNS)
 
 
+@query(
+    with_views(
+        ["readings"],
+        """select event_id, case when event_id % 3 = 0 then cast(cast(floor(raw) as int) as varchar)
+                                 else 'v' || cast(event_id as varchar) end as raw,
+                  case when event_id % 3 <> 0 then display end as quality, cast(point_id as bigint) as point_id
+           from v_readings""",
+    )
+)
+def readings_drift(fx: Fixtures) -> DataFrame:
+    """Files in which a column is a number, and files in which it is a text, as one table."""
+    root, readings = f"{shared_folder(fx.spark)}/drift-{uuid.uuid4().hex}", fx.view("readings")
+    numbers = readings.where("event_id % 3 = 0").selectExpr("event_id", "cast(floor(raw) as int) as raw", "cast(point_id as int) as point_id")
+    texts = readings.where("event_id % 3 <> 0").selectExpr(
+        "event_id", "'v' || cast(event_id as string) as raw", "display as quality", "cast(point_id as bigint) as point_id"
+    )
+    numbers.write.parquet(f"{root}/readings")
+    texts.write.mode("append").parquet(f"{root}/readings")
+    return read_table(fx.spark, root, "readings").select("event_id", "raw", "quality", "point_id")
+
+
 @query(
     with_views(
         ["readings", "points"],

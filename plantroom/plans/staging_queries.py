@@ -13,7 +13,9 @@ from plantroom.operators import staging
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
 from plantroom.sources.shared import shared_folder
+from plantroom.sources.tables import write_new
 from plantroom.sources.uploads import CsvRows, parse_upload_csv, read_upload_csv
+from plantroom.workspace import Workspace
 
 HERE = "(select id from v_buildings where name = 'Supplier#00000000{}')"
 
@@ -93,8 +95,9 @@ def staging_data_each_equipment(fx: Fixtures) -> DataFrame:
     return plain(_staging_data(fx, multi_equip="explode"))
 
 
-def staged_table(fx: Fixtures) -> DataFrame:
-    return fx.view("staging_points").select(
+def staged_table(fx: Fixtures, building: int | None = None) -> DataFrame:
+    rows = fx.view("staging_points")
+    return (rows if building is None else staging.staged_in(rows, building)).select(
         F.col("topic").alias("p.topic"),
         F.col("equip").alias("e.equip_id"),
         F.col("status").alias("p.status"),
@@ -279,12 +282,13 @@ def upload_by_equipment(fx: Fixtures) -> DataFrame:
     return plain(staging.upload(staged_table(fx).select("`p.topic`", "`e.equip_id`"), rows).staged)
 
 
-def live_table(fx: Fixtures) -> DataFrame:
+def live_table(fx: Fixtures, *more: str) -> DataFrame:
     """Live points, half of which are staged again below other names."""
     return fx.view("points").select(
         F.when(F.col("id") % 2 == 0, F.col("topic")).otherwise(F.concat(F.lit("live/"), "id")).alias("p.topic"),
         F.col("id").alias("p.point_id"),
         F.lit("live").alias("p.status"),
+        *more,
     )
 
 
@@ -306,6 +310,32 @@ def promote_all(fx: Fixtures) -> DataFrame:
     return plain(staging.promote(staged_table(fx), live_table(fx)).live)
 
 
+@query(
+    with_views(
+        ["points", "staging_points"],
+        """
+  , live as (select case when id % 2 = 0 then topic else 'live/' || cast(id as varchar) end as topic, id as point_id,
+                    'live' as status, building_id from v_points),
+  valid as (select topic, equip, status, price from v_staging_points
+            where building_id = 3 and topic is not null and equip is not null and equip <> '__SKIP__')
+  select l.topic as p_topic, l.point_id as p_point_id,
+         case when v.topic is null then l.status else v.status end as p_status,
+         v.equip as e_equip_id, v.price as p_price, l.building_id
+  from live l left join valid v on v.topic = l.topic and l.building_id = 3
+  union all
+  select topic, null, status, equip, price, 3 from valid where topic not in (select topic from live where building_id = 3)""",
+    )
+)
+def promote_written(fx: Fixtures) -> DataFrame:
+    """One building is promoted and written back; the others' files stay, and the table is read again as a whole."""
+    root = f"{shared_folder(fx.spark)}/live-{uuid.uuid4().hex}"
+    write_new(live_table(fx, "building_id"), f"{root}/live", ["building_id"])
+    site = Workspace.open(fx.spark, root)
+    staged = staged_table(fx, 3)
+    site.write_building("live", 3, staging.promote(staged, site.read_building("live", 3)).live)
+    return plain(site.table("live"))
+
+
 @query(
     with_views(
         ["points", "staging_points", "upload_rows"],

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote, urlsplit
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a file or folder, and its path there, for tasks that read or write files themselves."""
+    parts = urlsplit(uri)
+    if parts.scheme in ("", "file"):
+        return fs.LocalFileSystem(), unquote(parts.path) if parts.scheme else uri
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where that is unset, the context's, or one below the warehouse, which is shared."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plantroom.functions.columns import filter_by_ids, flatten
+from plantroom.functions.columns import col, filter_by_ids, flatten
 from plantroom.operators import catalog, metadata, selection, staging, timeseries
 from plantroom.operators.catalog import Ids
 from plantroom.operators.timeseries import Moment
 from plantroom.session import configure
-from plantroom.sources.tables import read_table
+from plantroom.sources.tables import read_table, replace_partitions
 from plantroom.sources.uploads import read_upload_csv
 
 Buildings = Sequence[int | str] | int | str
@@ -23,8 +23,8 @@ class Workspace:
     """Getters and staging operations over a set of entity tables.
 
     Everything returned is a lazy DataFrame. Staging operations return the new
-    tables instead of overwriting the old ones; write them with
-    ``plantroom.sources.tables.write_new``.
+    tables instead of overwriting the old ones; :meth:`write_building` writes one
+    building's part of them back.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame]):
@@ -53,6 +53,32 @@ class Workspace:
             self._tables[entity] = read_table(self._spark, self._root, entity, self._schemas.get(entity))
         return self._tables[entity]
 
+    # tables kept by building: "staged" (flat rows of the staging view) and "live"
+
+    def read_building(self, entity: str, building: Buildings) -> DataFrame:
+        """The rows of one building; a building given by id needs no list of buildings."""
+        return filter_by_ids(self.table(entity), "building_id", self._one(building))
+
+    def write_building(self, entity: str, building: Buildings, rows: DataFrame) -> None:
+        """Replace a building's rows on storage; other buildings' files are left alone.
+
+        The table is partitioned by ``building_id``. ``rows`` may be made from it, such as the result of an upload or
+        a promotion of :meth:`read_building`; rows that are new and name no building become this one's.
+        """
+        if entity not in ("staged", "live"):
+            raise ValueError("only the tables 'staged' and 'live' are kept by building")
+        if self._spark is None:
+            raise ValueError("this workspace is not on storage")
+        here = self._one(building)
+        named = rows.columns if "building_id" in rows.columns else [*rows.columns, "building_id"]
+        own = F.coalesce(col("building_id"), F.lit(here)) if named == rows.columns else F.lit(here)
+        whole = rows.select([own.alias(name) if name == "building_id" else col(name) for name in named])
+        replace_partitions(whole, f"{self._root.rstrip('/')}/{entity}", "building_id", [here])
+        self._tables.pop(entity, None)
+
+    def _one(self, building: Buildings) -> int:
+        return building if isinstance(building, int) else catalog.one_building(self.table("buildings"), building)[0]
+
     # catalog
 
     def get_orgs(self, id: Ids = None) -> DataFrame:

@@ -1,0 +1,92 @@
+"""Tables on storage: files of different types, and partitions that are replaced."""
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import types as T
+
+from plantroom.sources import drift, tables
+
+
+def kind(ddl):
+    return T.StructType.fromDDL(f"x {ddl}")["x"].dataType
+
+
+@pytest.mark.parametrize(
+    "a, b, both",
+    [
+        ("int", "bigint", "bigint"), ("boolean", "int", "int"), ("bigint", "double", "double"), ("float", "int", "double"),
+        ("decimal(4,2)", "int", "decimal(12,2)"), ("decimal(38,10)", "decimal(38,0)", "double"), ("int", "string", "string"),
+        ("date", "timestamp", "timestamp"), ("date", "int", "string"), ("array<int>", "array<string>", "array<string>"),
+        ("struct<a: int>", "struct<a: double, b: int>", "struct<a: double, b: int>"), ("struct<a: int>", "int", "string"),
+        ("map<string,int>", "map<string,string>", "map<string,string>"), ("void", "date", "date"),
+    ],
+)
+def test_types_that_hold_both(spark, a, b, both):
+    assert drift.common_type(kind(a), kind(b)) == kind(both) == drift.common_type(kind(b), kind(a))
+
+
+def test_files_of_different_types(spark, table, tmp_path):
+    path = f"{tmp_path}/readings"
+    table("point_id int, raw int, at struct<a: int>, l array<int>", (1, 5, (1,), [1]), (2, None, None, None)).write.parquet(path)
+    later = table("point_id bigint, raw string, quality string, at struct<a: double, b: string>, l string", (3, "on", "good", (2.5, "x"), "y"))
+    later.write.mode("append").parquet(path)
+    table("raw boolean, note date", (True, None)).write.mode("append").parquet(path)
+    out = tables.read_table(spark, str(tmp_path), "readings")
+    types = dict(out.dtypes)
+    assert types == {"point_id": "bigint", "raw": "string", "at": "struct<a:double,b:string>", "l": "string", "quality": "string", "note": "date"}
+    assert rows(out, "point_id", "raw", "quality", "at", "l") == sorted(
+        [(1, "5", None, (1.0, None), "[1]"), (2, None, None, None, None), (3, "on", "good", (2.5, "x"), "y"), (None, "true", None, None, None)], key=repr
+    )
+
+
+def test_partitioned_files_of_different_types(spark, table, tmp_path):
+    path = f"{tmp_path}/points"
+    table("id int, n int, building_id string", (1, 1, "a b"), (2, 2, "c%d")).write.partitionBy("building_id").parquet(path)
+    table("id int, n string, building_id string", (3, "x", "a b")).write.mode("append").partitionBy("building_id").parquet(path)
+    out = tables.read_table(spark, str(tmp_path), "points")
+    assert rows(out, "id", "n", "building_id") == sorted([(1, "1", "a b"), (2, "2", "c%d"), (3, "x", "a b")])
+    plan = out.where("id = 3")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(id,3)") >= 2
+
+
+def files(path):
+    return {os.path.relpath(os.path.join(d, f), path): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_only_touched_partitions_are_rewritten(spark, table, tmp_path):
+    path = f"{tmp_path}/live"
+    table("id int, building_id int", *[(i, i % 4) for i in range(40)]).write.partitionBy("building_id").parquet(path)
+    before, live = files(path), spark.read.parquet(path)
+    changed = live.where("building_id = 2").selectExpr("id + 100 as id", "building_id")
+    tables.replace_partitions(changed, path, "building_id", [2, 3])
+    after = files(path)
+    assert {f: t for f, t in before.items() if "building_id=0" in f or "building_id=1" in f} == {f: t for f, t in after.items() if "building_id=2" not in f}
+    assert rows(spark.read.parquet(path), "id", "building_id") == sorted([(i, i % 4) for i in range(40) if i % 4 < 2] + [(i + 100, 2) for i in range(40) if i % 4 == 2], key=repr)
+    # again: nothing changes
+    tables.replace_partitions(spark.read.parquet(path).where("building_id = 2"), path, "building_id", [2])
+    assert spark.read.parquet(path).count() == 30
+
+
+def test_rows_of_other_partitions_are_refused(spark, table, tmp_path):
+    path = f"{tmp_path}/live"
+    table("id int, building_id int", (1, 1), (2, 2)).write.partitionBy("building_id").parquet(path)
+    before = files(path)
+    for stray in (2, None):
+        with pytest.raises(ValueError, match="not to be replaced"):
+            tables.replace_partitions(table("id int, building_id int", (9, stray)), path, "building_id", [1])
+    tables.replace_partitions(spark.read.parquet(path).limit(0), path, "building_id", [])
+    assert files(path) == before
+
+
+def test_a_large_partition_is_written_in_parts(spark, table, tmp_path):
+    path, before = f"{tmp_path}/live", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(200_000).selectExpr("id", "sha1(cast(id as string)) as text", "case when id % 10 = 0 then 1 else 3 end as building_id").repartition(8)
+        tables.replace_partitions(df, path, "building_id", [1, 3])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert sum("building_id=3" in f for f in files(path)) > 3
+    assert spark.read.parquet(path).count() == 200_000

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from plantroom import PointSelector, Workspace
+from plantroom.operators import staging
 from plantroom.sources.tables import write_new
 
 
@@ -164,3 +165,23 @@ def test_tables_on_storage(tables, spark, tmp_path):
     assert site.get_metadata(buildings="Office").count() == 3
     with pytest.raises(KeyError):
         Workspace({}).table("points")
+
+
+def test_a_building_is_written_back(spark, tables, tmp_path):
+    root = str(tmp_path)
+    write_new(tables["buildings"], f"{root}/buildings")
+    live = spark.createDataFrame([("t1", "old", 427), ("t2", "old", 428)], "`p.topic` string, `p.status` string, building_id int")
+    write_new(live, f"{root}/live", ["building_id"])
+    site = Workspace.open(spark, root)
+    staged = spark.createDataFrame([("t1", "AHU-1", "new"), ("t9", "AHU-1", "new")], "`p.topic` string, `e.equip_id` string, `p.status` string")
+    promote = lambda: staging.promote(staged, site.read_building("live", "Office")).live
+    for _ in range(2):
+        site.write_building("live", "Office", promote())
+        assert rows(site.table("live"), "`p.topic`", "`p.status`", "building_id") == [("t1", "new", 427), ("t2", "old", 428), ("t9", "new", 427)]
+    assert rows(site.read_building("live", 428), "`p.topic`") == [("t2",)]
+    site.write_building("live", 428, site.read_building("live", 428).where("false"))
+    assert rows(site.table("live"), "`p.topic`") == [("t1",), ("t9",)]
+    with pytest.raises(ValueError, match="kept by building"):
+        site.write_building("points", 427, live)
+    with pytest.raises(ValueError, match="not on storage"):
+        Workspace(tables).write_building("live", 427, live)
