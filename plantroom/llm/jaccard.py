@@ -11,8 +11,10 @@ need.
    block a tree: its nodes hold the OR of the bitmaps below, with the most tokens a set has at a bit, and the range of
    sizes. Two nodes at a time are walked down; a pair is dropped where the bits allow too little overlap, the sizes lie
    too far apart, or all sets below are connected already.
-3. *Completion.* Sets of different components that share a shingle among their first ones, as every linked pair does,
-   and that sizes and parity signatures allow, are verified. So no link between components is lost.
+3. *Completion.* Sets of different components that share a shingle among their rarest ones, as every linked pair does,
+   and that sizes and parity signatures allow, are verified. So no link between components is lost. Rare comes first by
+   counts of all shingles in a table of fixed size: any order keeps the bound, and in this one a passage of many
+   documents is among the rarest of few of them.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantroom.functions.columns import spread
 from plantroom.llm.components import components
 from plantroom.llm.shared import partitions, stored
 from plantroom.llm.words import WordHashes, hashed, mixed_bits, pieces, shingles, split_words, texts
@@ -32,7 +35,9 @@ from plantroom.llm.words import WordHashes, hashed, mixed_bits, pieces, shingles
 #: Orders in which least hashes are taken; sets of a block in one tree; bits of a node's bitmap; children of a node.
 ORDERS, BLOCK, BITS, FANOUT = 2, 1024, 256, 8
 #: Longs of a set's short and long parity signatures: the one travels with shingles, the other with pairs.
-SHORT, LONG = 4, 32
+SHORT, LONG = 8, 32
+#: Cells of the table that counts shingles; two that share a cell only come later in the order.
+CELLS = 1 << 19
 #: First shingles beyond those of which one must be shared, in per cent of a set.
 EXTRA = 10
 #: Place of a shingle that several sets of a piece have, and the most documents of a piece.
@@ -281,9 +286,9 @@ def _enough_shared(percent: int) -> Column:
     return F.col("credit") + F.coalesce("shared", F.lit(0)) >= 1 + F.expr(f"{EXTRA} * (({percent} * n + 99) div 100) div 100")
 
 
-def token_sets(documents: DataFrame, wanted: DataFrame, size: int, percent: int) -> DataFrame:
+def token_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The whole sets of one document for each wanted v (more than once only for rows equal in id and text): v, n, tokens,
-    least hashes, signatures, first shingles."""
+    least hashes, signatures."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     wanted = wanted.where(F.length("v") > 0)
     same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_key"] == wanted["text_key"])
@@ -297,12 +302,11 @@ def token_sets(documents: DataFrame, wanted: DataFrame, size: int, percent: int)
                 [batch.column("v"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
                  pa.array([[int(mixed_bits(s ^ np.uint64(k + 1)).min().view(np.int64)) for k in range(ORDERS)] for s in sets], pa.list_(pa.int64())),
                  pa.array([parity(s, SHORT).tolist() for s in sets], pa.list_(pa.int64())),
-                 pa.array([parity(s, LONG).tolist() for s in sets], pa.list_(pa.int64())),
-                 pa.array([s[: prefix_length(len(s), percent)].view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))],
-                names=["v", "n", "tokens", "least", "short", "long", "first"],
+                 pa.array([parity(s, LONG).tolist() for s in sets], pa.list_(pa.int64()))],
+                names=["v", "n", "tokens", "least", "short", "long"],
             )
 
-    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, short array<long>, long array<long>, first array<long>")
+    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, short array<long>, long array<long>")
     # a Bloom filter of the wanted texts, however small the documents, keeps most others out of the shuffle
     conf, setting = documents.sparkSession.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = conf.get(setting)
@@ -317,7 +321,9 @@ def block_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect what is connected within blocks of one least hash."""
     spark = sets.sparkSession
     keyed = sets.select("v", F.posexplode("least").alias("turn", "key"))
-    large = keyed.groupBy("turn", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+    # grouped by a bucket, too, so that the join can split the least hash of a passage that many sets have
+    bucket = spread(F.col("turn"), F.col("key")).alias("bucket")
+    large = keyed.groupBy("turn", "key", bucket).agg(F.count("*").alias("members")).where(F.col("members") > 1).drop("bucket")
     # blocks beyond BLOCK sets are cut by a hash; links across the cut are left to the completion
     cut = F.pmod(F.xxhash64("v"), F.ceil(F.col("members") / BLOCK))
     slots = keyed.join(large, ["turn", "key"]).groupBy("v").agg(F.collect_set(F.struct("turn", "key", cut.alias("cut"))).alias("slots"))
@@ -349,19 +355,71 @@ def block_links(sets: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(walk, "a binary, b binary")
 
 
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(20)) % np.uint64(CELLS)
+
+
+def commonness(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall into each cell."""
+    parts = 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            for tokens in batch.column("tokens").to_pylist():
+                np.add.at(total, _cells(np.frombuffer(tokens, dtype=np.uint64)), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([x.tobytes() for x in np.split(total, parts)], pa.binary())], names=["part", "counts"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, dtype=np.int64) for x in group.column("counts").to_pylist())
+        return pa.table({"part": group.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "part int, counts binary"
+    rows = sets.select("tokens").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    if not rows:
+        return np.zeros(CELLS, dtype=np.int64)
+    return np.concatenate([np.frombuffer(r["counts"], dtype=np.int64) for r in sorted(rows, key=lambda r: r["part"])])
+
+
+def rarest(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """So many of a set's rarest shingles that any partner has one of them among its own."""
+    return tokens[np.lexsort((tokens, counts[_cells(tokens)]))[: prefix_length(len(tokens), percent)]]
+
+
+def _first_ones(sets: DataFrame, percent: int) -> DataFrame:
+    """Each set with each of its rarest shingles and its place in their order."""
+    counts = np.minimum(commonness(sets), 2**31 - 1).astype(np.int32)
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = [rarest(np.frombuffer(t, dtype=np.uint64), counts, percent) for t in batch.column("tokens").to_pylist()]
+            rows = pa.array(np.repeat(np.arange(len(first)), [len(f) for f in first]))
+            token = np.concatenate(first).view(np.int64) if first else np.empty(0, dtype=np.int64)
+            place = np.concatenate([np.arange(len(f)) for f in first]) if first else token
+            columns = [*[batch.column(c).take(rows) for c in ("v", "component", "n", "short")], pa.array(token), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "component", "n", "short", "token", "place"])
+
+    schema = "v binary, component binary, n long, short array<long>, token long, place long"
+    return sets.select("v", "component", "n", "short", "tokens").mapInArrow(explode, schema)
+
+
 def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between sets of different components, each verified."""
-    labelled = sets.join(known, "v", "left").select("v", F.coalesce("component", "v").alias("component"), "n", "short", F.explode("first").alias("token"))
+    held = sets.join(known, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    labelled = _first_ones(held, percent)
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = stored(labelled.join(mixed, "token", "left_semi"), "open")
     a, b = open_rows.alias("a"), open_rows.alias("b")
     differing = sum((F.bit_count(F.element_at("a.short", i + 1).bitwiseXOR(F.element_at("b.short", i + 1))) for i in range(SHORT)), F.lit(0))
     sizes = F.col("a.n") + F.col("b.n")
+    # from the first shingle that two sets share on, both have to hold the least overlap; from later ones on they hold less
+    ahead = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
     pairs = a.join(
         b,
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.component") < F.col("b.component"))
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+        & ((100 + percent) * ahead >= percent * sizes)
         & ((100 - percent) * sizes >= (100 + percent) * differing),
     )
     pairs = stored(pairs.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct(), "pairs")
@@ -391,7 +449,7 @@ def _labelled(documents: DataFrame, size: int, percent: int) -> DataFrame:
     rows = sketched.where("places is null").select("piece", "place", "doc_id", "text_key", "n", "credit", "v")
     possible = rows.join(shared_counts(sketched), ["piece", "place"], "left").where(_enough_shared(percent) & (F.col("n") > 0))
     wanted = stored(possible.groupBy("v").agg(F.min(F.struct("doc_id", "text_key")).alias("least")).select("v", "least.*"), "wanted")
-    sets = token_sets(documents, wanted, size, percent)
+    sets = token_sets(documents, wanted, size)
     first = stored(block_links(sets, percent), "block-links")
     known = components(first, "blocks")
     more = stored(remaining_links(sets, known, percent), "more-links")

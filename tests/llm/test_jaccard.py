@@ -107,3 +107,39 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (600, 600)], "a long, b long")
     found = dict((r["v"], r["component"]) for r in components(links).collect())
     assert found == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_long_documents_that_share_a_passage(spark, monkeypatch):
+    rng = random.Random(8)
+    passages = [[f"p{k}_{i}" for i in range(70)] for k in range(3)]
+    rows = []
+    for i in range(120):
+        own = [f"u{rng.randrange(50_000)}" for _ in range(rng.randrange(150, 900))]
+        at = rng.randrange(len(own))
+        rows.append((i, " ".join(own[:at] + passages[i % 3] + own[at:])))
+    # near copies of some, which only the completion finds where blocks are cut small
+    rows += [(1000 + i, " ".join(changed(rows[i][1].split(), rng, 0.01))) for i in range(0, 120, 4)]
+    pairs = {}
+    stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    monkeypatch.setattr(jaccard, "stored", lambda df, name, *a: pairs.setdefault(name, stored(df, name, *a)))
+    check(spark, rows, 5, 80)
+    # the passages make no candidates: a shared passage is not among a document's rarest shingles
+    assert pairs["pairs"].count() < 2 * len(rows)
+
+
+def test_rarest_first_keeps_every_link():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 9, jaccard.CELLS)
+    for percent in (80, 85):
+        for _ in range(300):
+            n = int(rng.integers(1, 200))
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[rng.random(len(a)) > rng.random() * 0.2], rng.integers(0, 2**64, int(rng.integers(0, 20)), dtype=np.uint64)]))
+            if len(b) and jaccard.linked(a, b, percent):
+                first = [jaccard.rarest(x, counts, percent) for x in (a, b)]
+                common = np.intersect1d(*first)
+                assert len(common)
+                # at the first common shingle the places leave room for the least overlap
+                i, j = (min(int(np.flatnonzero(f == c)[0]) for c in common) for f in first)
+                assert (100 + percent) * min(len(a) - i, len(b) - j) >= percent * (len(a) + len(b))
