@@ -242,6 +242,38 @@ def upload(staged: DataFrame, rows: DataFrame, refused: DataFrame | None = None)
     return UploadResult(staged=result, errors=errors)
 
 
+def row_digest(df: DataFrame, names: Sequence[str]) -> Column:
+    """A digest of some columns of a row: names and values, nulls told from texts. A column ``df`` lacks counts as null."""
+    present = [col(name).alias(name) for name in sorted(names) if name in df.columns]
+    return F.sha2(F.to_json(F.struct(*present)) if present else F.lit("{}"), 256)
+
+
+def upload_changes(staged: DataFrame, rows: DataFrame) -> DataFrame:
+    """What :func:`upload` would do with rows that have a topic: (p.topic, change).
+
+    ``inserted`` topics are not staged yet, ``changed`` ones differ in an uploaded column from a row staged for them,
+    ``unchanged`` ones would be written as they are. Topics uploaded with different contents are refused by the upload
+    and do not appear. Only keys and digests of the uploaded columns are joined, not the rows; a number and a text
+    differ whatever they say.
+    """
+    require_columns(rows, ["p.topic"], "upload")
+    require_columns(staged, ["p.topic"], "staging table")
+    single, _ = _usable(rows.where(col("p.topic").isNotNull()), "p.topic", hot=False)
+    names = [name for name in single.columns if name != "p.topic"]
+    new = single.select(col("p.topic").alias("p.topic"), row_digest(single, names).alias("__new"))
+    held = staged.where(col("p.topic").isNotNull()).select(col("p.topic").alias("__topic"), row_digest(staged, names).alias("__old"))
+    old = held.groupBy("__topic").agg(F.min("__old").alias("__low"), F.max("__old").alias("__high"))
+    same = (F.col("__low") == F.col("__new")) & (F.col("__high") == F.col("__new"))
+    change = F.when(F.col("__topic").isNull(), "inserted").when(same, "unchanged").otherwise("changed")
+    return new.join(old, col("p.topic") == F.col("__topic"), "left").select(col("p.topic"), change.alias("change"))
+
+
+def changed_rows(staged: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of an upload without those of topics it would leave as they are; uploading these has the same result."""
+    idle = upload_changes(staged, rows).where("change = 'unchanged'").select(col("p.topic").alias("__idle"))
+    return rows.join(idle, col("p.topic") == F.col("__idle"), "left_anti")
+
+
 def _usable(rows: DataFrame, key: str, hot: bool) -> tuple[DataFrame, DataFrame]:
     """(one row for each key, rows of keys with different contents and why they are refused)."""
     single, several = _one_per_key(rows, key, hot)
@@ -368,6 +400,29 @@ def errors_by_section(errors: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+#: Different messages that a row of a report by topic holds, about.
+MESSAGES_A_ROW = 1000
+
+
+def errors_by_topic(errors: DataFrame, messages_a_row: int = MESSAGES_A_ROW) -> DataFrame:
+    """Report rows (type, topic, error) as (type, topic, part, messages, errors): lists of messages with their counts.
+
+    A message repeated without end is counted before it is shuffled. The different messages of a topic are dealt to
+    as many parts as they need, by a hash, and are sorted within a part; ``errors`` counts the rows of a part. So a
+    topic with a third of all messages is no single row and no single task. Null topics are a topic, null errors a
+    message.
+    """
+    each = errors.groupBy("type", "topic", "error").agg(F.count(F.lit(1)).alias("times"))
+    bucket = spread(F.col("type"), F.col("topic")).alias("__bucket")
+    many = each.groupBy("type", "topic", bucket).agg(F.count(F.lit(1)).alias("__messages")).where(F.col("__messages") > messages_a_row)
+    many = many.select(F.col("type").alias("__type"), F.col("topic").alias("__topic"), F.ceil(F.col("__messages") / messages_a_row).alias("__parts"))
+    same = F.col("type").eqNullSafe(F.col("__type")) & F.col("topic").eqNullSafe(F.col("__topic"))
+    part = F.pmod(F.xxhash64("error"), F.coalesce("__parts", F.lit(1))).alias("part")
+    dealt = each.join(many, same, "left").select("type", "topic", part, "error", "times")
+    messages = F.sort_array(F.collect_list(F.struct("error", "times"))).alias("messages")
+    return dealt.groupBy("type", "topic", "part").agg(messages, F.sum("times").alias("errors"))
+
+
 @dataclass(frozen=True)
 class LiveTables:
     """Live data after a withdrawal."""

@@ -298,9 +298,14 @@ def _packed(readings: DataFrame, order_by: Sequence[str]) -> Column | None:
     """All keys as one number in the same order, null first; None if they are no integers or times, or too long.
 
     ``time`` counts within its second only, which its group has in common.
-    Decimals hold 126 bits: a time and one 64-bit key, or a few shorter ones.
+    Up to 63 bits, such as a time and a 32-bit id, they are a bigint, and so is a
+    64-bit id alone, of which -2^63 counts as null. Decimals, which take longer,
+    hold 126 bits: a time and one 64-bit key, or a few shorter ones.
     """
     widths = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+    short = _packed_short(readings, order_by, widths)
+    if short is not None:
+        return short
     packed, bits = F.lit(0).cast("decimal(38,0)"), 0
     for key in order_by:
         dtype = readings.schema[key].dataType
@@ -322,6 +327,28 @@ def _packed(readings: DataFrame, order_by: Sequence[str]) -> Column | None:
     return packed
 
 
+def _packed_short(readings: DataFrame, order_by: Sequence[str], widths: dict[type, int]) -> Column | None:
+    """The keys as a bigint, if they fit one."""
+    types = {key: readings.schema[key].dataType for key in order_by}
+    keys = [key for key in order_by if not (key == "time" and isinstance(types[key], T.DateType))]
+    if len(keys) == 1 and isinstance(types[keys[0]], T.LongType):
+        return F.coalesce(col(keys[0]), F.lit(-(1 << 63)).cast("bigint"))
+    packed, bits = F.lit(0).cast("bigint"), 0
+    for key in keys:
+        if key == "time" and isinstance(types[key], (T.TimestampType, T.TimestampNTZType)):
+            width, part = 20, F.pmod(F.unix_micros(F.col("time").cast("timestamp")), F.lit(1_000_000))
+        elif type(types[key]) in widths:
+            width = widths[type(types[key])]
+            part = col(key).cast("bigint") + F.lit(1 << (width - 1)) if width < 64 else None
+        else:
+            return None
+        bits += width + 1
+        if bits > 63:
+            return None
+        packed = F.shiftleft(packed, width + 1) + F.coalesce(part + 1, F.lit(0).cast("bigint"))
+    return packed
+
+
 def _cells(
     readings: DataFrame, name: Column, value: Column, order_by: Sequence[str], unique_order: bool = False
 ) -> DataFrame:

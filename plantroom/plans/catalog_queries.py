@@ -9,6 +9,7 @@ from plantroom.functions.columns import columns_to_text
 from plantroom.operators import catalog
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
+from plantroom.sources.documents import flatten_json as read_variants
 from plantroom.sources.documents import parse_json, rows_to_json, unwrap
 
 EPOCH = "make_timestamp(cast(substr(cast({0} as varchar), 1, 10) as bigint) * 1000000)"
@@ -212,6 +213,33 @@ def flatten_json(fx: Fixtures) -> DataFrame:
     return plain(parse_json(rows_to_json(nested), "payload", schema))
 
 
+@query(
+    with_views(
+        ["equipment"],
+        """select case when id % 3 = 2 then 'E' || cast(id as varchar) else cast(id as varchar) end as id,
+                  case when id % 3 <> 2 then equip_id end as info_name,
+                  case when id % 3 = 0 then cast(id * 0.5 as double) end as info_detail_half,
+                  case when id % 3 = 1 then parent_equip end as info_detail_parent,
+                  case when id % 3 = 2 then 'x' || cast(flow_order as varchar) end as info_tags_first,
+                  case when id % 3 = 1 then flow_order % 2 = 0 end as even
+           from v_equipment""",
+    )
+)
+def flatten_json_variant(fx: Fixtures) -> DataFrame:
+    """JSON objects whose fields differ from row to row, in a type, too, parsed without a schema."""
+    text = F.expr(
+        """case id % 3
+             when 0 then to_json(named_struct('id', id, 'info', named_struct('name', equip_id, 'detail', named_struct('half', cast(id * 0.5 as double)))))
+             when 1 then to_json(named_struct('id', id, 'info', named_struct('name', equip_id, 'detail', named_struct('parent', parent_equip)),
+                                              'even', flow_order % 2 = 0))
+             else to_json(named_struct('id', 'E' || cast(id as string), 'info', named_struct('tags', array('x' || cast(flow_order as string), 'y'))))
+           end"""
+    )
+    found = read_variants(fx.view("equipment").select(text.alias("payload")), "payload")
+    first = F.element_at("`info.tags`", 1).alias("info.tags.first")
+    return plain(found.select("id", "`info.name`", "`info.detail.half`", "`info.detail.parent`", first, "even"))
+
+
 @query(
     with_views(
         ["organizations"],

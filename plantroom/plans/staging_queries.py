@@ -12,7 +12,7 @@ from plantroom.functions.columns import argument_table
 from plantroom.operators import staging
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
-from plantroom.sources.shared import shared_folder
+from plantroom.sources.shared import shared_folder, stored
 from plantroom.sources.tables import write_new
 from plantroom.sources.uploads import CsvRows, parse_upload_csv, read_upload_csv
 from plantroom.workspace import Workspace
@@ -137,6 +137,35 @@ def upload_result(fx: Fixtures) -> DataFrame:
     return plain(staging.upload(staged_table(fx), uploaded(fx)).staged)
 
 
+@query(
+    with_views(
+        ["staging_points", "upload_rows"],
+        VERSIONS
+        + """
+  select u.topic as p_topic,
+         case when s.topic is null then 'inserted'
+              when s.equip is not distinct from u.equip and s.status is not distinct from u.status then 'unchanged'
+              else 'changed' end as change
+  from usable u left join v_staging_points s on s.topic = u.topic""",
+    )
+)
+def upload_changes(fx: Fixtures) -> DataFrame:
+    """What an upload inserts, changes and leaves alone; some of it is uploaded as it is staged."""
+    return plain(staging.upload_changes(staged_table(fx), uploaded(fx)))
+
+
+@query(
+    with_views(
+        ["staging_points", "upload_rows"],
+        VERSIONS + " select topic as p_topic, 'unchanged' as change from usable",
+    )
+)
+def upload_again(fx: Fixtures) -> DataFrame:
+    """The same upload a second time changes nothing."""
+    staged = staging.upload(staged_table(fx), uploaded(fx)).staged
+    return plain(staging.upload_changes(stored(staged, "staged"), uploaded(fx)))
+
+
 @query(
     with_views(
         ["upload_rows"],
@@ -412,6 +441,29 @@ def promote_errors_nested(fx: Fixtures) -> DataFrame:
     return staging.promotion_errors(staging.melt_report(response))
 
 
+@query(
+    with_views(
+        ["promotion_report"],
+        f""", errors as (select type, case when topic like '%1' then null else substr(topic, 1, 8) end as topic, error
+                         from v_promotion_report where type <> 'building_id' and not regexp_matches(error, '{BENIGN}')),
+            each as (select type, topic, error, count(*) as times from errors group by type, topic, error)
+            select type, topic, 0 as part, count(*) as n_messages, cast(sum(times) as bigint) as errors,
+                   string_agg(error || ' x' || cast(times as varchar), '; ' order by error) as messages
+            from each group by type, topic""",
+    )
+)
+def promote_errors_by_topic(fx: Fixtures) -> DataFrame:
+    """Lists of messages with their counts for groups of topics, one of them null."""
+    topic = F.when(F.col("topic").like("%1"), None).otherwise(F.substring("topic", 1, 8))
+    errors = staging.promotion_errors(fx.view("promotion_report")).withColumn("topic", topic)
+    texts = F.transform("messages", lambda m: F.concat(m["error"], F.lit(" x"), m["times"].cast("string")))
+    grouped = staging.errors_by_topic(errors, messages_a_row=1 << 20)
+    return grouped.select(
+        "type", "topic", F.col("part").cast("int").alias("part"), F.size("messages").cast("bigint").alias("n_messages"), "errors",
+        F.array_join(texts, "; ").alias("messages"),
+    )
+
+
 @query(
     with_views(
         ["promotion_report"],

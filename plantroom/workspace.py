@@ -25,24 +25,32 @@ class Workspace:
     Everything returned is a lazy DataFrame. Staging operations return the new
     tables instead of overwriting the old ones; :meth:`write_building` writes one
     building's part of them back.
+
+    ``unique_readings`` states that no point has two readings of one time. Wide
+    tables then need no sort of readings (``unique_order``).
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame], unique_readings: bool = False):
         self._tables = dict(tables)
+        self._unique_readings = unique_readings
         self._spark: SparkSession | None = None
         self._root = ""
         self._schemas: dict[str, StructType | str] = {}
 
     @classmethod
     def open(
-        cls, spark: SparkSession, root: str, schemas: Mapping[str, StructType | str] | None = None
+        cls,
+        spark: SparkSession,
+        root: str,
+        schemas: Mapping[str, StructType | str] | None = None,
+        unique_readings: bool = False,
     ) -> "Workspace":
         """Tables are Parquet directories under ``root``, read when first needed.
 
         ``schemas`` states the columns of entities, so that no file is opened to
         find them out; worth it for readings in very many files.
         """
-        workspace = cls({})
+        workspace = cls({}, unique_readings)
         workspace._spark, workspace._root, workspace._schemas = configure(spark), root, dict(schemas or {})
         return workspace
 
@@ -166,6 +174,9 @@ class Workspace:
         unit_type: str = "default",
         **wide,
     ) -> DataFrame:
+        # a statement about the default order only
+        if self._unique_readings and "order_by" not in wide:
+            wide.setdefault("unique_order", True)
         return timeseries.timeseries(
             self.table("readings"), start_time, end_time, point_ids, self._factors(units), unit_type, **wide
         )
@@ -203,6 +214,10 @@ class Workspace:
         read = read_upload_csv(self.table("staging_points").sparkSession, path, schema).kept()
         return staging.upload(self.staged_rows(building), read.rows, read.refused)
 
+    def get_upload_changes(self, building: Buildings, data_to_upload: DataFrame) -> DataFrame:
+        """What an upload of rows with topics would insert, change or leave as it is: (p.topic, change)."""
+        return staging.upload_changes(self.staged_rows(building), data_to_upload)
+
     def promote_data(
         self, building: Buildings, live: DataFrame, data_to_promote: DataFrame | None = None
     ) -> staging.PromotionResult:

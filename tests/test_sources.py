@@ -102,3 +102,35 @@ def test_tables_merge_columns_and_are_never_overwritten(spark, table, tmp_path):
         tables.write_new(table("id int", (1,)), f"{root}/points")
     with pytest.raises(ValueError):
         tables.read_table(spark, root, "secrets")
+
+
+def test_json_of_unknown_shape(spark, table):
+    texts = table(
+        "text string",
+        ('{"a": 1, "b": {"c": "x", "d.e": 2.5}, "l": [1, 2], "o": {}, "n": null}',),
+        ('{"a": "t", "b": {"c": null, "z": true}, "l": ["y", null]}',),
+        ('{"a": {"k": 1}, "big": 12345678901, "m": [{"p": 1}, {"q": "r"}]}',),
+        (None,),
+    )
+    out = documents.flatten_json(texts, "text")
+    assert dict(out.dtypes) == {
+        "a": "string", "b.c": "string", "b.d.e": "double", "b.z": "boolean", "big": "bigint", "l": "array<string>",
+        "m": "array<struct<p:bigint,q:string>>", "n": "string",
+    }
+    found = {r["a"]: r for r in out.collect()}
+    assert (found["1"]["b.c"], found["1"]["b.d.e"], found["1"]["l"]) == ("x", 2.5, ["1", "2"])
+    assert (found["t"]["b.z"], found["t"]["l"]) == (True, ["y", None])
+    assert (found['{"k":1}']["big"], found['{"k":1}']["m"]) == (12345678901, [(1, None), (None, "r")])
+    assert set(found[None]) == {None}
+    stated = documents.flatten_json(texts, "text", documents.variant_schema(texts.selectExpr("parse_json(text) as v"), "v"))
+    assert rows(stated) == rows(out)
+
+
+def test_json_that_is_no_table(spark, table):
+    bad = table("text string", ('{"a": 1}',), ('{"a": ',))
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        documents.flatten_json(bad, "text").collect()
+    assert rows(documents.flatten_json(bad, "text", mode="PERMISSIVE")) == sorted([(1,), (None,)], key=repr)
+    with pytest.raises(ValueError, match="no objects"):
+        documents.flatten_json(table("text string", ("[1, 2]",)), "text")
+    assert documents.flatten_json(bad.where("false"), "text").columns == []

@@ -269,3 +269,33 @@ def test_unpromote_arguments(live, table):
         S.unpromote(*live, listed, "devices")
     with pytest.raises(ValueError, match="e.equipment_id"):
         S.unpromote(*live, table("`p.point_id` bigint", (1,)), "equipment")
+
+
+def test_upload_changes(table):
+    staged = table(
+        "`p.topic` string, `e.equip_id` string, `p.n` int, `p.kept` int",
+        ("same", "A", 1, 5), ("other", "A", 1, 5), ("null", None, None, 5), ("twice", "A", 1, 5), ("twice", "A", 2, 5), (None, "A", 1, 5),
+    )
+    upload = table(
+        "`p.topic` string, `e.equip_id` string, `p.n` int, `p.new` string",
+        ("same", "A", 1, None), ("same", "A", 1, None), ("other", "A", 2, None), ("null", None, None, None), ("twice", "A", 1, None),
+        ("fresh", "B", 3, "x"), ("disputed", "A", 1, None), ("disputed", "A", 2, None), (None, "A", 1, None),
+    )
+    expected = [("fresh", "inserted"), ("null", "unchanged"), ("other", "changed"), ("same", "unchanged"), ("twice", "changed")]
+    assert rows(S.upload_changes(staged, upload)) == expected
+    left = S.changed_rows(staged, upload.where("`p.topic` is not null"))
+    assert rows(left, "`p.topic`") == [("disputed",), ("disputed",), ("fresh",), ("other",), ("twice",)]
+    again = S.upload(staged, upload).staged
+    assert {r["change"] for r in S.upload_changes(again, upload).collect()} == {"unchanged"}
+    assert rows(S.upload(staged, left).staged) == rows(S.upload(staged, upload.where("`p.topic` is not null")).staged)
+
+
+def test_errors_by_topic_in_parts(spark, table):
+    hot = spark.range(5000).selectExpr("'points' as type", "'hot' as topic", "'message ' || cast(id % 700 as string) as error")
+    few = table("type string, topic string, error string", ("points", None, "a"), ("points", None, "a"), ("equipment", "t", None), ("equipment", "t", "b"))
+    out = S.errors_by_topic(hot.unionByName(few), messages_a_row=100).collect()
+    parts = [r for r in out if r["topic"] == "hot"]
+    assert 5 <= len(parts) <= 7 and max(len(r["messages"]) for r in parts) < 160
+    assert sum(r["errors"] for r in parts) == 5000 and len({m["error"] for r in parts for m in r["messages"]}) == 700
+    small = {(r["type"], r["topic"]): (r["part"], [tuple(m) for m in r["messages"]], r["errors"]) for r in out if r["topic"] != "hot"}
+    assert small == {("points", None): (0, [("a", 2)], 2), ("equipment", "t"): (0, [(None, 1), ("b", 1)], 2)}
