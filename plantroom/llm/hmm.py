@@ -294,29 +294,36 @@ def expected_counts(segments: list[np.ndarray], model: tuple[np.ndarray, np.ndar
 
 def rated_counts(segments: list[np.ndarray], model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts, and the log10 likelihood of the segments by the model with their number of tokens."""
-    start, move, emit = model
-    by_symbol = np.ascontiguousarray(emit.T)
+    # single precision within a segment, whose states are scaled at every step; sums in double precision
+    start, move, emit = (x.astype(np.float32) for x in model)
     _, flat, offsets, running = _in_time(segments)
-    states, scales, seen = [], [], []
+    # a row for each state: steps over all segments are steps along memory
+    onward = np.ascontiguousarray(move.T)
+    states, scales, seen, odds = [], [], [], []
     for t, n in enumerate(running):
         seen.append(flat[offsets[:n] + t])
-        state = (states[-1][:n] @ move if t else np.broadcast_to(start, (n, len(start)))) * by_symbol[seen[-1]]
-        scales.append(state.sum(axis=1, keepdims=True))
-        states.append(state / scales[-1])
-    moves = np.zeros_like(move)
+        odds.append(emit.take(seen[-1], axis=1))
+        state = odds[-1] * (onward @ states[-1][:, :n] if t else start[:, None])
+        scales.append(state.sum(axis=0))
+        state /= scales[-1]
+        states.append(state)
+    moves = np.zeros(move.shape)
     after = np.ones_like(states[-1])
     for t in range(len(running) - 1, -1, -1):
         n = running[t]
         if t + 1 < len(running):
             m = running[t + 1]
-            ahead = after * by_symbol[seen[t + 1]] / scales[t + 1]
-            moves += states[t][:m].T @ ahead
-            after = np.ones((n, len(start)))
-            after[:m] = ahead @ move.T
+            ahead = odds[t + 1]
+            ahead *= after
+            ahead /= scales[t + 1]
+            moves += states[t][:, :m] @ ahead.T
+            after = np.ones((len(start), n), dtype=np.float32)
+            np.matmul(move, ahead, out=after[:, :m])
         states[t] *= after
-    emitted = np.stack([np.bincount(np.concatenate(seen), weights=w, minlength=emit.shape[1]) for w in np.concatenate(states).T])
-    rated = np.array([sum(float(np.log10(s).sum()) for s in scales), float(len(flat))])
-    return states[0].sum(axis=0), moves * move, emitted, rated
+    every = np.concatenate(seen)
+    emitted = np.stack([np.bincount(every, weights=w, minlength=emit.shape[1]) for w in np.concatenate(states, axis=1)])
+    rated = np.array([float(np.log10(np.concatenate(scales), dtype=np.float64).sum()), float(len(flat))])
+    return states[0].sum(axis=1, dtype=np.float64), moves * model[1], emitted, rated
 
 
 def estimated(counts: tuple[np.ndarray, np.ndarray, np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
