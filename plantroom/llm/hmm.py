@@ -27,6 +27,8 @@ SYMBOLS = 1 + OWN + BUCKETS
 STATES, SEGMENT = 6, 64
 #: Rounds over the whole corpus end with one that gains less log10 likelihood a token.
 GAIN = 1e-4
+#: By how much steps beyond an estimate grow, and the largest.
+STRETCH, MOST = 1.3, 4.0
 SEED = 5
 #: The token behind the last word; no word has this hash but by chance.
 END = np.uint64(WordHashes()[b"\n"])
@@ -345,13 +347,22 @@ def _starting_model(unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.full(STATES, 1.0 / STATES), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)
 
 
+def _stretched(old: np.ndarray, new: np.ndarray, step: float) -> np.ndarray:
+    """Further from the old probabilities than the new ones, in the same direction, by logarithms."""
+    far = new * (new / old) ** (step - 1.0)
+    return far / far.sum(axis=-1, keepdims=True)
+
+
 def train(encoded: DataFrame, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch over all training documents, from a random model until a round gains less than GAIN a token.
 
-    Every round counts every segment of every training document. It ends: likelihoods do not exceed 1.
+    Every round counts every segment of every training document. After a round that gained, the next model lies beyond
+    its estimate, by a step that grows; a round that shows the likelihood to have fallen goes back to that estimate, and
+    the steps begin anew. It ends: likelihoods do not exceed 1, and plain estimates never fall.
     """
     learned = encoded.where("part = 0 and not held_out").select("symbols")
     model, reached = _starting_model(unigram), -np.inf
+    estimate, step = model, 1.0
     shapes = [(STATES,), (STATES, STATES), (STATES, len(unigram)), (2,)]
 
     def unpacked(blob: bytes) -> list[np.ndarray]:
@@ -397,11 +408,15 @@ def train(encoded: DataFrame, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if not parts:
             return model
         *total, rated = [sum(x) for x in zip(*(unpacked(b) for b in sorted(bytes(r["counts"]) for r in parts)), strict=True)]
-        model = estimated(tuple(total), unigram)
         likelihood = rated[0] / rated[1]
+        if likelihood < reached and step > 1.0:
+            model, step = estimate, 1.0
+            continue
+        estimate = estimated(tuple(total), unigram)
         if likelihood - reached < GAIN:
-            return model
-        reached = likelihood
+            return estimate
+        step, reached = min(STRETCH * step, MOST), likelihood
+        model = tuple(_stretched(old, new, step) for old, new in zip(model, estimate, strict=True))
 
 
 def scored(documents: DataFrame) -> DataFrame:
