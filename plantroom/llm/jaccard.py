@@ -12,7 +12,7 @@ need.
    sizes. Two nodes at a time are walked down; a pair is dropped where the bits allow too little overlap, the sizes lie
    too far apart, or all sets below are connected already.
 3. *Completion.* Sets of different components that share a shingle among their rarest ones, as every linked pair does,
-   and that sizes and parity signatures allow, are verified. So no link between components is lost. Rare comes first by
+   and that places, sizes and parity signatures allow, are verified. So no link between components is lost. Rare comes first by
    counts of all shingles in a table of fixed size: any order keeps the bound, and in this one a passage of many
    documents is among the rarest of few of them.
 """
@@ -34,8 +34,8 @@ from plantroom.llm.words import WordHashes, hashed, mixed_bits, pieces, shingles
 
 #: Orders in which least hashes are taken; sets of a block in one tree; bits of a node's bitmap; children of a node.
 ORDERS, BLOCK, BITS, FANOUT = 2, 1024, 256, 8
-#: Longs of a set's short and long parity signatures: the one travels with shingles, the other with pairs.
-SHORT, LONG = 8, 32
+#: Longs of a set's parity signature, which travels with pairs, not with shingles.
+LONG = 32
 #: Cells of the table that counts shingles; two that share a cell only come later in the order.
 CELLS = 1 << 19
 #: First shingles beyond those of which one must be shared, in per cent of a set.
@@ -301,12 +301,11 @@ def token_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("v"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
                  pa.array([[int(mixed_bits(s ^ np.uint64(k + 1)).min().view(np.int64)) for k in range(ORDERS)] for s in sets], pa.list_(pa.int64())),
-                 pa.array([parity(s, SHORT).tolist() for s in sets], pa.list_(pa.int64())),
                  pa.array([parity(s, LONG).tolist() for s in sets], pa.list_(pa.int64()))],
-                names=["v", "n", "tokens", "least", "short", "long"],
+                names=["v", "n", "tokens", "least", "long"],
             )
 
-    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, short array<long>, long array<long>")
+    made = held.mapInArrow(build_rows, "v binary, n long, tokens binary, least array<long>, long array<long>")
     # a Bloom filter of the wanted texts, however small the documents, keeps most others out of the shuffle
     conf, setting = documents.sparkSession.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = conf.get(setting)
@@ -396,11 +395,11 @@ def _first_ones(sets: DataFrame, percent: int) -> DataFrame:
             rows = pa.array(np.repeat(np.arange(len(first)), [len(f) for f in first]))
             token = np.concatenate(first).view(np.int64) if first else np.empty(0, dtype=np.int64)
             place = np.concatenate([np.arange(len(f)) for f in first]) if first else token
-            columns = [*[batch.column(c).take(rows) for c in ("v", "component", "n", "short")], pa.array(token), pa.array(place)]
-            yield pa.RecordBatch.from_arrays(columns, names=["v", "component", "n", "short", "token", "place"])
+            columns = [*[batch.column(c).take(rows) for c in ("v", "component", "n")], pa.array(token), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "component", "n", "token", "place"])
 
-    schema = "v binary, component binary, n long, short array<long>, token long, place long"
-    return sets.select("v", "component", "n", "short", "tokens").mapInArrow(explode, schema)
+    schema = "v binary, component binary, n long, token long, place long"
+    return sets.select("v", "component", "n", "tokens").mapInArrow(explode, schema)
 
 
 def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -410,7 +409,6 @@ def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFram
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = stored(labelled.join(mixed, "token", "left_semi"), "open")
     a, b = open_rows.alias("a"), open_rows.alias("b")
-    differing = sum((F.bit_count(F.element_at("a.short", i + 1).bitwiseXOR(F.element_at("b.short", i + 1))) for i in range(SHORT)), F.lit(0))
     sizes = F.col("a.n") + F.col("b.n")
     # from the first shingle that two sets share on, both have to hold the least overlap; from later ones on they hold less
     ahead = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
@@ -419,8 +417,7 @@ def remaining_links(sets: DataFrame, known: DataFrame, percent: int) -> DataFram
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.component") < F.col("b.component"))
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-        & ((100 + percent) * ahead >= percent * sizes)
-        & ((100 - percent) * sizes >= (100 + percent) * differing),
+        & ((100 + percent) * ahead >= percent * sizes),
     )
     pairs = stored(pairs.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct(), "pairs")
     # most pairs share a passage and no more: long signatures tell before whole sets are moved

@@ -97,7 +97,7 @@ def test_bounds_hold_for_every_linked_pair():
             first = [set(x[: jaccard.long_prefix(len(x), percent)]) for x in (a, b)]
             assert all(len(first[0] & first[1]) >= jaccard.least_shared(len(x), percent) for x in (a, b))
             assert set(a[: jaccard.prefix_length(len(a), percent)]) & set(b[: jaccard.prefix_length(len(b), percent)])
-            for longs in (jaccard.SHORT, jaccard.LONG):
+            for longs in (4, jaccard.LONG):
                 differ = sum(bin(int(x) & (2**64 - 1)).count("1") for x in jaccard.parity(a, longs) ^ jaccard.parity(b, longs))
                 assert (100 - percent) * (len(a) + len(b)) >= (100 + percent) * differ
             assert jaccard._possible(jaccard.build([a]), jaccard.build([b]), percent)
