@@ -14,6 +14,9 @@ from plantroom.functions.columns import col
 #: Fixed value: an epoch's leading characters that count as seconds.
 EPOCH_DIGITS = 10
 
+#: A clock time without a date, which a cast would take for one of today.
+CLOCK_ONLY = r"^\s*T?[0-9]{1,2}:"
+
 
 def epoch_to_utc(value: Column, dtype: T.DataType) -> Column:
     """Epoch seconds or milliseconds to a UTC timestamp.
@@ -38,10 +41,11 @@ def decode_epochs(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def text_time(value: Column) -> Column:
     """ISO text as a UTC timestamp, read whole: fraction and offset count.
 
-    Null and empty texts are null. Any other text that is no time ends the job,
-    so that no reading vanishes from a range without a word.
+    Null and empty texts are null. Any other text that is no time, or a clock
+    time without a date, ends the job, so that no reading vanishes from a range
+    without a word or moves with the day of the run.
     """
-    parsed = value.try_cast("timestamp")
+    parsed = F.when(~value.rlike(CLOCK_ONLY), value.try_cast("timestamp"))
     refused = F.raise_error(F.concat(F.lit("not a time: "), value)).cast("timestamp")
     return F.when(F.trim(value) == "", F.lit(None).cast("timestamp")).when(
         value.isNotNull() & parsed.isNull(), refused

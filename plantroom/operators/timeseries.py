@@ -7,12 +7,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantroom.functions.columns import argument_table, col, filter_by_ids, require_columns
 from plantroom.functions.timeconv import text_time, to_second, utc_datetime, utc_literal
+from plantroom.sources.shared import stored
 
 Moment = datetime | str | float | int
 
@@ -274,14 +275,7 @@ def timeseries_wide(
             value_type = _first_fit(found)
         if columns is None:
             columns = sorted(row["name"] for row in found)
-    if max_columns is not None and len(columns) > max_columns:
-        raise ValueError(f"more than {max_columns} columns; narrow the selection of points")
-    lowered = [column.lower() for column in columns]
-    if "time" in lowered:
-        raise ValueError("a sensor named 'time' cannot become a column")
-    if len(set(lowered)) < len(columns):
-        alike = sorted(column for column in columns if lowered.count(column.lower()) > 1)
-        raise ValueError(f"names differ in case only: {', '.join(alike)}")
+    _check_names(columns, max_columns, ("time",))
 
     value = col(value_column)
     if is_text:
@@ -294,6 +288,19 @@ def timeseries_wide(
     return _widen(rows, columns, duplicates)
 
 
+def _check_names(columns: Sequence[str], max_columns: int | None, taken: Sequence[str]) -> None:
+    """Refuse names that cannot become columns beside those ``taken``."""
+    if max_columns is not None and len(columns) > max_columns:
+        raise ValueError(f"more than {max_columns} columns; narrow the selection of points")
+    lowered = [column.lower() for column in columns]
+    for name in taken:
+        if name in lowered:
+            raise ValueError(f"a sensor named '{name}' cannot become a column")
+    if len(set(lowered)) < len(columns):
+        alike = sorted(column for column in columns if lowered.count(column.lower()) > 1)
+        raise ValueError(f"names differ in case only: {', '.join(alike)}")
+
+
 def _packed(readings: DataFrame, order_by: Sequence[str]) -> Column | None:
     """All keys as one number in the same order, null first; None if they are no integers or times, or too long.
 
@@ -393,6 +400,83 @@ def timeseries_map(
     return single.groupBy("time").agg(F.map_from_entries(entries).alias("values"))
 
 
+def timeseries_lists(
+    readings: DataFrame,
+    unit_type: str = "default",
+    columns: Sequence[str] | None = None,
+    value_type: str | None = None,
+    names_from: str = "display",
+    order_by: Sequence[str] = ("time", "point_id"),
+    max_length: int = 1000,
+    max_columns: int | None = None,
+) -> DataFrame:
+    """All readings of every second and name: :func:`timeseries_wide` with lists for cells.
+
+    One row per second and ``segment``, counted from 0: the lists of a segment
+    hold up to ``max_length`` values, null ones included, and the segments of a
+    second, one after the other, hold all readings of a name by ``order_by`` (ties
+    by value). A name without readings left in a segment is null there. Nothing is
+    dropped, and no row is longer than ``max_length`` times the columns.
+
+    Values keep their type; ``value_type`` converts them, what does not fit is
+    null. Readings are numbered in sorted ranges, so a second and name that hold
+    most of them are numbered by as many tasks as ranges; the ranges are written
+    to the shared folder when the function is called.
+    """
+    if unit_type not in ("default", "raw"):
+        raise ValueError("unit_type must be 'default' or 'raw'")
+    if value_type is not None and value_type not in VALUE_TYPES:
+        raise ValueError(f"value_type must be one of {', '.join(VALUE_TYPES)}")
+    if max_length < 1:
+        raise ValueError("max_length must be at least 1")
+    value_column = "unit" if unit_type == "default" else "raw"
+    require_columns(readings, ["time", value_column, names_from, *order_by], "readings")
+    name = F.coalesce(col(names_from).cast("string"), F.lit(MISSING_TEXT))
+    if columns is not None:
+        columns = list(dict.fromkeys(columns))
+        readings = readings.where(name.isin(columns))
+    value = col(value_column)
+    if value_type is not None:
+        is_text = isinstance(readings.schema[value_column].dataType, T.StringType)
+        value = as_type(value, value_type) if is_text else value.try_cast(value_type)
+    ranged = _ranged(_cells(readings, name, value, order_by))
+    if columns is None:
+        names = ranged.select("__name").distinct()
+        columns = sorted(row[0] for row in (names if max_columns is None else names.limit(max_columns + 1)).collect())
+    _check_names(columns, max_columns, ("time", "segment"))
+    place = F.col("__ahead") + F.col("__no") - 1
+    entries = F.sort_array(F.collect_list(F.struct(F.col("__place"), F.col("__value"))))
+    lists = (
+        _numbered(ranged)
+        .select("time", "__name", "__value", place.alias("__place"), F.floor(place / max_length).alias("segment"))
+        .groupBy("time", "__name", "segment")
+        .agg(F.transform(entries, lambda entry: entry["__value"]).alias("__list"))
+    )
+    return lists.groupBy("time", "segment").pivot("__name", columns).agg(F.first("__list"))
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """Cells of :func:`_cells` in ranges of time, name and order, written to the shared folder, with the range's number.
+
+    Equal cells are dealt at random, so that a reading repeated without end fills no range alone.
+    """
+    dealt = rows.withColumn("__salt", F.rand(23)).repartitionByRange("time", "__name", "__cell", "__salt")
+    return stored(dealt.drop("__salt").withColumn("__range", F.spark_partition_id()), "ranges")
+
+
+def _numbered(ranged: DataFrame) -> DataFrame:
+    """Adds to each cell its number ``__no`` within its range and how many of its second and name stand ``__ahead`` of it."""
+    group = ["time", "__name", "__range"]
+    earlier = Window.partitionBy("time", "__name").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = ranged.groupBy(group).agg(F.count(F.lit(1)).alias("__held"))
+    ahead = ahead.select(
+        *[F.col(key).alias(f"{key}_") for key in group], F.coalesce(F.sum("__held").over(earlier), F.lit(0)).alias("__ahead")
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"{key}_")) for key in group]
+    numbered = ranged.withColumn("__no", F.row_number().over(Window.partitionBy(group).orderBy("__cell")))
+    return numbered.join(ahead, same).select("time", "__name", "__value", "__no", "__ahead")
+
+
 def _kept(rows: DataFrame, duplicates: str, here: Column | None = None) -> Column:
     """Aggregate that picks the value of a cell, from the rows that are ``here``."""
     cell, value = (F.col(c) if here is None else F.when(here, F.col(c)) for c in ("__cell", "__value"))

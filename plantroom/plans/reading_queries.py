@@ -13,6 +13,7 @@ from plantroom.operators import timeseries
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
 from plantroom.sources.documents import parse_json
+from plantroom.sources.layout import read_readings, write_readings
 from plantroom.sources.shared import shared_folder
 from plantroom.sources.tables import read_table
 
@@ -86,6 +87,24 @@ def ts_raw_of_points(fx: Fixtures) -> DataFrame:
     return found.select(*timeseries.READING_COLUMNS)
 
 
+@query(
+    with_views(
+        ["readings", "points"],
+        """select time, raw, unit, point_id, topic, display from v_readings
+           where time >= timestamp '2024-01-08 00:00:00' and time < timestamp '2024-01-15 00:00:00'
+             and point_id in (select id from v_points where type = '1-URGENT')""",
+    )
+)
+def ts_raw_laid_out(fx: Fixtures) -> DataFrame:
+    """A week of some points, from readings written by day and point."""
+    readings, path = fx.view("readings"), f"{shared_folder(fx.spark)}/laid-out-{uuid.uuid4().hex}"
+    write_readings(readings, path)
+    ids = fx.view("points").where("type = '1-URGENT'").select("id")
+    laid_out = read_readings(fx.spark, path, readings.schema)
+    found = timeseries.timeseries_raw(laid_out, WEEK_START, WEEK_END, ids, date_column="date")
+    return found.select(*timeseries.READING_COLUMNS)
+
+
 def packed_blocks(fx: Fixtures, quality: bool = False) -> DataFrame:
     """Readings as nested blocks: old ones with a ``clean`` entry, some empty, one or two readings each.
 
@@ -242,6 +261,28 @@ def ts_wide_mean(fx: Fixtures) -> DataFrame:
     return timeseries.timeseries_wide(fx.view("meter_readings"), "raw", duplicates="mean")
 
 
+@query(
+    with_views(
+        ["meter_readings"],
+        """, placed as (
+               select date_trunc('second', time) as time, display as name, raw as value,
+                      row_number() over (partition by date_trunc('second', time), display
+                                         order by time, reading_id) - 1 as place
+               from v_meter_readings)
+           select time, name, cast(floor(place / 50) as bigint) as segment, cast(place % 50 as int) as place, value
+           from placed""",
+    )
+)
+def ts_wide_lists(fx: Fixtures) -> DataFrame:
+    """All readings of crowded cells, in lists of 50; their entries are shown one by one."""
+    wide = timeseries.timeseries_lists(
+        fx.view("meter_readings"), "raw", order_by=["time", "reading_id"], max_length=50
+    )
+    lists = F.create_map(*[part for name in METERS for part in (F.lit(name), F.col(name))])
+    cells = wide.select("time", "segment", F.explode(lists).alias("name", "list"))
+    return cells.select("time", "segment", "name", F.posexplode("list").alias("place", "value"))
+
+
 MANY = tuple(f"m{no}" for no in range(64))
 
 

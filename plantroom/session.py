@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     # Split hot keys even where two joins share a partitioning and that costs a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The default form of timestamps has no bounds in Parquet, so ranges of time would skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

@@ -19,6 +19,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def small_partitions(spark):
+    """Partitions too small for their number are kept apart, as those of a large table are."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
 @pytest.fixture
 def table(spark):
     """A small literal table."""

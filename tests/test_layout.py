@@ -1,0 +1,90 @@
+"""Readings laid out by day and point: what a narrow query reads."""
+
+import os
+from datetime import datetime
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import rows
+from pyspark.sql import types as T
+
+from plantroom.operators.timeseries import timeseries_raw
+from plantroom.sources.layout import read_readings, write_readings
+
+
+def days(path):
+    return {os.path.basename(d): [os.path.join(d, f) for f in names if f.endswith(".parquet")] for d, _, names in os.walk(path) if "date=" in d}
+
+
+def read_by_scan(df):
+    """Rows that leave the Parquet scan, before any filter."""
+    jdf = df._jdf
+    jdf.queryExecution().executedPlan().executeCollect()
+    plan, found = jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return sum(found)
+
+
+@pytest.fixture
+def laid_out(spark, tmp_path, small_partitions):
+    """Three days of 2,000 points (even ids); point 40 has a third of all readings."""
+    readings = spark.range(120_000).selectExpr(
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 2) as time",
+        "cast(id as double) as raw", "case when id % 3 = 0 then 40 else (id * 7919) % 2000 * 2 end as point_id",
+    ).repartition(4)
+    path = f"{tmp_path}/readings"
+    write_readings(readings, path, row_group_bytes=64 << 10)
+    return readings, path
+
+
+def test_one_point_and_hour_reads_few_rows(spark, laid_out):
+    readings, path = laid_out
+    back = read_readings(spark, path, readings.schema)
+    assert rows(back.drop("date")) == rows(readings)
+    for point in (40, 1998):
+        found = timeseries_raw(back, "2024-01-02T03:00:00Z", "2024-01-02T04:00:00Z", [point], date_column="date")
+        assert rows(found.drop("date")) == rows(timeseries_raw(readings, "2024-01-02T03:00:00Z", "2024-01-02T04:00:00Z", [point]))
+        assert found.inputFiles() and read_by_scan(found) < 0.1 * 120_000
+
+
+def test_points_that_are_not_there_are_known_from_filters(spark, laid_out):
+    readings, path = laid_out
+    back = read_readings(spark, path, readings.schema)
+    # 1001 stands within the bounds of row groups, but no id is odd
+    assert read_by_scan(back.where("point_id = 1001")) <= 2000 < back.where("point_id between 900 and 1100").count()
+
+
+def test_a_hot_point_is_in_several_files(laid_out):
+    _, path = laid_out
+    holders = 0
+    for files in days(path).values():
+        for file in files:
+            meta = pq.ParquetFile(file).metadata
+            at = [meta.schema.column(i).name for i in range(meta.num_columns)].index("point_id")
+            stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+            holders += any(s.min <= 40 <= s.max for s in stats)
+    assert len(days(path)) == 3 and holders > 3
+
+
+def test_times_without_zone_texts_nulls_and_nothing(spark, table, tmp_path):
+    for no, (kind, late) in enumerate([("timestamp_ntz", datetime(1969, 12, 31, 23, 59, 59)), ("string", "1970-01-01T00:30:00+01:00")]):
+        path = f"{tmp_path}/r{no}"
+        readings = table(f"time {kind}, point_id bigint, extra int", (late, 1, 5), (late, 1, 5), (None, 2, 6), (late, None, None))
+        write_readings(readings, path, date_column="day")
+        assert sorted(os.listdir(path))[-2:] == ["day=1969-12-31", "day=__HIVE_DEFAULT_PARTITION__"]
+        back = read_readings(spark, path, readings.schema, "day")
+        assert rows(back.drop("day")) == rows(readings)
+        assert timeseries_raw(back, "1969-12-31T00:00:00Z", "1970-01-01T00:00:00Z", None, date_column="day").count() == 3
+    schema = T.StructType.fromDDL("time timestamp, point_id bigint")
+    write_readings(spark.createDataFrame([], schema), f"{tmp_path}/none")
+    assert read_readings(spark, f"{tmp_path}/none", schema).count() == 0
+    with pytest.raises(ValueError, match="already have"):
+        write_readings(table("time timestamp, point_id int, Date int"), f"{tmp_path}/clash")
