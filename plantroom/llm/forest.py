@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantroom.llm.shared import stored
+
 #: Trees, and signs in a tree's string.
 TREES, BITS = 48, 24
 #: A query ascends until its ranges hold this multiple of the block's rows, a row counted once for each tree.
@@ -24,7 +26,7 @@ REACH = 0.7
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 4096
 SEED = 11
 
-_PAIRS = "query_id long, vec_id long, score double"
+_PAIRS = "query_id long, query_row long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -88,22 +90,24 @@ class Forest:
         return np.flatnonzero(found)
 
 
-def _best(query_ids, queries, ids, vectors, longest: float, k: int, reach: float):
-    """The k best candidates of each query in one block."""
+def _best(query_rows, queries, rows, ids, vectors, longest: float, k: int, reach: float):
+    """The k best candidates of each query in one block, ties to the smaller id, as places in the block."""
     forest = Forest(vectors, longest)
     low, high = forest.ranges(hash_strings(queries, np.zeros(len(queries))), max(reach * len(ids), 2.0 * k * TREES))
-    for i, query_id in enumerate(query_ids):
+    # what the order of additions can change in a product, for these dimensions and lengths
+    rounding = 4 * np.finfo(float).eps * vectors.shape[1] * longest * np.sqrt((queries * queries).sum(axis=1))
+    for i, row in enumerate(query_rows):
         found = forest.candidates(low[i], high[i])
-        found = found[ids[found] != query_id]
+        found = found[rows[found] != row]
         scores = vectors[found] @ queries[i]
         if len(found) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near = scores >= least - 1e-9
+            near = scores >= least - rounding[i]
             found, scores = found[near], scores[near]
         # exactly the measure, whatever the order of additions of a product of matrices
         scores = np.array([np.sum(vectors[j] * queries[i]) for j in found]) if len(found) else scores
         top = np.lexsort((ids[found], -scores))[:k]
-        yield query_id, ids[found][top], scores[top]
+        yield i, found[top], scores[top]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -116,56 +120,69 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, reach: float = REA
     """The k nearest rows of each row whose id is divisible by `every`, among all other rows, by inner product.
 
     Returns query_id, rank (from 1), vec_id, score (inner product of the original vectors in double precision), ties
-    to the smaller vec_id. Rows as in `usable`; vectors of another length than the longest of the table take no part;
-    repeated ids are rows of their own. With fewer than k other rows, all are returned; an empty table gives no rows.
+    to the smaller vec_id. Rows as in `usable`. Vectors of several lengths are several tables: a query meets those of
+    its own length, because no other has an inner product with it. Repeated ids are rows of their own: each queries by
+    itself, and its twin is a candidate. With fewer than k other rows, all are returned; an empty table gives no rows.
+
+    Usable rows are numbered and written to the shared folder. The driver gets one row for each length of vectors.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors)
-    stats = rows.agg(
-        F.count("*").alias("n"),
-        F.max(F.size("embedding")).alias("dims"),
-        F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("square"),
-        F.count(F.when(F.pmod("vec_id", F.lit(every)) == 0, 1)).alias("queries"),
-    ).first()
-    if not stats["n"] or not stats["queries"]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    longest = float(stats["square"]) ** 0.5
-    row_blocks = -(-stats["n"] // BLOCK_ROWS)
-    query_blocks = -(-stats["queries"] // BLOCK_QUERIES)
-    rows = rows.where(F.size("embedding") == stats["dims"])
-    # blocks by a hash of id and vector: repeated ids or vectors spread as their rows do, and sizes stay even
-    spread = F.xxhash64("vec_id", "embedding")
-    index = rows.select(
-        F.pmod(spread, F.lit(row_blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("part"),
-        F.lit(False).alias("query"),
-        "vec_id",
-        "embedding",
+    rows = stored(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    asked = F.pmod("vec_id", F.lit(every)) == 0
+    lengths = (
+        rows.groupBy(F.size("embedding").alias("dims"))
+        .agg(
+            F.count("*").alias("n"),
+            F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("square"),
+            F.count(F.when(asked, 1)).alias("queries"),
+        )
+        .where("queries > 0")
+        .collect()
     )
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("block"),
-        F.pmod(spread, F.lit(query_blocks)).cast("int").alias("part"),
-        F.lit(True).alias("query"),
-        "vec_id",
-        "embedding",
+    if not lengths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    longest = {r["dims"]: float(r["square"]) ** 0.5 for r in lengths}
+    blocks = spark.createDataFrame(
+        [(r["dims"], -(-r["n"] // BLOCK_ROWS), -(-r["queries"] // BLOCK_QUERIES)) for r in lengths],
+        "dims int, row_blocks int, query_blocks int",
     )
+    # one row for each length, and the vectors of n lengths hold n * n / 2 numbers at least: this stays small
+    sized = rows.withColumn("dims", F.size("embedding")).join(F.broadcast(blocks), "dims")
+    # blocks by the row's number: repeated ids or vectors spread as all rows do, and sizes stay even
+    spread = F.xxhash64("row")
+
+    def dealt(rows: DataFrame, block, part, query: bool) -> DataFrame:
+        return rows.select("dims", block.alias("block"), part.alias("part"), F.lit(query).alias("query"), "row", "vec_id", "embedding")
+
+    def all_of(number: str):
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+    def one_of(number: str):
+        return F.pmod(spread, F.col(number)).cast("int")
+
+    index = dealt(sized, one_of("row_blocks"), all_of("query_blocks"), False)
+    queries = dealt(sized.where(asked), all_of("row_blocks"), one_of("query_blocks"), True)
 
     def search(table: pa.Table) -> pa.Table:
         asked = table.column("query").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("vec_id").to_numpy()
+        ids, numbers = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
         matrix = _matrix(table.column("embedding"))
-        found: tuple[list, list, list] = ([], [], [])
+        found: tuple[list, list, list, list] = ([], [], [], [])
         if asked.any() and not asked.all():
-            order = np.argsort(ids[~asked], kind="stable")
-            for query_id, best, scores in _best(ids[asked], matrix[asked], ids[~asked][order], matrix[~asked][order], longest, k, reach):
-                found[0].append(np.full(len(best), query_id))
-                found[1].append(best)
-                found[2].append(scores)
-        flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in zip(found, (np.int64, np.int64, np.float64), strict=True)]
-        return pa.table(flat, names=["query_id", "vec_id", "score"])
-
-    found = index.unionByName(queries).groupBy("block", "part").applyInArrow(search, _PAIRS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            order = np.flatnonzero(~asked)[np.argsort(ids[~asked], kind="stable")]
+            for i, best, scores in _best(
+                numbers[asked], matrix[asked], numbers[order], ids[order], matrix[order], longest[matrix.shape[1]], k, reach
+            ):
+                found[0].append(np.full(len(best), ids[asked][i]))
+                found[1].append(np.full(len(best), numbers[asked][i]))
+                found[2].append(ids[order][best])
+                found[3].append(scores)
+        types = (np.int64, np.int64, np.int64, np.float64)
+        flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in zip(found, types, strict=True)]
+        return pa.table(flat, names=["query_id", "query_row", "vec_id", "score"])
+
+    found = index.unionByName(queries).groupBy("dims", "block", "part").applyInArrow(search, _PAIRS)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )

@@ -116,35 +116,41 @@ def mixed(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
     Running sums are taken within 4,096 ranges of the digest for each leaf, so that a leaf with most of the corpus is
     no single task.
     """
-    return _drawn(documents, mix or Mix()).drop("text_key")
+    return _drawn(stored(documents.select(*_skinny()), "mix"), mix or Mix()).drop("text_key", "number")
 
 
 def selected(documents: DataFrame, mix: Mix | None = None) -> DataFrame:
     """The documents that are used at all, whole, with all their columns and domain, n_tokens, epochs, part_tokens.
 
-    Rows that agree in doc_id and text are told apart no further.
+    Rows are numbered and written to the shared folder once, so equal rows keep apart: each has numbers of its own,
+    and the tokens of the result add up to the budget as in `mixed`. Columns of documents that have the name of an
+    added one are replaced.
     """
-    used = _drawn(documents, mix or Mix()).where("taken > 0").select("doc_id", "text_key", "domain", "n_tokens", "epochs", "part_tokens")
-    names = [c for c in documents.columns if c not in ("domain", "n_tokens", "epochs", "part_tokens")]
-    used = used.withColumnsRenamed({"doc_id": "_mix_id", "text_key": "_mix_key"}).dropDuplicates(["_mix_id", "_mix_key"])
-    rows = documents.select(*names).withColumn("_row_key", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(used["_mix_id"]) & (rows["_row_key"] == used["_mix_key"])
-    return rows.join(used, same).select(*names, "domain", "n_tokens", "epochs", "part_tokens")
+    added = ("domain", "n_tokens", "epochs", "part_tokens")
+    names = [c for c in documents.columns if c not in added]
+    whole = F.struct(*names).alias("whole")
+    rows = stored(documents.select(*_skinny(), F.monotonically_increasing_id().alias("number"), whole), "mix")
+    used = _drawn(rows.drop("whole"), mix or Mix()).where("taken > 0").select("number", *added)
+    return rows.select("number", "whole").join(used, "number").select("whole.*", *added)
 
 
-def _drawn(documents: DataFrame, mix: Mix) -> DataFrame:
+def _skinny() -> list[Column]:
+    """What the draw needs of a document."""
     source = F.coalesce("source", F.lit(""))
-    skinny = stored(
-        documents.select(
-            "doc_id",
-            domain_of(source).alias("domain"),
-            F.coalesce("lang", F.lit("")).alias("lang"),
-            source.alias("source"),
-            count_tokens(F.col("text")).alias("n_tokens"),
-            F.xxhash64("text").alias("text_key"),
-        ),
-        "mix",
-    )
+    return [
+        F.col("doc_id"),
+        domain_of(source).alias("domain"),
+        F.coalesce("lang", F.lit("")).alias("lang"),
+        source.alias("source"),
+        count_tokens(F.col("text")).alias("n_tokens"),
+        F.xxhash64("text").alias("text_key"),
+    ]
+
+
+def _drawn(skinny: DataFrame, mix: Mix) -> DataFrame:
+    """`mixed` of stored rows of `_skinny`, with their `number` if they have one."""
+    if "number" not in skinny.columns:
+        skinny = skinny.withColumn("number", F.lit(0))
     leaves = skinny.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     budgets = leaf_budgets(leaves, mix).select(
         *LEVELS,
@@ -167,7 +173,7 @@ def _drawn(documents: DataFrame, mix: Mix) -> DataFrame:
         )
         .drop("held")
     )
-    within = Window.partitionBy(*LEVELS, "range").orderBy("draw", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*LEVELS, "range").orderBy("draw", "doc_id", "n_tokens", "text_key", "number").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("offset") + F.col("ahead")
     return (
         drawn.withColumn("ahead", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
@@ -175,6 +181,6 @@ def _drawn(documents: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("part_tokens", F.least(F.col("n_tokens"), F.greatest(F.col("rest") - before, F.lit(0))))
         .select(
             "doc_id", *LEVELS, "n_tokens", F.col("epochs").cast("long").alias("epochs"), F.col("part_tokens").cast("long").alias("part_tokens"),
-            (F.col("epochs") * F.col("n_tokens") + F.col("part_tokens")).cast("long").alias("taken"), "text_key",
+            (F.col("epochs") * F.col("n_tokens") + F.col("part_tokens")).cast("long").alias("taken"), "text_key", "number",
         )
     )

@@ -65,6 +65,51 @@ def test_equal_vectors_and_few_candidates(spark):
     assert [(r["vec_id"], r["score"]) for r in sorted(few, key=lambda r: r["rank"])] == [(5, 0.0), (7, 0.0)]
 
 
+def test_repeated_ids_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(forest, "BLOCK_QUERIES", 2)
+    rng = np.random.default_rng(9)
+    ids = [0, 0, 20, 20, 20, *range(1, 56)]
+    vectors = rng.standard_normal((60, 6))
+    vectors[1] = vectors[0]
+    found = forest.nearest(table(spark, ids, vectors.astype(np.float32).astype(float)), k=10, reach=forest.TREES).collect()
+    exact = vectors.astype(np.float32).astype(float)
+    expected = []
+    for q, i in enumerate(ids):
+        if i % 20 == 0:
+            scores = [float(np.sum(exact[j] * exact[q])) for j in range(60)]
+            best = sorted((j for j in range(60) if j != q), key=lambda j: (-scores[j], ids[j]))[:10]
+            expected += [(i, rank, ids[j], scores[j]) for rank, j in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+    assert sum(q == 0 for q, *_ in expected) == 20 and any(q == j == 0 for q, _, j, _ in expected)
+
+
+def test_vectors_of_several_lengths_are_several_tables(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(3 if i % 3 else 5)]) for i in range(200)] + [(999, [1.0] * 7)]
+    found = forest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5, reach=forest.TREES).collect()
+    by_query = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        by_query.setdefault(r["query_id"], []).append(r["vec_id"])
+    vectors = dict(rows)
+    for q, v in rows:
+        if q % 20 == 0:
+            same = [j for j, w in rows if j != q and len(w) == len(v)]
+            assert by_query.pop(q) == sorted(same, key=lambda j: (-float(np.sum(np.multiply(vectors[j], v))), j))[:5]
+    assert not by_query
+
+
+def test_close_scores_of_long_vectors(spark):
+    """Products as large as 1e12 whose last digits differ by the order of additions."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(64) * 1e6
+    vectors = np.array([np.concatenate([np.roll(base[:32], i % 7), base[32:]]) for i in range(300)])
+    queries = np.ones((1, 64)) * 1e6
+    truth = [float(np.sum(v * queries[0])) for v in vectors]
+    got = next(forest._best(np.array([-1]), queries, np.arange(300), np.arange(300), vectors, np.linalg.norm(vectors, axis=1).max(), 20, forest.TREES))
+    assert list(got[1]) == sorted(range(300), key=lambda j: (-truth[j], j))[:20]
+
+
 @pytest.mark.parametrize("bad", [None, [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [], [1.0]])
 def test_rows_that_take_no_part(spark, bad):
     rows = [(0, [1.0, 0.0]), (20, bad), (3, [0.5, 0.5]), (None, [1.0, 1.0])]

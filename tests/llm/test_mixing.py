@@ -93,6 +93,17 @@ def test_selected_documents_keep_their_columns(spark):
     assert mixing.mixed(docs.where("false")).collect() == [] and mixing.selected(docs.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("budget", [6, 9, 10])
+def test_equal_rows_have_numbers_of_their_own(spark, budget):
+    docs = spark.createDataFrame([(5, "a b c", "en", "s", 9)] * 4, "doc_id long, text string, lang string, source string, Number int")
+    mix = mixing.Mix(share=(budget, 12), max_epochs=1)
+    taken = sorted(r["taken"] for r in mixing.mixed(docs, mix).collect())
+    used = mixing.selected(docs, mix).collect()
+    assert sum(taken) == budget
+    assert sorted(r["epochs"] * r["n_tokens"] + r["part_tokens"] for r in used) == [t for t in taken if t]
+    assert all((r["doc_id"], r["text"], r["Number"]) == (5, "a b c", 9) for r in used)
+
+
 def test_the_seed_changes_the_draw_only(spark):
     docs, _ = documents(spark)
     one, two = ([(r["doc_id"], r["taken"]) for r in mixing.mixed(docs, mixing.Mix(seed=s)).collect()] for s in (1, 2))
