@@ -181,6 +181,20 @@ class Workspace:
             self.table("readings"), start_time, end_time, point_ids, self._factors(units), unit_type, **wide
         )
 
+    def get_timeseries_lists(
+        self,
+        start_time: Moment,
+        end_time: Moment,
+        point_ids: Iterable | DataFrame | int,
+        units: Mapping[str, str] | DataFrame | None = None,
+        unit_type: str = "default",
+        date_column: str | None = None,
+        **lists,
+    ) -> DataFrame:
+        """All readings of every second and name, in lists of bounded length; see :func:`timeseries.timeseries_lists`."""
+        raw = self.get_timeseries_raw(start_time, end_time, point_ids, units, date_column)
+        return timeseries.timeseries_lists(raw, unit_type, **lists)
+
     # staging
 
     def get_staging_equip(self, building_id: int) -> DataFrame:

@@ -94,6 +94,8 @@ def test_selection_metadata_and_time_series(site):
     assert rows(wide, "sat", "ssp") == sorted([(274.0, 2.0), (276.0, None)], key=repr)
     four_hours = site.get_timeseries("2024-01-01", "2024-01-01T04:00:00", selection.points, unit_type="raw")
     assert rows(four_hours, "sat", "ssp") == [(1.0, 2.0)]
+    lists = site.get_timeseries_lists(*six_hours, selection.points, {"temperature": "k"})
+    assert rows(lists, "segment", "sat", "ssp") == sorted([(0, [274.0], [2.0]), (0, [276.0], None)], key=repr)
 
 
 def test_metadata_by_id_and_name(site):
