@@ -39,7 +39,7 @@ RENAMED_COLUMNS = {
 STATE_TEXT = "state_text"
 
 
-def _with_parent_name(equipment: DataFrame) -> DataFrame:
+def with_parent_name(equipment: DataFrame) -> DataFrame:
     """Add ``parent``, the name of the equipment ``parent_equip`` points to.
 
     Done before points are joined, so that the lookup moves equipment rows only.
@@ -71,11 +71,15 @@ def assemble_metadata(equipment: DataFrame, points: DataFrame, broadcast: bool =
         "points",
     )
     left = prefix_columns(points.withColumn("equip_id", id_column(points, "equip_id")), "p.")
-    named = _with_parent_name(equipment.withColumn("id", id_column(equipment, "id")))
+    named = with_parent_name(equipment.withColumn("id", id_column(equipment, "id")))
     short = broadcast and likely_small(equipment, 2)
     right = prefix_columns(named, "e.")
     # The surviving key column carries the points' name; it is the equipment's id.
-    rows = full_join(left, right, "p.equip_id", "e.id", broadcast_right=short).withColumnRenamed("p.equip_id", "e.id")
+    return cleaned(full_join(left, right, "p.equip_id", "e.id", broadcast_right=short).withColumnRenamed("p.equip_id", "e.id"))
+
+
+def cleaned(rows: DataFrame) -> DataFrame:
+    """Prefixed rows of points and equipment with the names, times and state texts of the metadata table."""
     rows = rows.withColumn(
         "p.tagged_units", F.coalesce(col("p.tagged_units").cast("string"), col("p.units"))
     ).withColumnsRenamed(RENAMED_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from decimal import Decimal
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,9 @@ from plantroom.functions.columns import argument_table, col, filter_by_ids, requ
 from plantroom.functions.timeconv import text_time, to_second, utc_datetime, utc_literal
 from plantroom.sources.shared import stored
 
+if TYPE_CHECKING:
+    from plantroom.operators.profiles import Profile
+
 Moment = datetime | str | float | int
 
 #: Schema of nested reading blocks; numbers, texts and nulls all arrive as text or null.
@@ -185,18 +189,18 @@ def _double(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
 
 
-def type_profile(text: Column) -> dict[str, Column]:
-    """Aggregates telling which types all present texts of a column fit."""
+def type_profile(text: Column, whole: bool = True) -> dict[str, Column]:
+    """Aggregates telling which types all present texts of a column fit; not ``whole``: what each fits, null if missing."""
     present = _present(text)
     fits = {
         "boolean": present.isin(TRUE_TEXTS + FALSE_TEXTS),
         "int": _int(present).isNotNull(),
         "double": present.rlike(NUMBER_TEXT),
     }
-    return {
-        value_type: F.coalesce(F.bool_and(F.when(present.isNotNull(), fit)), F.lit(True))
-        for value_type, fit in fits.items()
-    }
+    fits = {value_type: F.when(present.isNotNull(), fit) for value_type, fit in fits.items()}
+    if not whole:
+        return fits
+    return {value_type: F.coalesce(F.bool_and(fit), F.lit(True)) for value_type, fit in fits.items()}
 
 
 def as_type(text: Column, value_type: str) -> Column:
@@ -212,10 +216,11 @@ def as_type(text: Column, value_type: str) -> Column:
 def infer_value_type(df: DataFrame, column: str) -> str:
     """The first of boolean, int, double, string that fits the whole text column."""
     fits = df.agg(*[flag.alias(name) for name, flag in type_profile(col(column)).items()]).first()
-    return _first_fit([fits.asDict()])
+    return first_fit([fits.asDict()])
 
 
-def _first_fit(profiles: list[dict]) -> str:
+def first_fit(profiles: list[dict]) -> str:
+    """The first type that all profiles fit."""
     for value_type in ("boolean", "int", "double"):
         if all(profile[value_type] for profile in profiles):
             return value_type
@@ -232,6 +237,7 @@ def timeseries_wide(
     order_by: Sequence[str] = ("time", "point_id"),
     max_columns: int | None = None,
     unique_order: bool = False,
+    profile: Profile | None = None,
 ) -> DataFrame:
     """One row per second, one column per ``names_from`` value, null where nothing was read.
 
@@ -245,7 +251,10 @@ def timeseries_wide(
 
     Without ``columns`` the names are collected first, in the same job that
     finds the type. Pass ``columns`` and ``value_type`` to start no job at all;
-    readings with other names are then left out. Names pass through the driver
+    readings with other names are then left out. A ``profile`` of the stored
+    readings (:func:`plantroom.operators.profiles.write_profiled`) starts none
+    either: a table made from part of them has the columns and the type of all,
+    with nulls where the part has nothing. Names pass through the driver
     and every row holds all columns: ``max_columns`` refuses more, and
     :func:`timeseries_map` needs no column per name. Names that differ in case
     only are refused, because Spark could select neither.
@@ -261,10 +270,16 @@ def timeseries_wide(
 
     name = F.coalesce(col(names_from).cast("string"), F.lit(MISSING_TEXT))
     is_text = isinstance(readings.schema[value_column].dataType, T.StringType)
-    infer = is_text and value_type is None
     if columns is not None:
         columns = list(dict.fromkeys(columns))
         readings = readings.where(name.isin(columns))
+    if profile is not None:
+        if profile.names_from != names_from:
+            raise ValueError(f"the profile is of names from '{profile.names_from}'")
+        columns = list(profile.names) if columns is None else columns
+        if is_text and value_type is None:
+            value_type = profile.value_type(value_column, columns)
+    infer = is_text and value_type is None
     if columns is None or infer:
         flags = type_profile(col(value_column)) if infer else {}
         profiled = readings.groupBy(name.alias("name")).agg(
@@ -272,7 +287,7 @@ def timeseries_wide(
         )
         found = [row.asDict() for row in (profiled if max_columns is None else profiled.limit(max_columns + 1)).collect()]
         if infer:
-            value_type = _first_fit(found)
+            value_type = first_fit(found)
         if columns is None:
             columns = sorted(row["name"] for row in found)
     _check_names(columns, max_columns, ("time",))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantroom.operators import metadata, selection
+from plantroom.operators import bucketed, metadata, selection
 from plantroom.plans.catalog_queries import EPOCH
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
+from plantroom.sources.shared import shared_folder
 
 MOMENT = "2020-09-14 00:00:00"
 
@@ -144,11 +147,11 @@ def raw_points(fx: Fixtures) -> DataFrame:
     return fx.view("points").withColumnsRenamed({"state_off": "state_text.0", "state_on": "state_text.1"})
 
 
-def _metadata_sql(equipment: str, points: str) -> str:
-    """Rows of points and equipment (two subqueries) as one table."""
+def _metadata_sql(equipment: str, points: str, parents: str | None = None) -> str:
+    """Rows of points and equipment (two subqueries) as one table, parents among that equipment or ``parents``."""
     return f"""
   , e as (select c.*, parent.equip_id as parent
-          from ({equipment}) c left join ({equipment}) parent on parent.id = c.parent_equip),
+          from ({equipment}) c left join ({parents or equipment}) parent on parent.id = c.parent_equip),
   p as ({points})
   select e.building_id as building_id, e.equip_id as e_equip_id, e.equip_type_tag as e_equip_type,
          coalesce(e.id, p.equip_id) as e_equipment_id, e.parent as e_parent, e.rating as e_rating,
@@ -194,3 +197,32 @@ def metadata_by_building(fx: Fixtures) -> DataFrame:
 def metadata_by_selection(fx: Fixtures) -> DataFrame:
     chosen = selection.select_points(CRITERIA, fx.view("points"), fx.view("equipment"), fx.view("buildings"))
     return plain(metadata.metadata_by_selection(chosen, raw_equipment(fx), raw_points(fx)))
+
+
+def _bucketed(fx: Fixtures) -> bucketed.BucketedTables:
+    """Sixteen buckets: a third of the points is more than five of them hold."""
+    root = f"{shared_folder(fx.spark)}/bucketed-{uuid.uuid4().hex}"
+    return bucketed.keep_bucketed(raw_equipment(fx), raw_points(fx), root, 16)
+
+
+@query(
+    with_views(["equipment", "points"], _metadata_sql("select * from v_equipment", "select * from v_points"))
+)
+def metadata_bucketed(fx: Fixtures) -> DataFrame:
+    """Points and equipment in buckets, joined without a shuffle."""
+    return plain(bucketed.metadata_bucketed(_bucketed(fx)))
+
+
+@query(
+    with_views(
+        ["equipment", "points"],
+        _metadata_sql(
+            "select * from v_equipment where building_id in (0, 2, 5)",
+            "select * from v_points where building_id in (0, 2, 5)",
+            "select * from v_equipment",
+        ),
+    )
+)
+def metadata_bucketed_buildings(fx: Fixtures) -> DataFrame:
+    """Three buildings of the bucketed tables; the busiest equipment stands in another."""
+    return plain(bucketed.metadata_bucketed(_bucketed(fx), [0, 2, 5]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plantroom.functions.columns import argument_table
 from plantroom.operators import timeseries
+from plantroom.operators.profiles import read_profile, write_profiled
 from plantroom.plans.fixtures import Fixtures, with_views
 from plantroom.plans.registry import plain, query
 from plantroom.sources.documents import parse_json
@@ -193,25 +194,35 @@ def ts_blocks_json(fx: Fixtures) -> DataFrame:
     return _typed(timeseries.unpack_blocks(parsed))
 
 
-@query(
-    with_views(
-        ["readings"],
-        f""", long as ({BLOCKS_SQL}),
-             kept as (select date_trunc('second', time) as second, display, unit as cell,
-                             row_number() over (partition by date_trunc('second', time), display
-                                                order by time, point_id, unit nulls first) as no
-                      from long where time >= timestamp '2024-01-08 00:00:00' and time < timestamp '2024-01-22 00:00:00')
-             select second as time, """
-        + ", ".join(f"max(case when display = '{name}' then cell end) as \"{name}\"" for name in KINDS)
-        + " from kept where no = 1 group by second",
-    )
+TWO_WEEKS_SQL = with_views(
+    ["readings"],
+    f""", long as ({BLOCKS_SQL}),
+         kept as (select date_trunc('second', time) as second, display, unit as cell,
+                         row_number() over (partition by date_trunc('second', time), display
+                                            order by time, point_id, unit nulls first) as no
+                  from long where time >= timestamp '2024-01-08 00:00:00' and time < timestamp '2024-01-22 00:00:00')
+         select second as time, """
+    + ", ".join(f"max(case when display = '{name}' then cell end) as \"{name}\"" for name in KINDS)
+    + " from kept where no = 1 group by second",
 )
+
+
+@query(TWO_WEEKS_SQL)
 def ts_wide_from_blocks(fx: Fixtures) -> DataFrame:
     """The whole way: text blocks to long rows, two weeks of them, typed and wide."""
     long = timeseries.unpack_blocks(packed_blocks(fx))
     return plain(timeseries.timeseries(long, "2024-01-08", "2024-01-22", None))
 
 
+@query(TWO_WEEKS_SQL)
+def ts_wide_profiled(fx: Fixtures) -> DataFrame:
+    """Blocks unpacked and stored once; names and type are known from then."""
+    path = f"{shared_folder(fx.spark)}/profiled-{uuid.uuid4().hex}"
+    write_profiled(timeseries.unpack_blocks(packed_blocks(fx)), path)
+    stored = fx.spark.read.parquet(path)
+    return plain(timeseries.timeseries(stored, "2024-01-08", "2024-01-22", None, profile=read_profile(fx.spark, path)))
+
+
 @query(_wide_sql("readings", "unit", KINDS, "time, event_id"))
 def ts_wide_default(fx: Fixtures) -> DataFrame:
     long = timeseries.timeseries_raw(fx.view("readings"), START, END, None)

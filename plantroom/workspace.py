@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plantroom.functions.columns import col, filter_by_ids, flatten
-from plantroom.operators import catalog, metadata, selection, staging, timeseries
+from plantroom.operators import bucketed, catalog, metadata, selection, staging, timeseries
 from plantroom.operators.catalog import Ids
 from plantroom.operators.timeseries import Moment
 from plantroom.session import configure
@@ -145,6 +145,14 @@ class Workspace:
             return metadata.metadata_by_selection(selection, equipment, points)
         return metadata.metadata_by_building(buildings, self.table("buildings"), equipment, points)
 
+    def keep_bucketed(self, root: str, buckets: int) -> bucketed.BucketedTables:
+        """Points and equipment written in buckets, so that :meth:`get_metadata_bucketed` shuffles nothing."""
+        return bucketed.keep_bucketed(flatten(self.table("equipment")), flatten(self.table("points")), root, buckets)
+
+    def get_metadata_bucketed(self, kept: bucketed.BucketedTables, buildings: Buildings | None = None) -> DataFrame:
+        ids = None if buildings is None else catalog.building_ids(self.table("buildings"), buildings)
+        return bucketed.metadata_bucketed(kept, ids)
+
     # readings
 
     def _factors(self, units: Mapping[str, str] | DataFrame | None) -> DataFrame | None:

@@ -187,3 +187,11 @@ def test_a_building_is_written_back(spark, tables, tmp_path):
         site.write_building("points", 427, live)
     with pytest.raises(ValueError, match="not on storage"):
         Workspace(tables).write_building("live", 427, live)
+
+
+def test_metadata_in_buckets(tables, tmp_path):
+    site = Workspace(tables)
+    kept = site.keep_bucketed(str(tmp_path), 4)
+    assert rows(site.get_metadata_bucketed(kept, 427)) == rows(site.get_metadata(buildings=427))
+    whole = rows(site.get_metadata_bucketed(kept), "`p.point_id`")
+    assert whole == rows(site.get_metadata_bucketed(kept, [427, "Laboratory"]), "`p.point_id`")
