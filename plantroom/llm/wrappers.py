@@ -14,6 +14,7 @@ import hashlib
 import html
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +30,8 @@ from plantroom.llm.words import pieces
 CONSTANT, SELDOM, LEAST = 0.8, 0.02, 4
 #: Two trees are of one layout if this share of their nodes is paired. Further layouts join the one they fit best.
 ALIKE, LAYOUTS = 0.5, 32
-#: Texts counted at a node, and runs below one: beyond these the rarer half is forgotten, but no page is.
+#: Texts counted at a node: beyond these the rarer half is forgotten, and how much that takes off the others is kept.
+#: Runs below a node: beyond these, runs that less than half of SELDOM of the pages have are forgotten, which are no constants.
 TEXTS, RUNS = 64, 400
 #: Elements nested deeper are read as part of the one above.
 DEPTH = 200
@@ -263,14 +265,23 @@ def _pairs(ours: list, theirs: list) -> tuple[int, list]:
     both = lambda x, y: _pairs(x[-1], y[-1])[0] if x[-1] and y[-1] else 1
     if [x[0] for x in a] == [y[0] for y in b]:
         return 1 + sum(map(both, a, b)), list(zip(a, b, strict=True))
-    weight = {(i, j): both(x, y) for i, x in enumerate(a) for j, y in enumerate(b) if x[0] == y[0]}
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a)):
-        for j in range(len(b)):
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((i, j), 0))
+    # weights of pairs with something below; all other pairs weigh 1
+    deep: dict[tuple[int, int], int] = {}
+    best = [array("q", bytes(8 * (len(b) + 1)))]
+    for i, x in enumerate(a):
+        above, row, here = best[-1], array("q", [0]), 0
+        for j, y in enumerate(b):
+            here = max(here, above[j + 1])
+            if x[0] == y[0]:
+                weight = 1
+                if x[-1] and y[-1]:
+                    weight = deep[i, j] = both(x, y)
+                here = max(here, above[j] + weight)
+            row.append(here)
+        best.append(row)
     pairs, i, j = [], len(a), len(b)
     while i and j:
-        if (i - 1, j - 1) in weight and best[i][j] == best[i - 1][j - 1] + weight[i - 1, j - 1]:
+        if a[i - 1][0] == b[j - 1][0] and best[i][j] == best[i - 1][j - 1] + deep.get((i - 1, j - 1), 1):
             pairs.append((a[i - 1], b[j - 1]))
             i, j = i - 1, j - 1
         elif best[i][j] == best[i - 1][j]:
@@ -282,12 +293,16 @@ def _pairs(ours: list, theirs: list) -> tuple[int, list]:
 
 def counted(tree: list) -> list:
     """One page as a counted tree: label, and runs as [label, pages, pages by digest, characters by digest, characters in
-    all, counted tree below]."""
-    return [tree[0], [[label, 1, {digest: 1}, {digest: chars}, chars, counted(below) if below else None] for label, digest, chars, below in tree[1]]]
+    all, pages that forgetting took off a digest, counted tree below]."""
+    return [tree[0], [[label, 1, {digest: 1}, {digest: chars}, chars, 0, counted(below) if below else None] for label, digest, chars, below in tree[1]]]
 
 
-def add(ours: list, theirs: list) -> None:
-    """Adds one counted tree to another: runs that simple tree matching pairs are added, all others stand beside them."""
+def add(ours: list, theirs: list, pages: int) -> None:
+    """Adds one counted tree to another: runs that simple tree matching pairs are added, all others stand beside them.
+
+    The sum is of so many pages. Below a node with very many runs those that hardly any page has are forgotten: a run
+    that SELDOM of the pages have, as a constant must, is never among them.
+    """
     met = _pairs(ours, theirs)[1]
     paired = {id(y): x for x, y in met}
     out, place = [], {id(x): k for k, x in enumerate(ours[1])}
@@ -304,25 +319,27 @@ def add(ours: list, theirs: list) -> None:
         for digest, n in run[2].items():
             own[2][digest] = own[2].get(digest, 0) + n
             own[3][digest] = own[3].get(digest, 0) + run[3][digest]
+        own[5] += run[5]
         if len(own[2]) > TEXTS:
             _forget(own)
-        if own[5] and run[5]:
-            add(own[5], run[5])
+        if own[-1] and run[-1]:
+            add(own[-1], run[-1], pages)
         else:
-            own[5] = own[5] or run[5]
+            own[-1] = own[-1] or run[-1]
     out += ours[1][done:]
     if len(out) > RUNS:
-        kept = set(sorted(range(len(out)), key=lambda k: (not out[k][0], -out[k][1], k))[: RUNS // 2])
-        rest = sum(run[4] for k, run in enumerate(out) if k not in kept)
+        rare = SELDOM / 2 * pages
+        rest = sum(run[4] for run in out if run[1] < rare)
         # no run has this label: characters of what is forgotten still count as varying
-        out = [run for k, run in enumerate(out) if k in kept] + [["", 0, {}, {}, rest, None]]
+        out = [run for run in out if run[1] >= rare] + [["", 0, {}, {}, rest, 0, None]]
     ours[1][:] = out
 
 
 def _forget(run: list) -> None:
-    """Of the texts at a node only frequent ones stay counted: what the rarest kept one has is taken off all of them, so
-    that a count is short by less than two in TEXTS pages."""
+    """Of the texts at a node only frequent ones stay counted: what the rarest kept one has is taken off all of them. No
+    count is short by more than the sum of that, less than two in TEXTS pages; one that stands in all parts by just it."""
     less = sorted(run[2].values(), reverse=True)[TEXTS // 2]
+    run[5] += less
     run[2] = {d: n - less for d, n in run[2].items() if n > less}
     run[3] = {d: run[3][d] for d in run[2]}
 
@@ -353,7 +370,7 @@ class Layouts:
             self.trees.append([pages, tree])
         else:
             self.trees[k][0] += pages
-            add(self.trees[k][1], tree)
+            add(self.trees[k][1], tree, self.trees[k][0])
 
 
 def _shape(tree: list) -> str:
@@ -387,13 +404,12 @@ class Template:
 def _template(tree: list, pages: int) -> Template:
     """What is constant in a counted tree of so many pages; runs that one page of many has are left out."""
     slots, share = [], 0
-    for label, n, digests, chars, size, below in tree[1]:
+    for label, n, digests, chars, size, less, below in tree[1]:
         if n < min(2, pages):
             share += size
             continue
         digest, same = max(digests.items(), key=lambda x: (x[1], x[0]), default=(None, 0))
-        # a count that is short by what was forgotten still tells a constant
-        constant = same >= (CONSTANT - (2.0 / TEXTS if n > TEXTS else 0.0)) * n and n >= max(2, min(LEAST, pages)) and n >= SELDOM * pages
+        constant = same > 0 and same + less >= CONSTANT * n and n >= max(2, min(LEAST, pages)) and n >= SELDOM * pages
         share += size - chars[digest] if constant else size
         slots.append([label, digest if constant else None, n >= LEAST, _template(below, pages) if below else None])
     return Template(tree[0], slots, share)

@@ -111,3 +111,32 @@ def test_all_pages_of_a_host_and_its_layouts_take_part(spark):
     for r in found:
         i = r["page_id"]
         assert r["text"] == f"{kinds[i % 10][1]} {i}\nPart one of {i}\nPart {'z' * (i % 7 + 1)} two"
+
+
+def test_a_part_with_very_many_constants():
+    """Alternating elements make 460 runs below one node, all of them on every page."""
+    rules = "".join(f"<p>Rule {k}</p><h4>Part {k}</h4>" for k in range(230))
+    page = lambda i: f"<body><div class=frame><div class=box>{rules}<p>Seen by {i}</p></div><div class=story><p>Story {'w' * i}</p></div></div></body>"
+    template = wrappers.induce([page(i) for i in range(1, 9)])
+    found = wrappers.extract(page(11), template, 8)
+    assert "Rule" not in found and "Part" not in found and "Story wwwwwwwwwww" in found
+
+
+@pytest.mark.parametrize("order", [1, 7, 331])
+def test_runs_that_few_pages_have_are_no_constants_and_hide_none(order):
+    """Every page has parts of its own names, far more of them than are kept, beside the box that all have."""
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    own = lambda i: "".join(f"<div class='{letters(i)}-{letters(k)}'>own {i} {k}</div>" for k in range(4))
+    page = lambda i: f"<body><div class=frame><div class=box>Read our terms</div>{own(i)}<h5>House rules</h5></div></body>"
+    pages = [page(i * order % 1000) for i in range(1000)]
+    found = wrappers.extract(page(5), wrappers.induce(pages), 1000)
+    assert found == "\n".join(f"own 5 {k}" for k in range(4))
+
+
+@pytest.mark.parametrize(("same", "constant"), [(780, False), (795, False), (805, True), (900, True)])
+@pytest.mark.parametrize("order", [1, 7, 331])
+def test_hundreds_of_texts_at_a_node(same, constant, order):
+    """A text is constant from 0.8 of the pages on, however many others stand at its node."""
+    page = lambda i: f"<body><div class=frame><div class=box>{'Read our terms' if i < same else f'Other {i}'}</div><div class=story><p>Story {i}</p></div></div></body>"
+    template = wrappers.induce([page(i * order % 1000) for i in range(1000)])
+    assert ("Read our terms" not in wrappers.extract(page(0), template, 1000)) == constant
